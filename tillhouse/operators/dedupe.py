@@ -24,9 +24,9 @@ def ordering(columns: list[str], nulls_last: Sequence[str] = ()) -> Column:
     parts = []
     for name in columns:
         if name in nulls_last:
-            parts.append(F.col(name).isNull().alias(f"{name}_is_null"))
-        parts.append(F.col(name))
-    return F.struct(*parts)
+            parts.append(f"{name} IS NULL AS {name}_is_null")
+        parts.append(name)
+    return F.expr(f"struct({', '.join(parts)})")
 
 
 def first_rows(df: DataFrame, key: str, columns: list[str], nulls_last: Sequence[str] = ()) -> DataFrame:
@@ -37,7 +37,7 @@ def first_rows(df: DataFrame, key: str, columns: list[str], nulls_last: Sequence
 
 
 def unpack(first: DataFrame, key: str, columns: list[str]) -> DataFrame:
-    return first.select(key, *[F.col(f"{FIRST}.{c}").alias(c) for c in columns])
+    return first.selectExpr(key, *[f"{FIRST}.{c} AS {c}" for c in columns])
 
 
 def other_rows(
@@ -52,7 +52,7 @@ def other_rows(
     own = df.select(key, ordering(columns, nulls_last).alias("_own"))
     met = splittable_join(own, repeated, key)
     is_later = F.col("_own") > F.col(FIRST)
-    later = met.filter(is_later).select(key, *[F.col(f"_own.{c}").alias(c) for c in columns])
+    later = met.filter(is_later).selectExpr(key, *[f"_own.{c} AS {c}" for c in columns])
     # Written as "not later" rather than "equal", which would become a join key and cost a
     # shuffle of its own; this way both branches share the shuffles.
     copies = (

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,51 +23,50 @@ def page(df: DataFrame, order: list[str], limit: int, offset: int = 0) -> DataFr
 def rank_cuts(values: DataFrame, column: str, parts: int, accuracy: int = 20_000) -> Column:
     """The exact values at 0-based ranks floor(i * (n - 1) / parts), i = 1 .. parts - 1.
 
-    A scalar subquery holding an array. A mergeable quantile sketch brackets each rank, all rows
-    outside the bracket are only counted, and the few distinct values inside it (about
-    6 / accuracy of the rows) are ranked exactly. No task sees the whole column.
+    A scalar subquery holding an array. One pass builds a mergeable quantile sketch, whose known
+    error brackets each rank. A second pass only counts the rows outside the brackets and keeps
+    the distinct values inside, about 6 / accuracy of the rows, and these are ranked exactly. A
+    column of up to 4 * accuracy rows is ranked whole. No task sees an unbounded column.
     """
+    # The sketch is off by at most n / accuracy ranks.
     slack = 2.0 / accuracy
-    ends = [end for i in range(1, parts) for end in (i / parts - slack, i / parts + slack)]
-    probabilities = [min(1.0, max(0.0, e)) for e in ends]
-    present = values.filter(F.col(column).isNotNull())
+    shares = [i / parts + shift for i in range(1, parts) for shift in (-slack, slack)]
     as_double = F.col(column).cast("double")
+    present = values.filter(F.col(column).isNotNull()).select(column)
     sketch = present.agg(
-        F.percentile_approx(as_double, probabilities, accuracy).alias("ends")
+        F.struct(
+            F.count(F.lit(1)).alias("rows"),
+            F.percentile_approx(
+                as_double, [min(1.0, max(0.0, share)) for share in shares], accuracy
+            ).alias("ends"),
+        ).alias("sketch")
     ).scalar()
-    # A repeated value is one counted row from here on.
-    counted = (
-        present.groupBy(column)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_ends", sketch)
+    lows = [F.col("_sketch.ends")[2 * i] for i in range(parts - 1)]
+    highs = [F.col("_sketch.ends")[2 * i + 1] for i in range(parts - 1)]
+    zone = reduce(
+        Column.__add__,
+        [(as_double >= e).cast("int") for e in lows] + [(as_double > e).cast("int") for e in highs],
     )
-    low = [F.get("_ends", F.lit(2 * i)) for i in range(parts - 1)]
-    high = [F.get("_ends", F.lit(2 * i + 1)) for i in range(parts - 1)]
-    totals = counted.agg(
-        F.sum("_n").alias("rows"),
-        F.array(
-            *[F.coalesce(F.sum(F.when(as_double < low[i], F.col("_n"))), F.lit(0)) for i in range(parts - 1)]
-        ).alias("below"),
-    ).select(F.struct("rows", "below").alias("totals")).scalar()
-    brackets = F.array(
-        *[
-            F.struct(F.lit(i).alias("i"), low[i].alias("low"), high[i].alias("high"))
-            for i in range(parts - 1)
-        ]
+    inside = reduce(
+        Column.__or__, [as_double.between(low, high) for low, high in zip(lows, highs)]
     )
-    inside = (
-        counted.select(F.col(column).alias("_value"), "_n", F.inline(brackets))
-        .filter((F.col("_value").cast("double") >= F.col("low")) & (F.col("_value").cast("double") <= F.col("high")))
-        .withColumn("_totals", totals)
+    small = F.col("_sketch.rows") <= 4 * accuracy
+    # Zones follow the order of the values, so (zone, value) sorts like the value alone.
+    counted = (
+        present.withColumn("_sketch", sketch)
+        .groupBy(
+            F.when(small, 0).otherwise(zone).alias("_zone"),
+            F.when(small | inside, F.col(column)).alias("_value"),
+        )
+        .agg(F.count(F.lit(1)).alias("_n"), F.first("_sketch.rows").alias("_rows"))
     )
-    running = Window.partitionBy("i").orderBy("_value").rowsBetween(Window.unboundedPreceding, 0)
-    rank = F.expr(f"((i + 1) * (_totals.rows - 1)) div {parts}")
-    reached = inside.withColumn(
-        "_upto", F.get("_totals.below", F.col("i")) + F.sum("_n").over(running)
-    ).filter(F.col("_upto") > rank)
-    cuts = reached.groupBy("i").agg(F.min("_value").alias("cut"))
-    ordered = F.array_sort(F.collect_list(F.struct("i", "cut")))
-    return cuts.agg(F.transform(ordered, lambda s: s["cut"]).alias("cuts")).scalar()
+    upto = Window.orderBy("_zone", "_value").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = counted.withColumn("_upto", F.sum("_n").over(upto))
+    cuts = [
+        F.min(F.when(F.col("_upto") > F.expr(f"({i} * (_rows - 1)) div {parts}"), F.col("_value")))
+        for i in range(1, parts)
+    ]
+    return ranked.agg(F.array(*cuts).alias("cuts")).scalar()
 
 
 def label_segments(values: DataFrame, column: str, labels: list[str]) -> DataFrame:

@@ -37,6 +37,7 @@ def reconcile(profile: DataFrame, detected: DataFrame) -> DataFrame:
         "entity",
         "planted",
         "detected",
+        "total",
         gap.alias("gap"),
         F.when(gap == 0, F.lit("match")).when(gap > 0, F.lit("over")).otherwise(F.lit("under")).alias("result"),
     )

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from contextlib import contextmanager
+from functools import cached_property
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,12 +15,6 @@ from tillhouse.operators.rules import CONTENT_FIRST, REFERENCE, Entity
 REASON = "reason"
 
 
-@dataclass(frozen=True)
-class Staged:
-    clean: DataFrame
-    errors: DataFrame
-
-
 def pack_row(columns: list[str]) -> Column:
     """The row as a JSON object; NULL fields are left out."""
     return F.to_json(F.struct(*columns))
@@ -48,34 +44,63 @@ def _rivals(flagged: DataFrame, entity: Entity, mode: str) -> tuple[DataFrame, l
     return flagged.filter(F.col(entity.key).isNotNull()), entity.total_order() + [REASON]
 
 
+class Staged:
+    """The two outputs of `stage`; each is a plan that is put together when it is asked for."""
+
+    def __init__(self, raw: DataFrame, entity: Entity, as_of: Column, mode: str, strict: bool):
+        self.entity, self.as_of, self.mode = entity, as_of, mode
+        self._flagged = flag(raw, entity, as_of, strict)
+        self._rivals, self._order = _rivals(self._flagged, entity, mode)
+        self._nulls_last = entity.ranked_columns()
+
+    @cached_property
+    def _first(self) -> DataFrame:
+        return dedupe.first_rows(self._rivals, self.entity.key, self._order, self._nulls_last)
+
+    @contextmanager
+    def shared(self):
+        """Keep the first row of each key while both outputs are written, on disk if need be.
+
+        A lost executor only costs the recomputation of its part.
+        """
+        self._first.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            yield self
+        finally:
+            self._first.unpersist()
+
+    @cached_property
+    def clean(self) -> DataFrame:
+        """Typed rows, one per key."""
+        kept = dedupe.unpack(self._first, self.entity.key, self._order)
+        if self.mode == REFERENCE:
+            kept = kept.filter(F.col(REASON).isNull())
+        return kept.select(*self.entity.typed())
+
+    @cached_property
+    def errors(self) -> DataFrame:
+        """Rejected rows as (JSON, reason, time); a rule's reason wins over duplication."""
+        entity = self.entity
+        fit = self._flagged.filter(F.col(REASON).isNull())
+        lost = dedupe.other_rows(fit, self._first, entity.key, self._order, self._nulls_last)
+        unfit = self._flagged.filter(F.col(REASON).isNotNull())
+        rejected = unfit.select(*entity.columns, REASON).unionByName(
+            lost.select(*entity.columns, F.lit(entity.duplicate_reason).alias(REASON))
+        )
+        return rejected.select(
+            pack_row(entity.columns).alias("row_data"), REASON, self.as_of.alias("logged_at")
+        )
+
+
 def stage(
     raw: DataFrame, entity: Entity, as_of: Column, mode: str | None = None, strict: bool = False
 ) -> Staged:
-    """Clean rows (typed, one per key) and rejected rows (JSON, reason, time).
+    """Clean rows and rejected rows of a raw table.
 
     `reference` mode ranks unfit rows too, so an unfit row that sorts first takes its key away;
     `content_first` keeps a fit row whenever the key has one.
     """
-    mode = _mode(entity, mode)
-    flagged = flag(raw, entity, as_of, strict)
-    rivals, order = _rivals(flagged, entity, mode)
-    nulls_last = entity.ranked_columns()
-    first = dedupe.first_rows(rivals, entity.key, order, nulls_last)
-
-    kept = dedupe.unpack(first, entity.key, order)
-    if mode == REFERENCE:
-        kept = kept.filter(F.col(REASON).isNull())
-
-    fit = flagged.filter(F.col(REASON).isNull())
-    lost = dedupe.other_rows(fit, first, entity.key, order, nulls_last)
-    unfit = flagged.filter(F.col(REASON).isNotNull())
-    rejected = unfit.select(*entity.columns, REASON).unionByName(
-        lost.select(*entity.columns, F.lit(entity.duplicate_reason).alias(REASON))
-    )
-    errors = rejected.select(
-        pack_row(entity.columns).alias("row_data"), REASON, as_of.alias("logged_at")
-    )
-    return Staged(kept.select(*entity.typed()), errors)
+    return Staged(raw, entity, as_of, _mode(entity, mode), strict)
 
 
 def quality_counts(

@@ -7,7 +7,7 @@ fact. Rows without the grouping attribute are left out of a report, but not out
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillhouse.functions.text import inr_label, month_label
@@ -108,9 +108,10 @@ def spend_segments(fact: DataFrame, dims: Dims, current_only: bool = True) -> Da
 
 
 def segment_counts(segments: DataFrame) -> DataFrame:
-    """(segment, customers, share_pct), largest first; three rows whatever the input size."""
+    """(segment, customers, share_pct), largest first."""
     counts = segments.groupBy("segment").agg(F.count(F.lit(1)).alias("customers"))
-    total = counts.agg(F.sum("customers").alias("n")).scalar()
+    # The window sees the three segments only.
+    total = F.sum("customers").over(Window.partitionBy())
     share = F.round(F.col("customers").cast("double") * 100 / total, 1)
     return counts.withColumn("share_pct", share).orderBy(F.col("customers").desc(), "segment")
 

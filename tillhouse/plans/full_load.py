@@ -21,17 +21,19 @@ from tillhouse.plans.dims import (
     date_spine_of,
 )
 from tillhouse.plans.fact import build_fact_sales
+from tillhouse.plans.incremental import incremental_orders
 from tillhouse.plans.scd2 import scd2_apply
 from tillhouse.schema import DW, STAGING
 from tillhouse.sources.layers import Layers
+from tillhouse.sources.raw import seed_watermarks
 from tillhouse.sources.sinks import clustered
 
 
 def load_staging(layers: Layers, raws: dict[str, DataFrame], as_of: Column, mode: str | None = None) -> None:
     for name, raw in raws.items():
-        staged = stage(raw, ENTITY[name], as_of, mode)
-        layers.replace(STAGING, f"{name}_clean", staged.clean)
-        layers.replace(STAGING, f"{name}_errors", staged.errors)
+        with stage(raw, ENTITY[name], as_of, mode).shared() as staged:
+            layers.replace(STAGING, f"{name}_clean", staged.clean)
+            layers.replace(STAGING, f"{name}_errors", staged.errors)
 
 
 def load_warehouse(layers: Layers) -> None:
@@ -65,6 +67,25 @@ def refresh_customers(layers: Layers, source: DataFrame, as_of: datetime | str,
     return layers.replace(DW, "dim_customer", scd2_apply(dim, source, casts.moment(as_of), mode))
 
 
+def increment(
+    layers: Layers, raw_orders: DataFrame, as_of: datetime | str, validate: bool = True
+) -> DataFrame:
+    """Append the new orders to staging, then move the watermark; returns the orders.
+
+    With `validate` orders already loaded are left out, so a run that died between the two steps
+    can simply be run again.
+    """
+    spark = layers.spark
+    if not layers.version(STAGING, "load_watermarks"):
+        layers.replace(STAGING, "load_watermarks", seed_watermarks(spark))
+    marks = layers.table(STAGING, "load_watermarks")
+    loaded = layers.table(STAGING, "orders_clean")
+    done = incremental_orders(raw_orders, loaded, marks, casts.moment(as_of), validate)
+    after = layers.append(STAGING, "orders_clean", done.added)
+    layers.replace(STAGING, "load_watermarks", done.watermarks)
+    return after
+
+
 def open_dims(layers: Layers) -> Dims:
     return Dims(*[layers.table(DW, f"dim_{d}") for d in ("date", "product", "location", "customer")])
 

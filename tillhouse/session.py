@@ -15,6 +15,8 @@ TUNING = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Plans are built from many small expressions; recording a Python stack for each is slow.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -11,7 +11,14 @@ CLIENT_ROWS = 100_000
 
 def export_csv(df: DataFrame, path: str) -> None:
     """All rows as CSV with a header, one file per task."""
-    df.write.mode("errorifexists").csv(path, header=True, quote='"', escape='"')
+    df.write.mode("errorifexists").csv(
+        path,
+        header=True,
+        quote='"',
+        escape='"',
+        ignoreLeadingWhiteSpace=False,
+        ignoreTrailingWhiteSpace=False,
+    )
 
 
 def write_raw(df: DataFrame, path: str, parquet: bool = False) -> None:

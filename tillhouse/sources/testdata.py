@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tillhouse.schema import ENTITIES, RAW_COLUMNS
@@ -96,25 +98,46 @@ REFRESH: dict[str, str] = {
 ARRIVALS = f"{_NUMBER}%100=17"
 
 
-def base_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+class BaseTables:
+    """The benchmark tables of one folder, each opened once."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
+        self._open: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._open:
+            self._open[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._open[name]
 
 
-def with_lookups(spark: SparkSession, sf_dir: str, entity: str, base: DataFrame) -> DataFrame:
+def as_raw(tables: BaseTables, entity: str, base: DataFrame, *extra: str) -> DataFrame:
+    """`base` joined with its lookups and put into the entity's raw form."""
     for table, left, right in INPUTS[entity][1]:
-        other = base_table(spark, sf_dir, table)
+        other = tables[table]
         base = base.join(other, base[left] == other[right])
-    return base
+    return base.selectExpr(
+        *[f"{EXPRESSIONS[entity][c]} AS {c}" for c in RAW_COLUMNS[entity]], *extra
+    )
+
+
+class RawTables(Mapping):
+    """The five raw extracts by name, each planned when it is asked for."""
 
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.base = BaseTables(spark, sf_dir)
+        self._planned: dict[str, DataFrame] = {}
 
-def raw_table(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
-    base = base_table(spark, sf_dir, INPUTS[entity][0])
-    wide = with_lookups(spark, sf_dir, entity, base)
-    return wide.selectExpr(*[f"{EXPRESSIONS[entity][c]} AS {c}" for c in RAW_COLUMNS[entity]])
+    def __getitem__(self, entity: str) -> DataFrame:
+        if entity not in self._planned:
+            self._planned[entity] = as_raw(self.base, entity, self.base[INPUTS[entity][0]])
+        return self._planned[entity]
 
+    def __iter__(self):
+        return iter(ENTITIES)
 
-def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {entity: raw_table(spark, sf_dir, entity) for entity in ENTITIES}
+    def __len__(self) -> int:
+        return len(ENTITIES)
 
 
 def refreshed_customers(customers_clean: DataFrame) -> DataFrame:
