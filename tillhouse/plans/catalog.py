@@ -611,7 +611,7 @@ def full_load_counts(s: Shop) -> DataFrame:
     full_load.full_load(layers, s.raw, testdata.AS_OF)
     names = [(STAGING, f"{e}_{kind}") for e in ENTITIES for kind in ("clean", "errors")]
     names += [(DW, n) for n in ("dim_customer", "dim_product", "dim_location", "dim_date", "fact_sales")]
-    return profiling.layer_counts({name: layers.table(layer, name) for layer, name in names})
+    return profiling.layer_counts(dict(zip([name for _, name in names], layers.tables(*names))))
 
 
 @_query

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -23,45 +25,100 @@ from tillhouse.plans.dims import (
 from tillhouse.plans.fact import build_fact_sales
 from tillhouse.plans.incremental import incremental_orders
 from tillhouse.plans.scd2 import scd2_apply
-from tillhouse.schema import DW, STAGING
-from tillhouse.sources.layers import Layers
+from tillhouse.schema import DW, ENTITIES, RAW, STAGING
+from tillhouse.sources.layers import Layers, Written
 from tillhouse.sources.raw import seed_watermarks
 from tillhouse.sources.sinks import clustered
 
 
-def load_staging(layers: Layers, raws: dict[str, DataFrame], as_of: Column, mode: str | None = None) -> None:
-    for name, raw in raws.items():
-        with stage(raw, ENTITY[name], as_of, mode).shared() as staged:
-            layers.replace(STAGING, f"{name}_clean", staged.clean)
-            layers.replace(STAGING, f"{name}_errors", staged.errors)
+def _side_by_side(jobs: list[Callable[[], list[Written]]]) -> list[Written]:
+    """Submit independent loads together, so that small tables do not leave executors idle."""
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        return [written for done in pool.map(lambda job: job(), jobs) for written in done]
+
+
+def load_raw(layers: Layers, raws: Mapping[str, DataFrame], partitions: int | None = None) -> None:
+    """Keep the extracts as raw tables."""
+    known = layers.versions()
+
+    def job(entity: str) -> Callable[[], list[Written]]:
+        name = f"{entity}_raw"
+        rows = raws[entity].repartition(partitions) if partitions else raws[entity]
+        return lambda: [layers.write(RAW, name, rows, known.get((RAW, name), 0) + 1)]
+
+    layers.publish(_side_by_side([job(entity) for entity in raws]))
+
+
+def open_raw(layers: Layers) -> dict[str, DataFrame]:
+    return dict(zip(ENTITIES, layers.tables(*[(RAW, f"{e}_raw") for e in ENTITIES])))
+
+
+def load_staging(
+    layers: Layers, raws: Mapping[str, DataFrame], as_of: Column, mode: str | None = None
+) -> None:
+    """Replace the clean and error tables of all entities, published together."""
+    known = layers.versions()
+
+    def job(entity: str) -> Callable[[], list[Written]]:
+        staged = stage(raws[entity], ENTITY[entity], as_of, mode)
+        clean, errors = f"{entity}_clean", f"{entity}_errors"
+
+        def load() -> list[Written]:
+            with staged.shared():
+                return [
+                    layers.write(STAGING, clean, staged.clean, known.get((STAGING, clean), 0) + 1),
+                    layers.write(STAGING, errors, staged.errors, known.get((STAGING, errors), 0) + 1),
+                ]
+
+        return load
+
+    layers.publish(_side_by_side([job(entity) for entity in raws]))
 
 
 def load_warehouse(layers: Layers) -> None:
-    """Dimensions, then the fact from the dimensions as written."""
-    products = layers.table(STAGING, "products_clean")
-    orders = layers.table(STAGING, "orders_clean")
-    customers = layers.table(STAGING, "customers_clean")
-    days = layers.replace(DW, "dim_date", calendar(date_spine_of(orders, "order_date")))
-    product = layers.replace(DW, "dim_product", build_dim_product(products))
-    location = layers.replace(DW, "dim_location", build_dim_location(orders))
-    customer = layers.replace(DW, "dim_customer", build_dim_customer(customers))
-    # A repeated dimension key would multiply revenue without any error.
-    require_unique(days, ["date_sk"], "dim_date")
-    require_unique(product, ["product_code"], "dim_product")
-    require_unique(location, ["city", "state"], "dim_location")
-    require_unique(current(customer), ["customer_code"], "dim_customer")
-    fact = build_fact_sales(
-        layers.table(STAGING, "order_items_clean"), orders, customer, product, location
+    """Dimensions, then the fact from the dimensions as written, published together."""
+    known = layers.versions()
+    items, orders, customers, products = layers.tables(
+        *[(STAGING, f"{e}_clean") for e in ("order_items", "orders", "customers", "products")]
     )
-    layers.replace(DW, "fact_sales", clustered(fact), partition_by=["year_month"])
+
+    def write(name: str, df: DataFrame, partition_by: list[str] | None = None) -> Written:
+        return layers.write(DW, name, df, known.get((DW, name), 0) + 1, partition_by)
+
+    def dimension(name: str, df: DataFrame, keys: list[str]) -> Callable[[], list[Written]]:
+        def load() -> list[Written]:
+            written = write(name, df)
+            rows = current(written.frame) if name == "dim_customer" else written.frame
+            # A repeated dimension key would multiply revenue without any error.
+            require_unique(rows, keys, name)
+            return [written]
+
+        return load
+
+    done = _side_by_side(
+        [
+            dimension("dim_date", calendar(date_spine_of(orders, "order_date")), ["date_sk"]),
+            dimension("dim_product", build_dim_product(products), ["product_code"]),
+            dimension("dim_location", build_dim_location(orders), ["city", "state"]),
+            dimension("dim_customer", build_dim_customer(customers), ["customer_code"]),
+        ]
+    )
+    _, product, location, customer = [written.frame for written in done]
+    fact = build_fact_sales(items, orders, customer, product, location)
+    done.append(write("fact_sales", clustered(fact), partition_by=["year_month"]))
+    layers.publish(done)
 
 
-def full_load(layers: Layers, raws: dict[str, DataFrame], as_of: datetime | str, mode: str | None = None) -> None:
+def full_load(
+    layers: Layers, raws: Mapping[str, DataFrame], as_of: datetime | str, mode: str | None = None
+) -> None:
     load_staging(layers, raws, casts.moment(as_of), mode)
     load_warehouse(layers)
 
 
-def refresh_customers(layers: Layers, source: DataFrame, as_of: datetime | str, mode: str = "reference") -> DataFrame:
+def refresh_customers(
+    layers: Layers, source: DataFrame, as_of: datetime | str, mode: str = "reference"
+) -> DataFrame:
     """Apply a staged customer refresh to the published dimension."""
     dim = layers.table(DW, "dim_customer")
     return layers.replace(DW, "dim_customer", scd2_apply(dim, source, casts.moment(as_of), mode))
@@ -75,11 +132,9 @@ def increment(
     With `validate` orders already loaded are left out, so a run that died between the two steps
     can simply be run again.
     """
-    spark = layers.spark
-    if not layers.version(STAGING, "load_watermarks"):
-        layers.replace(STAGING, "load_watermarks", seed_watermarks(spark))
-    marks = layers.table(STAGING, "load_watermarks")
-    loaded = layers.table(STAGING, "orders_clean")
+    if (STAGING, "load_watermarks") not in layers.versions():
+        layers.replace(STAGING, "load_watermarks", seed_watermarks(layers.spark))
+    marks, loaded = layers.tables((STAGING, "load_watermarks"), (STAGING, "orders_clean"))
     done = incremental_orders(raw_orders, loaded, marks, casts.moment(as_of), validate)
     after = layers.append(STAGING, "orders_clean", done.added)
     layers.replace(STAGING, "load_watermarks", done.watermarks)
@@ -87,7 +142,8 @@ def increment(
 
 
 def open_dims(layers: Layers) -> Dims:
-    return Dims(*[layers.table(DW, f"dim_{d}") for d in ("date", "product", "location", "customer")])
+    names = ("dim_date", "dim_product", "dim_location", "dim_customer")
+    return Dims(*layers.tables(*[(DW, name) for name in names]))
 
 
 def open_fact(layers: Layers, year: int | None = None) -> DataFrame:

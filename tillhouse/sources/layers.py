@@ -2,65 +2,99 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+from tillhouse.schema import SCHEMAS
+
 _MANIFEST = "layer STRING, name STRING, version BIGINT, published_at TIMESTAMP_NTZ"
 
 
+@dataclass(frozen=True)
+class Written:
+    """A table version that is on disk but not yet visible to readers."""
+
+    layer: str
+    name: str
+    version: int
+    frame: DataFrame
+
+
 class Layers:
     """Tables under `<root>/<layer>/<name>/version=<n>`.
 
-    A load writes a new version and then appends one line to the manifest, which is what makes
-    it visible. A plan may therefore read the table that it replaces, and a load that dies half
-    way leaves readers on the old version.
+    A load writes new versions and then appends their lines to the manifest in one write, which
+    is what makes them visible, all together. A plan may therefore read a table that it
+    replaces, and a load that dies half way leaves readers on the old versions.
     """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
 
-    def _manifest(self) -> DataFrame:
+    def versions(self) -> dict[tuple[str, str], int]:
+        """The published version of each table; one small control row per table."""
         try:
-            return self.spark.read.schema(_MANIFEST).parquet(f"{self.root}/_manifest")
+            lines = self.spark.read.schema(_MANIFEST).parquet(f"{self.root}/_manifest")
         except AnalysisException:
-            return self.spark.createDataFrame([], _MANIFEST)
-
-    def version(self, layer: str, name: str) -> int:
-        """The published version; 0 if there is none."""
-        lines = self._manifest().filter((F.col("layer") == layer) & (F.col("name") == name))
-        return lines.agg(F.max("version")).first()[0] or 0
+            return {}
+        latest = lines.groupBy("layer", "name").agg(F.max("version").alias("version"))
+        return {(row.layer, row.name): row.version for row in latest.collect()}
 
     def path(self, layer: str, name: str, version: int) -> str:
         return f"{self.root}/{layer}/{name}/version={version}"
 
+    def _read(self, layer: str, name: str, version: int) -> DataFrame:
+        schema = SCHEMAS.get(layer, {}).get(name)
+        reader = self.spark.read.schema(schema) if schema else self.spark.read
+        return reader.parquet(self.path(layer, name, version))
+
+    def tables(self, *names: tuple[str, str]) -> list[DataFrame]:
+        """Published tables, all as of the same look at the manifest."""
+        known = self.versions()
+        lost = [f"{layer}.{name}" for layer, name in names if (layer, name) not in known]
+        if lost:
+            raise LookupError(f"not loaded: {', '.join(lost)}")
+        return [self._read(layer, name, known[layer, name]) for layer, name in names]
+
     def table(self, layer: str, name: str) -> DataFrame:
-        version = self.version(layer, name)
-        if not version:
-            raise LookupError(f"{layer}.{name} has not been loaded")
-        return self.spark.read.parquet(self.path(layer, name, version))
+        return self.tables((layer, name))[0]
+
+    def write(
+        self, layer: str, name: str, df: DataFrame, version: int, partition_by: list[str] | None = None
+    ) -> Written:
+        """Write a version that is not visible yet.
 
-    def replace(self, layer: str, name: str, df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
-        """Write a full new version, publish it, and return it as read back."""
-        version = self.version(layer, name) + 1
-        # A dead attempt may have left files under this number; they were never published.
+        Files that a dead attempt left under this number were never published.
+        """
         writer = df.write.mode("overwrite")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(self.path(layer, name, version))
+        return Written(layer, name, version, self._read(layer, name, version))
+
+    def publish(self, written: list[Written]) -> None:
         now = datetime.now(timezone.utc).replace(tzinfo=None)
-        self.spark.createDataFrame([(layer, name, version, now)], _MANIFEST).coalesce(1).write.mode(
-            "append"
-        ).parquet(f"{self.root}/_manifest")
-        return self.table(layer, name)
+        lines = [(w.layer, w.name, w.version, now) for w in written]
+        self.spark.createDataFrame(lines, _MANIFEST).coalesce(1).write.mode("append").parquet(
+            f"{self.root}/_manifest"
+        )
+
+    def replace(self, layer: str, name: str, df: DataFrame) -> DataFrame:
+        """Write and publish one table."""
+        version = self.versions().get((layer, name), 0) + 1
+        written = self.write(layer, name, df, version)
+        self.publish([written])
+        return written.frame
 
     def append(self, layer: str, name: str, df: DataFrame) -> DataFrame:
         """Add rows to the published version."""
-        version = self.version(layer, name)
+        version = self.versions().get((layer, name))
         if not version:
             return self.replace(layer, name, df)
         df.write.mode("append").parquet(self.path(layer, name, version))
-        return self.table(layer, name)
+        return self._read(layer, name, version)
