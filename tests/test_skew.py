@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from tillhouse.operators.rules import ORDER_ITEMS
 from tillhouse.operators.staging import stage
-from tillhouse.plans import dims
+from tillhouse.plans import dims, raw_sales
 from tillhouse.plans.fact import build_fact_sales
 
 SMALL = {
@@ -72,3 +72,20 @@ def test_hot_order_and_hot_customer_in_the_fact_are_split(spark, as_of, settings
     plan = final_plan(fact)
     assert fact.count() == N
     assert plan.count("skew=true") >= 2
+
+
+def test_hot_order_header_and_hot_item_key_in_raw_sales(spark, settings):
+    """A third of the items and of the headers share one order; revenue multiplies as in a join."""
+    settings(**SMALL)
+    sold = items(spark, order_id=hot("O0", F.format_string("O%d", F.col("id") % 5000)), line_amount=F.lit("2.00"))
+    sold = sold.filter(F.crc32("order_item_id") % 10 == 0)
+    orders = spark.range(0, 30000, 1, 16).select(
+        hot("O0", F.format_string("O%d", "id")).alias("order_id"),
+        F.format_string("C%d", "id").alias("customer_code"),
+        F.lit("1999-01-01 00:00:00").alias("order_date"),
+        F.md5(F.col("id").cast("string")).alias("order_city"),
+    )
+    revenue = raw_sales.top_cities(orders, sold, k=30000)
+    assert "skew=true" in final_plan(revenue)
+    naive = orders.join(sold, "order_id").groupBy("order_city").agg((F.count("*") * 2.0).alias("revenue"))
+    assert sorted(map(tuple, revenue.collect())) == sorted(map(tuple, naive.collect()))

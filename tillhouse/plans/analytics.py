@@ -29,7 +29,7 @@ def apply_filters(fact: DataFrame, dims: Dims, category: str | None = None, year
     if year is not None:
         days = dims.date.filter(F.col("year") == year).select("date_sk")
         fact = fact.filter(F.col("date_sk").between(year * 10000, year * 10000 + 9999))
-        fact = fact.join(F.broadcast(days), "date_sk", "left_semi")
+        fact = fact.join(days, "date_sk", "left_semi")
     return fact
 
 
@@ -54,7 +54,7 @@ def _as_double(df: DataFrame, column: str = "revenue") -> DataFrame:
 
 def monthly_revenue(fact: DataFrame, dims: Dims) -> DataFrame:
     """(year, month, label, revenue), oldest first."""
-    days = F.broadcast(dims.date.select("date_sk", "year", "month"))
+    days = dims.date.select("date_sk", "year", "month")
     months = (
         _per_key(fact, "date_sk")
         .join(days, "date_sk")
@@ -156,7 +156,7 @@ def filter_choices(fact: DataFrame, dims: Dims) -> DataFrame:
         .select(F.lit("category").alias("filter"), F.col("category").alias("choice"))
     )
     years = (
-        fact.select("date_sk").distinct().join(F.broadcast(dims.date), "date_sk")
+        fact.select("date_sk").distinct().join(dims.date, "date_sk")
         .select(F.lit("year").alias("filter"), F.col("year").cast("string").alias("choice"))
     )
     return categories.unionByName(years).na.drop(subset=["choice"]).distinct().orderBy("filter", "choice")

@@ -13,7 +13,7 @@ from tillhouse.functions.masking import mask_email, mask_phone
 from tillhouse.operators.keys import assign_sk
 from tillhouse.schema import DW, columns_of
 
-# 270 years: a calendar is small whatever the data size, which is what allows broadcasting it.
+# 270 years; a longer calendar is a mistyped argument.
 MAX_CALENDAR_DAYS = 100_000
 
 

@@ -86,11 +86,13 @@ def _part(dims: Dims, part: str, current_only: bool) -> tuple[str, DataFrame]:
 def star(fact: DataFrame, dims: Dims, parts: tuple[str, ...] = PARTS, current_only: bool = True) -> DataFrame:
     """The fact with dimension attributes, one left join per part asked for.
 
+    No side is forced to be broadcast: Spark does so where the size it knows allows it.
+
     With `current_only`, sales of an expired customer version keep NULL customer attributes;
     without it they keep the attributes that held at the time.
     """
     wide = fact
     for part in parts:
         key, dim = _part(dims, part, current_only)
-        wide = wide.join(F.broadcast(dim) if part == "date" else dim, key, "left")
+        wide = wide.join(dim, key, "left")
     return wide

@@ -1,24 +1,22 @@
 """Revenue straight from the raw tables.
 
 Lost parents are left out; duplicate and negative rows are not, so a repeated key multiplies
-revenue, as a plain join does. Each side is first reduced to its join key (amounts summed, copies
-counted), which keeps the result, shrinks the shuffle, and leaves no hot key for the join.
+revenue, as a plain join does. Items are summed to the join key first: that keeps the result,
+shrinks the shuffle, and takes a hot order or product out of the join. Hot keys on the other
+side are split at run time.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillhouse.functions import casts
 from tillhouse.functions import predicates as p
+from tillhouse.operators.joins import splittable_join
 from tillhouse.operators.ranking import top_k
 
-_AMOUNT, _COPIES = "_amount", "_copies"
-
-
-def _copies(df: DataFrame, *columns) -> DataFrame:
-    return df.groupBy(*columns).agg(F.count(F.lit(1)).alias(_COPIES))
+_AMOUNT = "_amount"
 
 
 def _sold(items: DataFrame, key: str) -> DataFrame:
@@ -27,72 +25,55 @@ def _sold(items: DataFrame, key: str) -> DataFrame:
     return items.filter(p.not_orphan("product_code")).groupBy(key).agg(amount.alias(_AMOUNT))
 
 
-def _times_copies():
-    return F.col(_AMOUNT) * F.col(_COPIES).cast("decimal(18,0)")
+def _order_revenue(orders: DataFrame, items: DataFrame, *columns: Column | str) -> DataFrame:
+    """Exact revenue of the orders with a known customer, by order columns."""
+    headers = orders.filter(p.not_orphan("customer_code")).select("order_id", *columns)
+    by = headers.columns[1:]
+    return (
+        splittable_join(headers, _sold(items, "order_id"), "order_id")
+        .groupBy(*by)
+        .agg(F.sum(_AMOUNT).alias("revenue"))
+    )
+
+
+def _as_double(df: DataFrame, column: str = "revenue") -> DataFrame:
+    return df.withColumn(column, F.col(column).cast("double"))
 
 
 def monthly_revenue(orders: DataFrame, items: DataFrame) -> DataFrame:
     """(month, revenue), oldest first; unparsable dates form a last NULL month."""
-    headers = _copies(
-        orders.filter(p.not_orphan("customer_code")),
-        "order_id",
-        casts.month_start(casts.to_timestamp(F.col("order_date"))).alias("month"),
-    )
-    return (
-        headers.join(_sold(items, "order_id"), "order_id")
-        .groupBy("month")
-        .agg(F.sum(_times_copies()).cast("double").alias("revenue"))
-        .orderBy(F.col("month").asc_nulls_last())
-    )
+    month = casts.month_start(casts.to_timestamp(F.col("order_date"))).alias("month")
+    return _as_double(_order_revenue(orders, items, month)).orderBy(F.col("month").asc_nulls_last())
 
 
 def top_cities(orders: DataFrame, items: DataFrame, k: int = 10) -> DataFrame:
     """(order_city, revenue) of the k best cities."""
-    headers = _copies(
-        orders.filter(p.not_orphan("customer_code") & F.col("order_city").isNotNull()),
-        "order_id",
-        "order_city",
-    )
-    revenue = (
-        headers.join(_sold(items, "order_id"), "order_id")
-        .groupBy("order_city")
-        .agg(F.sum(_times_copies()).alias("revenue"))
-    )
-    return top_k(revenue, "revenue", k, ["order_city"]).withColumn(
-        "revenue", F.col("revenue").cast("double")
-    )
+    revenue = _order_revenue(orders.filter(F.col("order_city").isNotNull()), items, "order_city")
+    return _as_double(top_k(revenue, "revenue", k, ["order_city"]))
 
 
 def top_products(items: DataFrame, products: DataFrame, k: int = 10) -> DataFrame:
     """(product_name, revenue) of the k best names; one name may stand for many codes."""
-    named = _copies(products, "product_code", "product_name")
     revenue = (
-        named.join(_sold(items, "product_code"), "product_code")
+        splittable_join(
+            products.select("product_code", "product_name"), _sold(items, "product_code"), "product_code"
+        )
         .groupBy("product_name")
-        .agg(F.sum(_times_copies()).alias("revenue"))
-    )
-    return top_k(revenue, "revenue", k, ["product_name"]).withColumn(
-        "revenue", F.col("revenue").cast("double")
+        .agg(F.sum(_AMOUNT).alias("revenue"))
     )
+    return _as_double(top_k(revenue, "revenue", k, ["product_name"]))
 
 
 def customer_lifetime_value(
     customers: DataFrame, orders: DataFrame, items: DataFrame, k: int = 20
 ) -> DataFrame:
     """(customer_code, full_name, lifetime_value) of the k best customers."""
-    headers = _copies(
-        orders.filter(p.not_orphan("customer_code")), "order_id", "customer_code"
-    )
-    spend = (
-        headers.join(_sold(items, "order_id"), "order_id")
-        .groupBy("customer_code")
-        .agg(F.sum(_times_copies()).alias(_AMOUNT))
-    )
+    spend = _order_revenue(orders, items, "customer_code")
     value = (
-        _copies(customers, "customer_code", "full_name")
-        .join(spend, "customer_code")
-        .select("customer_code", "full_name", _times_copies().alias("lifetime_value"))
+        splittable_join(customers.select("customer_code", "full_name"), spend, "customer_code")
+        .groupBy("customer_code", "full_name")
+        .agg(F.sum("revenue").alias("lifetime_value"))
     )
-    return top_k(value, "lifetime_value", k, ["customer_code", "full_name"]).withColumn(
-        "lifetime_value", F.col("lifetime_value").cast("double")
+    return _as_double(
+        top_k(value, "lifetime_value", k, ["customer_code", "full_name"]), "lifetime_value"
     )
