@@ -45,7 +45,7 @@ def main() -> None:
 
     clock("load_raw", lambda: full_load.load_raw(layers, testdata.RawTables(spark, SF_DIR), int(CPUS)))
     raw = full_load.open_raw(layers)
-    clock("full_load", lambda: full_load.full_load(layers, raw, testdata.AS_OF))
+    clock("full_load", lambda: full_load.full_load(layers, raw, testdata.AS_OF, fact_by="year_month"))
     dims, sales = full_load.open_dims(layers), full_load.open_fact(layers)
     orders, items = raw["orders"], raw["order_items"]
     customers_clean = layers.table("staging", "customers_clean")

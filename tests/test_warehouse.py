@@ -29,7 +29,7 @@ def raw(spark):
 def layers(spark, raw, tmp_path_factory):
     loaded = Layers(spark, str(tmp_path_factory.mktemp("warehouse")))
     full_load.load_raw(loaded, raw)
-    full_load.full_load(loaded, full_load.open_raw(loaded), AS_OF)
+    full_load.full_load(loaded, full_load.open_raw(loaded), AS_OF, fact_by="year_month")
     return loaded
 
 

@@ -75,7 +75,7 @@ def load_staging(
     layers.publish(_side_by_side([job(entity) for entity in raws]))
 
 
-def load_warehouse(layers: Layers) -> None:
+def load_warehouse(layers: Layers, fact_by: str = "date_sk") -> None:
     """Dimensions, then the fact from the dimensions as written, published together."""
     known = layers.versions()
     items, orders, customers, products = layers.tables(
@@ -105,15 +105,20 @@ def load_warehouse(layers: Layers) -> None:
     )
     _, product, location, customer = [written.frame for written in done]
     fact = build_fact_sales(items, orders, customer, product, location)
-    done.append(write("fact_sales", clustered(fact), partition_by=["year_month"]))
+    done.append(write("fact_sales", clustered(fact, fact_by), partition_by=["year_month"]))
     layers.publish(done)
 
 
 def full_load(
-    layers: Layers, raws: Mapping[str, DataFrame], as_of: datetime | str, mode: str | None = None
+    layers: Layers,
+    raws: Mapping[str, DataFrame],
+    as_of: datetime | str,
+    mode: str | None = None,
+    fact_by: str = "date_sk",
 ) -> None:
+    """Raw tables to published staging and warehouse tables; `fact_by` as in `clustered`."""
     load_staging(layers, raws, casts.moment(as_of), mode)
-    load_warehouse(layers)
+    load_warehouse(layers, fact_by)
 
 
 def refresh_customers(

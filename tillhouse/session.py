@@ -15,13 +15,33 @@ TUNING = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Streaming state on local disk, so that it may outgrow the memory.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
     # Plans are built from many small expressions; recording a Python stack for each is slow.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
-def build_session(app: str = "tillhouse", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with `TUNING`; on a cluster leave `master` unset and let spark-submit name it."""
+# What one task should hold of a shuffle.
+PARTITION_BYTES = 128 * 1024 * 1024
+
+
+def shuffle_partitions(input_bytes: int) -> int:
+    """Enough shuffle partitions for the largest shuffle; adaptive execution merges spare ones."""
+    return max(200, -(-input_bytes // PARTITION_BYTES))
+
+
+def build_session(
+    app: str = "tillhouse", master: str | None = None, input_bytes: int | None = None, **conf: str
+) -> SparkSession:
+    """A session with `TUNING`; on a cluster leave `master` unset and let spark-submit name it.
+
+    `input_bytes`, the size of the raw tables, sets the number of shuffle partitions.
+    """
+    if input_bytes is not None:
+        conf.setdefault("spark.sql.shuffle.partitions", str(shuffle_partitions(input_bytes)))
     builder = SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
     if master:
         builder = builder.master(master)
