@@ -423,6 +423,15 @@ def oracle_sql() -> dict[str, str]:
         f"SELECT order_item_id, unit_price FROM order_items_raw WHERE unit_price IS NOT NULL AND {_money('unit_price')} IS NULL",
     )
 
+    issues = sql["issue_counts"].split("SELECT 'orphan_orders' AS issue", 1)[1]
+    sql["profile_raw"] = _with(
+        all_raw,
+        f"""SELECT 'orphan_orders' AS metric{issues}
+  UNION ALL SELECT 'price_type_mismatches', count(*) FROM products_raw WHERE unit_price IS NOT NULL AND {_money('unit_price')} IS NULL
+  UNION ALL {_per_entity("SELECT 'rows_{e}', count(*) FROM {e}_raw")}
+  UNION ALL {_per_entity("SELECT 'duplicate_keys_{e}', count(*) FROM (SELECT 1 FROM {e}_raw GROUP BY {key} HAVING count(*)>1)")}""",
+    )
+
     # Staging
     for e in ENTITIES:
         sql[f"stage_{e}_clean"] = _with(_staging(e), f"SELECT {_doubles(e)} FROM {e}_clean")
@@ -527,6 +536,7 @@ def oracle_sql() -> dict[str, str]:
     sql["q_category_revenue_filtered"] = _with(STAR, by("category", f"year={YEAR}", "category", None))
     sql["q_top_customer_cities"] = _with(STAR, by("customer_city", "TRUE", "city"))
     sql["q_top_order_cities"] = _with(STAR, by("location_city", "TRUE", "city"))
+    sql["q_top_customer_cities_filtered"] = _with(STAR, by("customer_city", IN_SCOPE, "city"))
     sql["q_top_order_cities_filtered"] = _with(STAR, by("location_city", f"category='{CATEGORY}'", "city"))
     sql["q_top_cities_display"] = _with(
         [*STAR, f"top AS ({by('customer_city', 'TRUE', 'city')})"],

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -19,7 +20,7 @@ def row_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n"))
 
 
-def layer_counts(tables: dict[str, DataFrame]) -> DataFrame:
+def layer_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """(table_name, n) for each table."""
     return union_all(
         [row_count(df).select(F.lit(name).alias("table_name"), "n") for name, df in tables.items()]
@@ -35,7 +36,7 @@ def condition_counts(df: DataFrame, conditions: dict[str, Column]) -> DataFrame:
     return counts.select(F.inline(pairs))
 
 
-def issue_counts(raws: dict[str, DataFrame], as_of: Column) -> DataFrame:
+def issue_counts(raws: Mapping[str, DataFrame], as_of: Column) -> DataFrame:
     """Lost parents, negative quantities and future updates in the raw tables."""
     return union_all(
         [
@@ -111,3 +112,21 @@ def describe(df: DataFrame) -> DataFrame:
 
 def shape(df: DataFrame) -> tuple[int, int]:
     return df.count(), len(df.columns)
+
+
+def profile_raw(raws: Mapping[str, DataFrame], keys: Mapping[str, str], as_of: Column) -> DataFrame:
+    """(metric, n): the raw profiling report - row counts, issues, bad prices, repeated keys."""
+    counts = layer_counts(raws).select(
+        F.concat(F.lit("rows_"), F.col("table_name")).alias("metric"), "n"
+    )
+    issues = issue_counts(raws, as_of).withColumnRenamed("issue", "metric")
+    prices = condition_counts(
+        raws["products"], {"price_type_mismatches": p.type_mismatch("unit_price")}
+    ).withColumnRenamed("issue", "metric")
+    repeated = [
+        _repeated(df, keys[name]).agg(F.count(F.lit(1)).alias("n")).select(
+            F.lit(f"duplicate_keys_{name}").alias("metric"), "n"
+        )
+        for name, df in raws.items()
+    ]
+    return union_all([counts, issues, prices, *repeated])

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,7 +12,7 @@ from tillhouse.operators.rules import ENTITY
 from tillhouse.operators.staging import quality_counts
 
 
-def staging_counts(raws: dict[str, DataFrame], as_of: Column, mode: str | None = None) -> DataFrame:
+def staging_counts(raws: Mapping[str, DataFrame], as_of: Column, mode: str | None = None) -> DataFrame:
     """(entity, clean, errors) for each raw table."""
     return union_all(
         [

@@ -206,6 +206,16 @@ def type_mismatches_all(s: Shop) -> DataFrame:
     return profiling.type_mismatches(s.raw["order_items"], "order_item_id", "unit_price")
 
 
+@_query
+def profile_raw(s: Shop) -> DataFrame:
+    return profiling.profile_raw(s.raw, {e: ENTITY[e].key for e in ENTITIES}, s.as_of)
+
+
+@_query
+def q_top_customer_cities_filtered(s: Shop) -> DataFrame:
+    return analytics.top_customer_cities(s.filtered, s.dims)
+
+
 # Staging ------------------------------------------------------------------------------------
 
 
