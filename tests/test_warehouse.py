@@ -70,17 +70,21 @@ def test_loading_again_changes_nothing(spark, layers, raw):
     before = [rows(t) for t in layers.tables(*names)]
     full_load.full_load(layers, raw, AS_OF)
     assert [rows(t) for t in layers.tables(*names)] == before
-    assert layers.versions()[DW, "fact_sales"] == 2
+    assert layers.versions()[DW, "fact_sales"] == (2, 2)
 
 
 def test_unpublished_files_are_not_read(spark, tmp_path):
     layers = Layers(spark, str(tmp_path))
     layers.replace("x", "t", spark.range(3))
-    layers.write("x", "t", spark.range(100), 2)
+    layers.write("x", "t", spark.range(100), layers.versions())
     assert layers.table("x", "t").count() == 3
     layers.replace("x", "t", layers.table("x", "t").filter("id > 0"))
     assert layers.table("x", "t").count() == 2
     assert layers.append("x", "t", spark.range(5)).count() == 7
+    layers.write("x", "t", spark.range(50), layers.versions(), append=True)  # dies before publishing
+    assert layers.table("x", "t").columns == ["id"] and layers.table("x", "t").count() == 7
+    assert layers.append("x", "t", spark.range(1)).count() == 8
+    assert layers.replace("x", "t", spark.range(2)).count() == 2
     with pytest.raises(LookupError):
         layers.table("x", "other")
 
@@ -147,6 +151,8 @@ def test_increment_is_idempotent(spark, raw, tmp_path, as_of):
     assert full_load.increment(layers, raw["orders"], AS_OF).count() == after
     layers.replace(STAGING, "load_watermarks", sources.seed_watermarks(spark))
     assert full_load.increment(layers, raw["orders"], AS_OF).count() == after
+    early_end = layers.versions()[STAGING, "orders_clean"]
+    assert early_end[0] == 1 and early_end[1] > 1
     marks = {r.table_name: r.last_loaded_at for r in layers.table(STAGING, "load_watermarks").collect()}
     assert marks == {"ORDERS": datetime(2001, 7, 1), "PAYMENTS": datetime(1900, 1, 1), "CUSTOMERS": datetime(1900, 1, 1)}
 

@@ -93,6 +93,7 @@ def _not_number(name: str) -> Column:
     return p.type_mismatch(name, "decimal(38,10)")
 
 
+# The reasons, and the order in which the rules are asked.
 CUSTOMERS = Entity(
     "customers",
     key="customer_code",

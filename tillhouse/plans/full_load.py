@@ -44,7 +44,7 @@ def load_raw(layers: Layers, raws: Mapping[str, DataFrame], partitions: int | No
     def job(entity: str) -> Callable[[], list[Written]]:
         name = f"{entity}_raw"
         rows = raws[entity].repartition(partitions) if partitions else raws[entity]
-        return lambda: [layers.write(RAW, name, rows, known.get((RAW, name), 0) + 1)]
+        return lambda: [layers.write(RAW, name, rows, known)]
 
     layers.publish(_side_by_side([job(entity) for entity in raws]))
 
@@ -66,8 +66,8 @@ def load_staging(
         def load() -> list[Written]:
             with staged.shared():
                 return [
-                    layers.write(STAGING, clean, staged.clean, known.get((STAGING, clean), 0) + 1),
-                    layers.write(STAGING, errors, staged.errors, known.get((STAGING, errors), 0) + 1),
+                    layers.write(STAGING, clean, staged.clean, known),
+                    layers.write(STAGING, errors, staged.errors, known),
                 ]
 
         return load
@@ -82,12 +82,9 @@ def load_warehouse(layers: Layers, fact_by: str = "date_sk") -> None:
         *[(STAGING, f"{e}_clean") for e in ("order_items", "orders", "customers", "products")]
     )
 
-    def write(name: str, df: DataFrame, partition_by: list[str] | None = None) -> Written:
-        return layers.write(DW, name, df, known.get((DW, name), 0) + 1, partition_by)
-
     def dimension(name: str, df: DataFrame, keys: list[str]) -> Callable[[], list[Written]]:
         def load() -> list[Written]:
-            written = write(name, df)
+            written = layers.write(DW, name, df, known)
             rows = current(written.frame) if name == "dim_customer" else written.frame
             # A repeated dimension key would multiply revenue without any error.
             require_unique(rows, keys, name)
@@ -105,7 +102,9 @@ def load_warehouse(layers: Layers, fact_by: str = "date_sk") -> None:
     )
     _, product, location, customer = [written.frame for written in done]
     fact = build_fact_sales(items, orders, customer, product, location)
-    done.append(write("fact_sales", clustered(fact, fact_by), partition_by=["year_month"]))
+    done.append(
+        layers.write(DW, "fact_sales", clustered(fact, fact_by), known, partition_by=["year_month"])
+    )
     layers.publish(done)
 
 
@@ -132,18 +131,20 @@ def refresh_customers(
 def increment(
     layers: Layers, raw_orders: DataFrame, as_of: datetime | str, validate: bool = True
 ) -> DataFrame:
-    """Append the new orders to staging, then move the watermark; returns the orders.
+    """Append the new orders to staging and move the watermark; returns the orders.
 
-    With `validate` orders already loaded are left out, so a run that died between the two steps
-    can simply be run again.
+    Both are published by one manifest line set, so a run that dies has done nothing, and the
+    next one starts from the old watermark. `validate` as in `incremental_orders`.
     """
     if (STAGING, "load_watermarks") not in layers.versions():
         layers.replace(STAGING, "load_watermarks", seed_watermarks(layers.spark))
+    known = layers.versions()
     marks, loaded = layers.tables((STAGING, "load_watermarks"), (STAGING, "orders_clean"))
     done = incremental_orders(raw_orders, loaded, marks, casts.moment(as_of), validate)
-    after = layers.append(STAGING, "orders_clean", done.added)
-    layers.replace(STAGING, "load_watermarks", done.watermarks)
-    return after
+    added = layers.write(STAGING, "orders_clean", done.added, known, append=True)
+    moved = layers.write(STAGING, "load_watermarks", done.watermarks, known)
+    layers.publish([added, moved])
+    return added.frame
 
 
 def open_dims(layers: Layers) -> Dims:

@@ -11,15 +11,16 @@ from pyspark.sql.utils import AnalysisException
 
 from tillhouse.schema import SCHEMAS
 
-_MANIFEST = "layer STRING, name STRING, version BIGINT, published_at TIMESTAMP_NTZ"
+_MANIFEST = "layer STRING, name STRING, base BIGINT, version BIGINT, published_at TIMESTAMP_NTZ"
 
 
 @dataclass(frozen=True)
 class Written:
-    """A table version that is on disk but not yet visible to readers."""
+    """A table version on disk. Versions `base` to `version` make up the table."""
 
     layer: str
     name: str
+    base: int
     version: int
     frame: DataFrame
 
@@ -29,29 +30,34 @@ class Layers:
 
     A load writes new versions and then appends their lines to the manifest in one write, which
     is what makes them visible, all together. A plan may therefore read a table that it
-    replaces, and a load that dies half way leaves readers on the old versions.
+    replaces, and a load that dies half way leaves readers on the old versions. An appended
+    version holds the new rows only; a replacing one starts the table afresh.
     """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
 
-    def versions(self) -> dict[tuple[str, str], int]:
-        """The published version of each table; one small control row per table."""
+    def versions(self) -> dict[tuple[str, str], tuple[int, int]]:
+        """The published (base, version) of each table; one small control row per table."""
         try:
             lines = self.spark.read.schema(_MANIFEST).parquet(f"{self.root}/_manifest")
         except AnalysisException:
             return {}
-        latest = lines.groupBy("layer", "name").agg(F.max("version").alias("version"))
-        return {(row.layer, row.name): row.version for row in latest.collect()}
+        latest = lines.groupBy("layer", "name").agg(F.max(F.struct("version", "base")).alias("last"))
+        return {(row.layer, row.name): (row.last.base, row.last.version) for row in latest.collect()}
 
     def path(self, layer: str, name: str, version: int) -> str:
         return f"{self.root}/{layer}/{name}/version={version}"
 
-    def _read(self, layer: str, name: str, version: int) -> DataFrame:
+    def _read(self, layer: str, name: str, base: int, version: int) -> DataFrame:
         schema = SCHEMAS.get(layer, {}).get(name)
         reader = self.spark.read.schema(schema) if schema else self.spark.read
-        return reader.parquet(self.path(layer, name, version))
+        if base == version:
+            return reader.parquet(self.path(layer, name, version))
+        paths = [self.path(layer, name, v) for v in range(base, version + 1)]
+        folder = f"{self.root}/{layer}/{name}"
+        return reader.option("basePath", folder).parquet(*paths).drop("version")
 
     def tables(self, *names: tuple[str, str]) -> list[DataFrame]:
         """Published tables, all as of the same look at the manifest."""
@@ -59,42 +65,48 @@ class Layers:
         lost = [f"{layer}.{name}" for layer, name in names if (layer, name) not in known]
         if lost:
             raise LookupError(f"not loaded: {', '.join(lost)}")
-        return [self._read(layer, name, known[layer, name]) for layer, name in names]
+        return [self._read(layer, name, *known[layer, name]) for layer, name in names]
 
     def table(self, layer: str, name: str) -> DataFrame:
         return self.tables((layer, name))[0]
 
     def write(
-        self, layer: str, name: str, df: DataFrame, version: int, partition_by: list[str] | None = None
+        self,
+        layer: str,
+        name: str,
+        df: DataFrame,
+        known: dict[tuple[str, str], tuple[int, int]],
+        append: bool = False,
+        partition_by: list[str] | None = None,
     ) -> Written:
-        """Write a version that is not visible yet.
+        """Write the version after the one in `known`, not visible yet.
 
         Files that a dead attempt left under this number were never published.
         """
+        base, last = known.get((layer, name), (0, 0))
+        version = last + 1
+        base = base if append and base else version
         writer = df.write.mode("overwrite")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(self.path(layer, name, version))
-        return Written(layer, name, version, self._read(layer, name, version))
+        return Written(layer, name, base, version, self._read(layer, name, base, version))
 
     def publish(self, written: list[Written]) -> None:
         now = datetime.now(timezone.utc).replace(tzinfo=None)
-        lines = [(w.layer, w.name, w.version, now) for w in written]
+        lines = [(w.layer, w.name, w.base, w.version, now) for w in written]
         self.spark.createDataFrame(lines, _MANIFEST).coalesce(1).write.mode("append").parquet(
             f"{self.root}/_manifest"
         )
 
     def replace(self, layer: str, name: str, df: DataFrame) -> DataFrame:
         """Write and publish one table."""
-        version = self.versions().get((layer, name), 0) + 1
-        written = self.write(layer, name, df, version)
+        written = self.write(layer, name, df, self.versions())
         self.publish([written])
         return written.frame
 
     def append(self, layer: str, name: str, df: DataFrame) -> DataFrame:
-        """Add rows to the published version."""
-        version = self.versions().get((layer, name))
-        if not version:
-            return self.replace(layer, name, df)
-        df.write.mode("append").parquet(self.path(layer, name, version))
-        return self._read(layer, name, version)
+        """Add rows to a table and publish it; nothing is visible if the write dies."""
+        written = self.write(layer, name, df, self.versions(), append=True)
+        self.publish([written])
+        return written.frame
