@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -15,6 +18,23 @@ from tillhouse.session import shared_dir
 ROW = "_row"
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this library to the Python workers, once per application; they need not have it installed."""
+    context = spark.sparkContext
+    if getattr(context, "_tillhouse_shipped", False):
+        return
+    top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    target = os.path.join(tempfile.mkdtemp(), "tillhouse.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as archive:
+        for folder, _, names in os.walk(top):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    archive.write(path, os.path.relpath(path, os.path.dirname(top)))
+    context.addPyFile(target)
+    context._tillhouse_shipped = True
+
+
 def keep(df: DataFrame, purpose: str) -> DataFrame:
     """Write `df` as Parquet into the shared folder and read it back.
 
