@@ -5,10 +5,12 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+import oracle
 from tests.compare import connect, differences
+from tillhouse.plans import catalog
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = catalog.queries(), oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -18,6 +20,7 @@ def duck():
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry.queries())
 
 
 def test_entry(spark):
