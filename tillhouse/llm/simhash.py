@@ -21,10 +21,10 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillhouse.llm.common import batch_rows, components, keep
+from tillhouse.llm.common import ROW, batch_rows, components, keep, packed
 from tillhouse.operators.joins import splittable_join
 
 BITS = 64
@@ -56,18 +56,18 @@ def fingerprint(text: bytes, size: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle_words: int = 3) -> DataFrame:
-    """(doc_id, fp) of every row; fp is the fingerprint as a signed long."""
+    """(doc_id, mark, fp) of every row of `docs` (doc_id, text, mark); fp is the fingerprint as a signed long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(1).cast(pa.binary()).to_pylist()
             found = np.array([fingerprint(t or b"", shingle_words) for t in texts], dtype=np.uint64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(found.view(np.int64))], names=["doc_id", "fp"]
+                [batch.column(0), batch.column(2), pa.array(found.view(np.int64))], names=["doc_id", "mark", "fp"]
             )
 
-    ids = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return ids.mapInArrow(run, "doc_id long, fp long")
+    slim = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.col("mark").cast("long"))
+    return slim.mapInArrow(run, "doc_id long, mark long, fp long")
 
 
 def pair_counts(distinct: DataFrame) -> tuple[int, np.ndarray]:
@@ -247,21 +247,42 @@ def links(distinct: DataFrame, max_bits: int = 2) -> DataFrame:
     return left.join(right, condition).select("a", "b")
 
 
-def near_duplicates(docs: DataFrame, shingle_words: int = 3, max_bits: int = 2) -> DataFrame:
-    """(doc_id, fp, component_id) of every row: the smallest doc_id reachable by links.
+def near_duplicates(docs: DataFrame, shingle_words: int = 3, max_bits: int = 2, mark: Column | None = None) -> DataFrame:
+    """(doc_id, mark, fp, root, component_id) of every row: the smallest doc_id reachable by links.
 
+    `root` names the component, and `mark` is a number over `docs` that a caller knows its rows by.
     Rows meet as distinct fingerprints, so a group of copies of any size is one of them.
     """
+    marked = docs.select("doc_id", "text", (F.lit(None) if mark is None else mark).cast("long").alias("mark"))
     with batch_rows(docs.sparkSession, 256):
-        rows = keep(fingerprints(docs, shingle_words), "fingerprints")
+        rows = keep(fingerprints(marked, shingle_words), "fingerprints")
     distinct = keep(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct-fingerprints")
     roots = keep(components(links(distinct, max_bits)), "components")
     classed = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "first", F.coalesce("root", "fp").alias("root")
     )
     smallest = classed.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = keep(classed.join(smallest, "root").select("fp", "component_id"), "named-fingerprints")
-    return splittable_join(rows, named, "fp").select("doc_id", "fp", "component_id")
+    named = keep(classed.join(smallest, "root").select("fp", "root", "component_id"), "named-fingerprints")
+    return splittable_join(rows, named, "fp").select("doc_id", "mark", "fp", "root", "component_id")
+
+
+def one_of_each(docs: DataFrame, shingle_words: int = 3, max_bits: int = 2) -> DataFrame:
+    """The rows of `docs` that stand for their component, one each: that with the smallest doc_id.
+
+    Of rows that share this doc_id the one with the smallest row digest stays, and of equal rows one.
+    """
+    digest = F.xxhash64(F.struct(*[docs[f"`{c}`"] for c in docs.columns]))
+    classes = near_duplicates(docs, shingle_words, max_bits, digest)
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")
+    stays = classes.groupBy("root").agg(F.min(order).alias("s")).select(
+        F.col("s.mark").alias("digest"), F.coalesce(F.col("s.doc_id").cast("string"), F.lit("")).alias("id")
+    )
+    rows = packed(docs).withColumns(
+        {"digest": F.xxhash64(ROW), "id": F.coalesce(F.col(f"{ROW}.doc_id").cast("string"), F.lit(""))}
+    )
+    met = rows.join(keep(stays, "component-rows"), ["digest", "id"])
+    nth = F.row_number().over(Window.partitionBy("digest", "id").orderBy("digest"))
+    return met.withColumn("nth", nth).where("nth = 1").select(f"{ROW}.*")
 
 
 def hex_digits(fp: Column) -> Column:
