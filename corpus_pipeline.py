@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from tillhouse.llm import decontaminate, lines, mixing, simhash, toxicity
 from tillhouse.llm.common import ROW, keep, ship
 from tillhouse.llm.queries import table
-from tillhouse.operators.joins import splittable_join
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,22 +30,9 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one with the smallest doc_id.
-
-    Rows that share this id and its fingerprint are told apart by a digest of the row. Documents
-    without an id are one group for each component of nothing else, and one of them stays.
-    """
+    """One document of each group of near copies: the one with the smallest doc_id."""
     ship(spark)
-    classes = simhash.near_duplicates(docs)
-    first = classes.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias(ROW))
-    marked = rows.withColumn("doc_id", F.col(f"{ROW}.doc_id"))
-    kept = splittable_join(
-        marked.withColumn("key", F.coalesce(F.col("doc_id").cast("string"), F.lit(""))),
-        first.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("key")), "key", "left_semi",
-    )
-    # Several rows may carry the id that stays; one of them does.
-    return kept.groupBy("key").agg(F.min_by(ROW, F.xxhash64(ROW)).alias(ROW)).select(f"{ROW}.*")
+    return simhash.one_of_each(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
