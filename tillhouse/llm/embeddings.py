@@ -283,7 +283,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, block: int = BLO
         .select("key", "first", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("root", "key").alias("root"))
     )
     smallest = classed.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = keep(classed.join(smallest, "root").select("key", "n_links", "component_id"), "vector-components")
+    named = keep(splittable_join(classed, smallest, "root").select("key", "n_links", "component_id"), "vector-components")
     alone = F.col("key").isNull()
     # Rows without a class stand apart, since a null key is equal to none.
     found = splittable_join(rows.select("vec_id", "key"), named, "key", "left")

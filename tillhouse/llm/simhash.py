@@ -262,7 +262,7 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 3, max_bits: int = 2,
         "fp", "first", F.coalesce("root", "fp").alias("root")
     )
     smallest = classed.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = keep(classed.join(smallest, "root").select("fp", "root", "component_id"), "named-fingerprints")
+    named = keep(splittable_join(classed, smallest, "root").select("fp", "root", "component_id"), "named-fingerprints")
     return splittable_join(rows, named, "fp").select("doc_id", "mark", "fp", "root", "component_id")
 
 

@@ -20,7 +20,7 @@ from collections.abc import Iterator
 from functools import cache
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tillhouse.llm.common import batch_rows, keep
@@ -55,6 +55,10 @@ def normalised(text: Column) -> Column:
     return F.coalesce(text.cast("string"), F.lit(""))
 
 
+def _id(doc_id: Column) -> Column:
+    return F.coalesce(doc_id.cast("string"), F.lit(""))
+
+
 def read_cache(spark: SparkSession, path: str, tokenizer: str) -> DataFrame:
     """(digest, n_tokens) of one tokenizer version, each digest once; `path` must exist or be writable."""
     spark.createDataFrame([], CACHE_SCHEMA).write.mode("append").parquet(path)
@@ -89,10 +93,11 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, cache_path: str) -> DataF
     known = read_cache(spark, cache_path, tokenizer)
     # One row of each distinct text that the cache misses: the one with the smallest doc_id.
     wanted = rows.groupBy("digest").agg(F.min("doc_id").alias("id")).join(known, "digest", "left_anti")
-    misses = digested.join(
-        wanted.select(F.col("digest").alias("d"), "id"),
-        (F.col("digest") == F.col("d")) & F.col("doc_id").eqNullSafe(F.col("id")), "left_semi",
-    )
+    key = ["digest", "id"]
+    met = digested.select("digest", _id(F.col("doc_id")).alias("id"), "text").join(wanted.select("digest", _id(F.col("id")).alias("id")), key)
+    # Rows that repeat id and text stand side by side after the join.
+    nth = F.row_number().over(Window.partitionBy(*key).orderBy(*key))
+    misses = met.withColumn("nth", nth).where("nth = 1")
     with batch_rows(spark, 64):
         encode(misses.select("digest", "text"), tokenizer_path, tokenizer).write.mode("append").parquet(cache_path)
     counted = keep(read_cache(spark, cache_path, tokenizer), "token-counts")
