@@ -627,5 +627,13 @@ def oracle_sql() -> dict[str, str]:
     sql["full_load_counts"] = _with(
         FACT + _staging("payments"), f"SELECT name AS table_name, n FROM ({' UNION ALL '.join(counts)})"
     )
-    sql["stream_orders"] = _with(orders, "SELECT order_id FROM orders_clean")
+    sql["stream_orders"] = _with(orders, "SELECT * FROM orders_clean")
+    sql["stream_order_errors"] = _with(orders, _errors("orders"))
+    sql["increment_published"] = sql["incremental_orders_validated"]
+    # Orders dated after the run wait for a later one, whatever else is wrong with them.
+    sql["increment_errors"] = _with(
+        orders,
+        f"""SELECT coalesce(reason, 'duplicate_order_id') AS reason, count(*) AS cnt FROM orders_flagged
+  WHERE (reason IS NOT NULL OR place>1) AND coalesce(TRY_CAST(order_date AS TIMESTAMP) <= {AS_OF}, TRUE) GROUP BY 1 ORDER BY 2 DESC, 1""",
+    )
     return sql

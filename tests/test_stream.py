@@ -42,3 +42,17 @@ def test_hot_key_over_many_files(spark, tmp_path, as_of):
         arrive(spark, source, ["HOT"] * 100 + ["A"])
     stream.stream_orders(spark, source, out, str(tmp_path / "ckpt"), as_of)
     assert sorted(r.order_id for r in stream.loaded_orders(spark, out).collect()) == ["A", "HOT"]
+
+
+def test_late_rows_are_kept_and_every_row_is_accounted_for(spark, tmp_path, as_of):
+    source, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "ckpt"))
+    arrive(spark, source, ["O1"], order_date="2001-06-30 00:00:00")
+    stream.stream_orders(spark, source, out, checkpoint, as_of, files_per_batch=1)
+    arrive(spark, source, ["O2", "O1"], order_date="2001-06-01 00:00:00")
+    arrive(spark, source, ["O3", "O2"], order_date="2000-01-01 00:00:00")
+    arrive(spark, source, ["X1"], customer_code=None)
+    arrive(spark, source, ["X2"], order_date="no date")
+    stream.stream_orders(spark, source, out, checkpoint, as_of, files_per_batch=1)
+    assert sorted(r.order_id for r in stream.loaded_orders(spark, out).collect()) == ["O1", "O2", "O3"]
+    reasons = sorted(r.reason for r in stream.rejected_orders(spark, out).collect())
+    assert reasons == ["duplicate_order_id", "duplicate_order_id", "invalid_date_format", "missing_customer_code"]

@@ -6,6 +6,7 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
+from tillhouse.functions import predicates
 from tillhouse.functions.casts import moment
 from tillhouse.operators import inject, profiling, reconcile
 from tillhouse.operators.rules import CONTENT_FIRST, ENTITY
@@ -14,7 +15,7 @@ from tillhouse.plans.catalog import Shop
 from tillhouse.schema import DW, ENTITIES, SCHEMAS, STAGING, empty_table
 from tillhouse.sources import raw as sources
 from tillhouse.sources import sinks
-from tillhouse.sources.layers import Layers
+from tillhouse.sources.layers import ConflictError, Layers
 from tillhouse.sources.testdata import AS_OF, RawTables
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -48,7 +49,7 @@ def test_calendar(spark):
 
 def test_tables_have_the_declared_types(spark, layers):
     for layer, name in [(DW, n) for n in SCHEMAS[DW]] + [(STAGING, f"{e}_errors") for e in ENTITIES]:
-        read = spark.read.parquet(layers.path(layer, name, 1))
+        read = spark.read.parquet(*layers.paths(layer, name))
         declared = empty_table(spark, layer, name).dtypes
         assert [t for t in read.dtypes if t[0] != "year_month"] == declared
 
@@ -70,7 +71,32 @@ def test_loading_again_changes_nothing(spark, layers, raw):
     before = [rows(t) for t in layers.tables(*names)]
     full_load.full_load(layers, raw, AS_OF)
     assert [rows(t) for t in layers.tables(*names)] == before
-    assert layers.versions()[DW, "fact_sales"] == (2, 2)
+    assert layers.versions()[DW, "fact_sales"].number == 2
+
+
+def test_two_writers_from_one_base_both_stay(spark, tmp_path):
+    layers = Layers(spark, str(tmp_path))
+    layers.replace("x", "t", spark.range(3))
+    base = layers.versions()
+    one = layers.write("x", "t", spark.range(10, 12), base, append=True)
+    two = layers.write("x", "t", spark.range(20, 21), base, append=True)
+    other = layers.write("x", "t", spark.range(1), base)
+    layers.publish([one])
+    layers.publish([two])
+    assert sorted(r.id for r in layers.table("x", "t").collect()) == [0, 1, 2, 10, 11, 20]
+    with pytest.raises(ConflictError):
+        layers.publish([other])
+
+
+def test_stored_fact_is_pruned_by_year(layers):
+    plan = analytics.apply_filters(full_load.open_fact(layers), full_load.open_dims(layers), year=1997)
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "year_month" in text.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_negative_numbers_of_any_size(spark):
+    df = spark.createDataFrame([("-1e30",), ("-0.00000000001",), ("0",), ("x",), (None,)], "v string")
+    assert [r[0] for r in df.select(predicates.negative("v")).collect()] == [True, True, False, None, None]
 
 
 def test_unpublished_files_are_not_read(spark, tmp_path):
@@ -151,8 +177,9 @@ def test_increment_is_idempotent(spark, raw, tmp_path, as_of):
     assert full_load.increment(layers, raw["orders"], AS_OF).count() == after
     layers.replace(STAGING, "load_watermarks", sources.seed_watermarks(spark))
     assert full_load.increment(layers, raw["orders"], AS_OF).count() == after
-    early_end = layers.versions()[STAGING, "orders_clean"]
-    assert early_end[0] == 1 and early_end[1] > 1
+    assert len(layers.versions()[STAGING, "orders_clean"].folders) > 1
+    assert layers.compact(STAGING, "orders_clean").count() == after
+    assert len(layers.versions()[STAGING, "orders_clean"].folders) == 1
     marks = {r.table_name: r.last_loaded_at for r in layers.table(STAGING, "load_watermarks").collect()}
     assert marks == {"ORDERS": datetime(2001, 7, 1), "PAYMENTS": datetime(1900, 1, 1), "CUSTOMERS": datetime(1900, 1, 1)}
 
@@ -171,6 +198,9 @@ def test_increment_bounds(spark, as_of):
     assert sorted(r.order_id for r in plain.added.collect()) == ["O1", "O2", "O2", "OA"]
     checked = incremental.incremental_orders(df, loaded, marks, as_of, validate=True)
     assert [r.order_id for r in checked.added.collect()] == ["O2"]
+    assert sorted(r.reason for r in checked.errors.collect()) == sorted(
+        ["invalid_date_format", "missing_customer_code", "orphan_customer", "missing_order_state", "duplicate_order_id", "duplicate_order_id"]
+    )
     nothing = incremental.incremental_orders(df, loaded, marks.limit(0), as_of)
     assert nothing.added.count() == 0
 
@@ -248,7 +278,7 @@ def test_fact_sink(spark, layers, tmp_path):
 
 
 def test_client_refuses_large_results(spark):
-    assert len(sinks.to_client(spark.range(5))) == 5
+    assert len(sinks.to_client(spark.range(5), max_rows=5)) == 5
     with pytest.raises(ValueError):
         sinks.to_client(spark.range(11), max_rows=10)
 

@@ -14,7 +14,7 @@ def to_money(c: Column) -> Column:
 
 
 def to_number(c: Column) -> Column:
-    """A number of any sign and size, for comparisons that must not round first."""
+    """A number with ten decimals; what is larger than 28 digits becomes NULL."""
     return c.try_cast("decimal(38,10)")
 
 

@@ -48,7 +48,8 @@ def negative_money(name: str) -> Column:
 
 
 def negative(name: str) -> Column:
-    return casts.to_number(F.col(name)) < 0
+    """Below zero by any amount and of any size, which a decimal would round or not hold."""
+    return F.col(name).try_cast("double") < 0
 
 
 def not_a_date(name: str) -> Column:

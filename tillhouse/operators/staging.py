@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillhouse.operators import dedupe
+from tillhouse.operators.joins import splittable_join
 from tillhouse.operators.rules import CONTENT_FIRST, REFERENCE, Entity
 
 REASON = "reason"
@@ -45,7 +46,11 @@ def _rivals(flagged: DataFrame, entity: Entity, mode: str) -> tuple[DataFrame, l
 
 
 class Staged:
-    """The two outputs of `stage`; each is a plan that is put together when it is asked for."""
+    """The two outputs of `stage`; each is a plan that is put together when it is asked for.
+
+    Keys that occur once need no ranking: their rows pass through, past a join with the repeated
+    keys, which Spark broadcasts when they are few. Only rows of repeated keys are ranked.
+    """
 
     def __init__(self, raw: DataFrame, entity: Entity, as_of: Column, mode: str, strict: bool):
         self.entity, self.as_of, self.mode = entity, as_of, mode
@@ -53,26 +58,37 @@ class Staged:
         self._rivals, self._order = _rivals(self._flagged, entity, mode)
         self._nulls_last = entity.ranked_columns()
 
+    @cached_property
+    def _repeated(self) -> DataFrame:
+        """Keys of more than one rival; counting them shuffles keys alone."""
+        counts = self._rivals.groupBy(self.entity.key).agg(F.count(F.lit(1)).alias("_n"))
+        return counts.filter("_n > 1").select(self.entity.key)
+
+    @cached_property
+    def _ranked(self) -> DataFrame:
+        """The rivals of repeated keys."""
+        return splittable_join(self._rivals, self._repeated, self.entity.key, "left_semi")
+
     @cached_property
     def _first(self) -> DataFrame:
-        return dedupe.first_rows(self._rivals, self.entity.key, self._order, self._nulls_last)
+        return dedupe.first_rows(self._ranked, self.entity.key, self._order, self._nulls_last)
 
     @contextmanager
     def shared(self):
-        """Keep the first row of each key while both outputs are written, on disk if need be.
-
-        A lost executor only costs the recomputation of its part.
-        """
-        self._first.persist(StorageLevel.MEMORY_AND_DISK)
+        """Keep the repeated keys while both outputs are written."""
+        self._repeated.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             yield self
         finally:
-            self._first.unpersist()
+            self._repeated.unpersist()
 
     @cached_property
     def clean(self) -> DataFrame:
         """Typed rows, one per key."""
-        kept = dedupe.unpack(self._first, self.entity.key, self._order)
+        key = self.entity.key
+        columns = [key, *self._order]
+        once = splittable_join(self._rivals, self._repeated, key, "left_anti").select(*columns)
+        kept = once.unionByName(dedupe.unpack(self._first, key, self._order))
         if self.mode == REFERENCE:
             kept = kept.filter(F.col(REASON).isNull())
         return kept.select(*self.entity.typed())
@@ -81,7 +97,7 @@ class Staged:
     def errors(self) -> DataFrame:
         """Rejected rows as (JSON, reason, time); a rule's reason wins over duplication."""
         entity = self.entity
-        fit = self._flagged.filter(F.col(REASON).isNull())
+        fit = self._ranked.filter(F.col(REASON).isNull())
         lost = dedupe.other_rows(fit, self._first, entity.key, self._order, self._nulls_last)
         unfit = self._flagged.filter(F.col(REASON).isNotNull())
         rejected = unfit.select(*entity.columns, REASON).unionByName(
@@ -108,7 +124,8 @@ def quality_counts(
 ) -> DataFrame:
     """(reason, n): what `stage` would keep (`clean`) and reject, without building the rows.
 
-    Only keys and counters are shuffled.
+    In `content_first` mode only keys and counters are shuffled; in `reference` mode the first row
+    of each key is too, since its reason decides.
     """
     mode = _mode(entity, mode)
     flagged = flag(raw, entity, as_of, strict)

@@ -21,7 +21,8 @@ SEGMENTS = ["Low", "Medium", "High"]
 def apply_filters(fact: DataFrame, dims: Dims, category: str | None = None, year: int | None = None) -> DataFrame:
     """The fact rows of one category and/or year; None means all.
 
-    The year is also put as a range on the date key, which reaches the file scan.
+    The year is also put as a range on the date key, which reaches the file scan, and on the
+    partition column of a stored fact, which skips the folders of other years.
     """
     if category is not None:
         products = dims.product.filter(F.col("category") == category)
@@ -29,6 +30,8 @@ def apply_filters(fact: DataFrame, dims: Dims, category: str | None = None, year
     if year is not None:
         days = dims.date.filter(F.col("year") == year).select("date_sk")
         fact = fact.filter(F.col("date_sk").between(year * 10000, year * 10000 + 9999))
+        if "year_month" in fact.columns:
+            fact = fact.filter(F.col("year_month").between(year * 100 + 1, year * 100 + 12))
         fact = fact.join(days, "date_sk", "left_semi")
     return fact
 

@@ -624,17 +624,46 @@ def full_load_counts(s: Shop) -> DataFrame:
     return profiling.layer_counts(dict(zip([name for _, name in names], layers.tables(*names))))
 
 
+def _streamed(s: Shop) -> str:
+    """The raw orders as arriving files, loaded; the folder of the result."""
+    path = shared_dir(s.spark, "arrivals")
+    s.raw["orders"].repartition(4).write.parquet(path)
+    out = shared_dir(s.spark, "stream")
+    stream.stream_orders(s.spark, path, out, f"{out}/checkpoint", s.as_of)
+    return out
+
+
 @_query
 def stream_orders(s: Shop) -> DataFrame:
-    """The order rules and keyed deduplication as a stream over the raw orders."""
-    arrivals = (
-        s.spark.readStream.schema(s.raw.base["orders"].schema)
-        .option("pathGlobFilter", "orders.parquet")
-        .parquet(s.sf_dir)
-        .withColumn("source_file", F.col(stream.SOURCE_FILE))
-    )
-    raw = testdata.as_raw(s.raw.base, "orders", arrivals, "source_file")
-    out = shared_dir(s.spark, "stream")
-    stream.load_available(stream.fit_orders(raw, s.as_of), f"{out}/orders", f"{out}/checkpoint")
-    # Which copy of a repeated key comes first is up to the arrival order.
-    return stream.loaded_orders(s.spark, f"{out}/orders").select("order_id")
+    """The order rules and keyed deduplication as a stream over arriving raw orders."""
+    return stream.loaded_orders(s.spark, _streamed(s))
+
+
+@_query
+def stream_order_errors(s: Shop) -> DataFrame:
+    """What the stream rejects, with the reasons."""
+    return stream.rejected_orders(s.spark, _streamed(s))
+
+
+def _published_increment(s: Shop) -> Layers:
+    """Staging loaded with the orders up to the watermark, and the increment after it, published."""
+    layers = Layers(s.spark, shared_dir(s.spark, "increment"))
+    raw = s.raw["orders"]
+    at = casts.to_timestamp(F.col("order_date"))
+    full_load.load_staging(layers, {"orders": raw.filter(at <= casts.moment(testdata.WATERMARK))}, s.as_of)
+    marks = incremental.set_watermark(sources.seed_watermarks(s.spark), casts.moment(testdata.WATERMARK))
+    layers.replace(STAGING, "load_watermarks", marks)
+    full_load.increment(layers, raw, testdata.AS_OF)
+    return layers
+
+
+@_query
+def increment_published(s: Shop) -> DataFrame:
+    """The clean orders after a load and an increment, read back from the published table."""
+    return _published_increment(s).table(STAGING, "orders_clean")
+
+
+@_query
+def increment_errors(s: Shop) -> DataFrame:
+    """Rejects of a load and an increment by reason, without those dated after the run."""
+    return staging.reason_counts(_published_increment(s).table(STAGING, "orders_errors"))

@@ -26,7 +26,7 @@ from tillhouse.plans.fact import build_fact_sales
 from tillhouse.plans.incremental import incremental_orders
 from tillhouse.plans.scd2 import scd2_apply
 from tillhouse.schema import DW, ENTITIES, RAW, STAGING
-from tillhouse.sources.layers import Layers, Written
+from tillhouse.sources.layers import ConflictError, Layers, Written
 from tillhouse.sources.raw import seed_watermarks
 from tillhouse.sources.sinks import clustered
 
@@ -131,20 +131,36 @@ def refresh_customers(
 def increment(
     layers: Layers, raw_orders: DataFrame, as_of: datetime | str, validate: bool = True
 ) -> DataFrame:
-    """Append the new orders to staging and move the watermark; returns the orders.
+    """Append the new orders, and with `validate` their rejects, and move the watermark; returns the orders.
 
-    Both are published by one manifest line set, so a run that dies has done nothing, and the
-    next one starts from the old watermark. `validate` as in `incremental_orders`.
+    All are published by one manifest entry, so a run that dies has done nothing, and the next
+    one starts from the old watermark. A run that another increment overtakes finds the watermark
+    moved, and starts again from there. A reject that is logged already is not logged again.
     """
     if (STAGING, "load_watermarks") not in layers.versions():
-        layers.replace(STAGING, "load_watermarks", seed_watermarks(layers.spark))
-    known = layers.versions()
-    marks, loaded = layers.tables((STAGING, "load_watermarks"), (STAGING, "orders_clean"))
-    done = incremental_orders(raw_orders, loaded, marks, casts.moment(as_of), validate)
-    added = layers.write(STAGING, "orders_clean", done.added, known, append=True)
-    moved = layers.write(STAGING, "load_watermarks", done.watermarks, known)
-    layers.publish([added, moved])
-    return added.frame
+        try:
+            layers.replace(STAGING, "load_watermarks", seed_watermarks(layers.spark))
+        except ConflictError:
+            pass  # another run has seeded them
+    while True:
+        known = layers.versions()
+        marks, loaded = layers.tables((STAGING, "load_watermarks"), (STAGING, "orders_clean"))
+        done = incremental_orders(raw_orders, loaded, marks, casts.moment(as_of), validate)
+        written = [
+            layers.write(STAGING, "orders_clean", done.added, known, append=True),
+            layers.write(STAGING, "load_watermarks", done.watermarks, known),
+        ]
+        if validate:
+            errors = done.errors
+            if (STAGING, "orders_errors") in known:
+                logged = layers.table(STAGING, "orders_errors").select("row_data", "reason")
+                errors = errors.join(logged, ["row_data", "reason"], "left_anti").select(*errors.columns)
+            written.append(layers.write(STAGING, "orders_errors", errors, known, append=True))
+        try:
+            layers.publish(written)
+        except ConflictError:
+            continue
+        return layers.table(STAGING, "orders_clean")
 
 
 def open_dims(layers: Layers) -> Dims:

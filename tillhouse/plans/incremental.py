@@ -9,21 +9,57 @@ from pyspark.sql import functions as F
 
 from tillhouse.functions import casts
 from tillhouse.functions import predicates as p
+from tillhouse.operators.joins import splittable_join
 from tillhouse.operators.mutate import update_where
 from tillhouse.operators.profiling import row_count, union_all
 from tillhouse.operators.rules import ORDERS
-from tillhouse.operators.staging import stage
+from tillhouse.operators.staging import pack_row, stage
 
 ORDERS_TABLE = "ORDERS"
 
 
+# The reason of an order that no customer is named in; a full load keeps such orders.
+MISSING_CUSTOMER = "missing_customer_code"
+
+
 @dataclass(frozen=True)
 class Increment:
     added: DataFrame
+    errors: DataFrame
     orders_clean: DataFrame
     watermarks: DataFrame
 
 
+@dataclass(frozen=True)
+class Admitted:
+    clean: DataFrame
+    errors: DataFrame
+
+
+def admit_orders(raw: DataFrame, loaded: DataFrame, as_of: Column) -> Admitted:
+    """Arrived orders, each either clean or rejected with a reason.
+
+    They pass the order rules and are deduplicated; those whose key is in `loaded` are rejected as
+    duplicates, and those without a customer as well. Loaded keys are cut down to the arriving
+    ones first, so a small arrival is what travels, not the table.
+    """
+    key = ORDERS.key
+    arriving = raw.select(key).filter(F.col(key).isNotNull())
+    old = loaded.select(key).join(arriving, key, "left_semi").distinct().withColumn("_old", F.lit(True))
+    met = splittable_join(raw.select(*ORDERS.columns), old, key, "left")
+    candidate = F.col("_old").isNull() & F.col("customer_code").isNotNull()
+    staged = stage(met.filter(candidate).drop("_old"), ORDERS, as_of)
+    reason = F.coalesce(
+        ORDERS.reason(as_of),
+        F.when(F.col("customer_code").isNull(), F.lit(MISSING_CUSTOMER)),
+        F.lit(ORDERS.duplicate_reason),
+    )
+    others = met.filter(~candidate).select(
+        pack_row(ORDERS.columns).alias("row_data"), reason.alias("reason"), as_of.alias("logged_at")
+    )
+    return Admitted(staged.clean, staged.errors.unionByName(others))
+
+
 def watermark(watermarks: DataFrame, table: str = ORDERS_TABLE) -> Column:
     """The last loaded moment of a table as a scalar subquery; NULL selects no rows."""
     return (
@@ -52,26 +88,25 @@ def incremental_orders(
     """Orders newer than the watermark, the clean table with them, and the moved watermark.
 
     By default rows are only checked for the orphan sentinel (a NULL customer is dropped as
-    well) and for time. With `validate` they pass all order rules, are deduplicated, and orders
-    already loaded are left out.
+    well) and for time, and nothing is logged. With `validate` every row of the window goes to
+    `added` or to `errors`, as in `admit_orders`. A date that does not parse is in no window, so
+    such rows are always looked at: pass new arrivals only, or they are found again.
     """
-    # Only the window is typed, checked and deduplicated; what is older was loaded before.
-    window = since(
-        raw_orders.filter(p.not_orphan("customer_code")).withColumn(
-            "_at", casts.to_timestamp(F.col("order_date"))
-        ),
-        "_at",
-        watermark(watermarks),
-        as_of,
-    ).drop("_at")
+    at = casts.to_timestamp(F.col("order_date"))
     if validate:
-        added = stage(window, ORDERS, as_of).clean.join(
-            orders_clean.select("order_id"), "order_id", "left_anti"
-        )
+        dated = raw_orders.withColumn("_at", at)
+        unread = dated.filter(F.col("_at").isNull())
+        window = since(dated, "_at", watermark(watermarks), as_of).unionByName(unread).drop("_at")
+        admitted = admit_orders(window, orders_clean, as_of)
+        added, errors = admitted.clean, admitted.errors
     else:
-        added = window.select(*ORDERS.typed())
+        # Only the window is typed and checked; what is older was loaded before.
+        dated = raw_orders.filter(p.not_orphan("customer_code")).withColumn("_at", at)
+        window = since(dated, "_at", watermark(watermarks), as_of)
+        added, errors = window.select(*ORDERS.typed()), stage(raw_orders.limit(0), ORDERS, as_of).errors
     return Increment(
         added,
+        errors,
         orders_clean.unionByName(added),
         set_watermark(watermarks, as_of),
     )

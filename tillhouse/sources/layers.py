@@ -2,62 +2,114 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from tillhouse.schema import SCHEMAS
 
-_MANIFEST = "layer STRING, name STRING, base BIGINT, version BIGINT, published_at TIMESTAMP_NTZ"
+# Older manifest entries than this many are removed; readers only ever need the last one.
+KEPT_ENTRIES = 100
+
+
+class ConflictError(RuntimeError):
+    """Someone else published a table that this load was replacing."""
+
+
+@dataclass(frozen=True)
+class Version:
+    """What a table consists of: its number counts the publishes, its folders hold the rows."""
+
+    number: int = 0
+    folders: tuple[str, ...] = ()
+
+
+Versions = dict[tuple[str, str], Version]
 
 
 @dataclass(frozen=True)
 class Written:
-    """A table version on disk. Versions `base` to `version` make up the table."""
+    """A folder on disk that was written on top of the version `seen`, not visible yet."""
 
     layer: str
     name: str
-    base: int
-    version: int
+    folder: str
+    seen: Version
+    append: bool
     frame: DataFrame
 
 
 class Layers:
-    """Tables under `<root>/<layer>/<name>/version=<n>`.
+    """Tables under `<root>/<layer>/<name>/version=<unique id>`.
+
+    A load writes folders of its own and then creates the next entry of the manifest, which is
+    what makes them visible, all together. A plan may therefore read a table that it replaces,
+    and a load that dies half way leaves readers on the old versions.
 
-    A load writes new versions and then appends their lines to the manifest in one write, which
-    is what makes them visible, all together. A plan may therefore read a table that it
-    replaces, and a load that dies half way leaves readers on the old versions. An appended
-    version holds the new rows only; a replacing one starts the table afresh.
+    Entries are numbered and each lists the folders of all tables. Creating one fails where its
+    number is taken, and the publish is then put on top of the newer entry: appended folders are
+    added to whatever the table is by now, and a replacement of a table that has changed since
+    it was read is refused with `ConflictError`. The file system must create files exclusively.
     """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
 
-    def versions(self) -> dict[tuple[str, str], tuple[int, int]]:
-        """The published (base, version) of each table; one small control row per table."""
-        try:
-            lines = self.spark.read.schema(_MANIFEST).parquet(f"{self.root}/_manifest")
-        except AnalysisException:
-            return {}
-        latest = lines.groupBy("layer", "name").agg(F.max(F.struct("version", "base")).alias("last"))
-        return {(row.layer, row.name): (row.last.base, row.last.version) for row in latest.collect()}
+    def _path(self, name: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/_manifest/{name}")
+
+    def _fs(self):
+        return self._path(".").getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
 
-    def path(self, layer: str, name: str, version: int) -> str:
-        return f"{self.root}/{layer}/{name}/version={version}"
+    def _numbers(self) -> list[int]:
+        fs, folder = self._fs(), self._path(".")
+        if not fs.exists(folder):
+            return []
+        names = [status.getPath().getName() for status in fs.listStatus(folder)]
+        return sorted(int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit())
 
-    def _read(self, layer: str, name: str, base: int, version: int) -> DataFrame:
+    def _entry(self, number: int) -> dict | None:
+        """An entry, or None while it is being written or when its writer died."""
+        stream = self._fs().open(self._path(f"{number:012d}.json"))
+        try:
+            return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        except json.JSONDecodeError:
+            return None
+        finally:
+            stream.close()
+
+    def _state(self) -> tuple[int, int, Versions]:
+        """(highest number, number of the last whole entry, its tables); one entry is read."""
+        numbers = self._numbers()
+        for number in reversed(numbers):
+            if (entry := self._entry(number)) is not None:
+                tables = {tuple(k.split("/", 1)): Version(v["number"], tuple(v["folders"])) for k, v in entry["tables"].items()}
+                return numbers[-1], number, tables
+        return (numbers[-1] if numbers else 0), 0, {}
+
+    def versions(self) -> Versions:
+        """The published version of each table."""
+        return self._state()[2]
+
+    def path(self, layer: str, name: str, folder: str) -> str:
+        return f"{self.root}/{layer}/{name}/version={folder}"
+
+    def paths(self, layer: str, name: str) -> list[str]:
+        """The folders of a published table."""
+        return [self.path(layer, name, f) for f in self.versions()[layer, name].folders]
+
+    def _read(self, layer: str, name: str, folders: tuple[str, ...]) -> DataFrame:
         schema = SCHEMAS.get(layer, {}).get(name)
         reader = self.spark.read.schema(schema) if schema else self.spark.read
-        if base == version:
-            return reader.parquet(self.path(layer, name, version))
-        paths = [self.path(layer, name, v) for v in range(base, version + 1)]
-        folder = f"{self.root}/{layer}/{name}"
-        return reader.option("basePath", folder).parquet(*paths).drop("version")
+        paths = [self.path(layer, name, f) for f in folders]
+        if len(paths) == 1:
+            return reader.parquet(paths[0])
+        return reader.option("basePath", f"{self.root}/{layer}/{name}").parquet(*paths).drop("version")
 
     def tables(self, *names: tuple[str, str]) -> list[DataFrame]:
         """Published tables, all as of the same look at the manifest."""
@@ -65,7 +117,7 @@ class Layers:
         lost = [f"{layer}.{name}" for layer, name in names if (layer, name) not in known]
         if lost:
             raise LookupError(f"not loaded: {', '.join(lost)}")
-        return [self._read(layer, name, *known[layer, name]) for layer, name in names]
+        return [self._read(layer, name, known[layer, name].folders) for layer, name in names]
 
     def table(self, layer: str, name: str) -> DataFrame:
         return self.tables((layer, name))[0]
@@ -75,29 +127,61 @@ class Layers:
         layer: str,
         name: str,
         df: DataFrame,
-        known: dict[tuple[str, str], tuple[int, int]],
+        known: Versions,
         append: bool = False,
         partition_by: list[str] | None = None,
     ) -> Written:
-        """Write the version after the one in `known`, not visible yet.
-
-        Files that a dead attempt left under this number were never published.
-        """
-        base, last = known.get((layer, name), (0, 0))
-        version = last + 1
-        base = base if append and base else version
-        writer = df.write.mode("overwrite")
+        """Write the rows that follow the version in `known`, or take its place."""
+        seen = known.get((layer, name), Version())
+        folder = uuid.uuid4().hex
+        writer = df.write.mode("errorifexists")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
-        writer.parquet(self.path(layer, name, version))
-        return Written(layer, name, base, version, self._read(layer, name, base, version))
+        writer.parquet(self.path(layer, name, folder))
+        folders = (*seen.folders, folder) if append else (folder,)
+        return Written(layer, name, folder, seen, append, self._read(layer, name, folders))
+
+    def _create(self, number: int, entry: dict) -> bool:
+        """Whether this call created the entry; False where its number is taken."""
+        try:
+            out = self._fs().create(self._path(f"{number:012d}.json"), False)
+        except Py4JJavaError as error:
+            if "FileAlreadyExists" in error.java_exception.getClass().getName() or "already exists" in str(error.java_exception):
+                return False
+            raise
+        out.write(bytearray(json.dumps(entry).encode()))
+        out.close()
+        return True
+
+    def _followed(self, number: int) -> bool:
+        """Whether every later entry was made on top of this one or of one that was."""
+        chain = {number}
+        for later in [n for n in self._numbers() if n > number]:
+            entry = self._entry(later)
+            if entry is not None and entry["after"] not in chain:
+                return False
+            chain.add(later)
+        return True
 
     def publish(self, written: list[Written]) -> None:
-        now = datetime.now(timezone.utc).replace(tzinfo=None)
-        lines = [(w.layer, w.name, w.base, w.version, now) for w in written]
-        self.spark.createDataFrame(lines, _MANIFEST).coalesce(1).write.mode("append").parquet(
-            f"{self.root}/_manifest"
-        )
+        """Make all of `written` visible at once, on top of what others published meanwhile."""
+        while True:
+            highest, last, tables = self._state()
+            for w in written:
+                now = tables.get((w.layer, w.name), Version())
+                if not w.append and now.number != w.seen.number:
+                    raise ConflictError(f"{w.layer}.{w.name} was published by another load")
+                tables[w.layer, w.name] = Version(now.number + 1, (*now.folders, w.folder) if w.append else (w.folder,))
+            entry = {
+                "after": last,
+                "at": datetime.now(timezone.utc).isoformat(),
+                "tables": {"/".join(k): {"number": v.number, "folders": list(v.folders)} for k, v in tables.items()},
+            }
+            # One that overtook this entry while it was being written did not see it: publish again.
+            if self._create(highest + 1, entry) and self._followed(highest + 1):
+                for old in self._numbers()[:-KEPT_ENTRIES]:
+                    self._fs().delete(self._path(f"{old:012d}.json"), False)
+                return
 
     def replace(self, layer: str, name: str, df: DataFrame) -> DataFrame:
         """Write and publish one table."""
@@ -109,4 +193,12 @@ class Layers:
         """Add rows to a table and publish it; nothing is visible if the write dies."""
         written = self.write(layer, name, df, self.versions(), append=True)
         self.publish([written])
+        return self.table(layer, name)
+
+    def compact(self, layer: str, name: str, partition_by: list[str] | None = None) -> DataFrame:
+        """Rewrite an appended table as one folder; refused if rows are added meanwhile."""
+        known = self.versions()
+        rows = self._read(layer, name, known[layer, name].folders)
+        written = self.write(layer, name, rows, known, partition_by=partition_by)
+        self.publish([written])
         return written.frame

@@ -5,9 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A collected result larger than this is a mistake, not a report.
-CLIENT_ROWS = 100_000
-
 
 def export_csv(df: DataFrame, path: str) -> None:
     """All rows as CSV with a header, one file per task."""
@@ -52,7 +49,7 @@ def write_fact(fact: DataFrame, path: str, by: str = "date_sk") -> None:
     clustered(fact, by).write.mode("errorifexists").partitionBy("year_month").parquet(path)
 
 
-def to_client(df: DataFrame, max_rows: int = CLIENT_ROWS):
+def to_client(df: DataFrame, max_rows: int):
     """A small result as a pandas frame; refuses a large one instead of cutting it."""
     rows = df.limit(max_rows + 1).toPandas()
     if len(rows) > max_rows:

@@ -5,52 +5,54 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillhouse.functions import predicates as p
 from tillhouse.operators.rules import ORDERS
+from tillhouse.plans.incremental import admit_orders
 from tillhouse.schema import raw_schema
 
-_TIME, _PART = "_event_time", "_part"
-SOURCE_FILE = "_metadata.file_path"
+ERROR_SCHEMA = "row_data STRING, reason STRING, logged_at TIMESTAMP_NTZ"
 
 
-def read_orders_stream(spark: SparkSession, path: str) -> DataFrame:
-    """New raw order files (Parquet) as they arrive, with the file that each row came from."""
-    stream = spark.readStream.schema(raw_schema("orders")).parquet(path)
-    return stream.select("*", F.col(SOURCE_FILE).alias("source_file"))
+def read_orders_stream(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
+    """New raw order files (Parquet) as they arrive."""
+    reader = spark.readStream.schema(raw_schema("orders"))
+    if files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.parquet(path)
 
 
-def fit_orders(
-    raw: DataFrame, as_of: Column, delay: str = "1 day", source: str | None = "source_file", spread: int = 32
-) -> DataFrame:
-    """Typed orders that pass the order rules, each key once within `delay`.
+def _read(spark: SparkSession, out: str, kind: str, schema) -> DataFrame:
+    """The rows of one kind with the batch that wrote them."""
+    with_batch = spark.createDataFrame([], schema).withColumn("batch_id", F.lit(0).cast("bigint")).schema
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{out}/{kind}")
+    if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+        return spark.createDataFrame([], with_batch)
+    return spark.read.schema(with_batch).parquet(f"{out}/{kind}")
 
-    The state of a key is dropped when the watermark has passed it, so state stays bounded; rows
-    that arrive later than `delay` are not read, as with a control-table watermark. Copies go in
-    two steps, per (key, file group) and then per key: a key that fills a third of the arrivals
-    is thinned by up to `spread` tasks before a single one sees it.
-    """
-    fit = raw.filter(p.not_orphan("customer_code") & ORDERS.reason(as_of).isNull())
-    # Watermarks need a zoned timestamp; the order date itself is kept as it is.
-    event_time = F.col("order_date").try_cast("timestamp_ntz").cast("timestamp").alias(_TIME)
-    part = F.pmod(F.xxhash64(source), F.lit(spread)) if source else F.lit(0).cast("bigint")
-    timed = fit.select(*ORDERS.typed(), event_time, part.alias(_PART)).withWatermark(_TIME, delay)
-    if source:
-        timed = timed.dropDuplicatesWithinWatermark(["order_id", _PART])
-    return timed.dropDuplicatesWithinWatermark(["order_id"]).select(*ORDERS.columns)
+
+def _load_batch(out: str, as_of: Column):
+    def load(batch: DataFrame, batch_id: int) -> None:
+        # A batch that is run again after a failure sees the batches before it only, and overwrites its own folders.
+        earlier = _read(batch.sparkSession, out, "clean", _clean_schema(batch)).filter(F.col("batch_id") < batch_id)
+        admitted = admit_orders(batch, earlier, as_of)
+        admitted.errors.write.mode("overwrite").parquet(f"{out}/errors/batch_id={batch_id}")
+        admitted.clean.write.mode("overwrite").parquet(f"{out}/clean/batch_id={batch_id}")
+
+    return load
 
 
-def _write_batch(out: str):
-    def write(batch: DataFrame, batch_id: int) -> None:
-        # A batch that is run again after a failure overwrites its own folder only.
-        batch.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+def _clean_schema(raw: DataFrame):
+    return raw.sparkSession.createDataFrame([], raw_schema("orders")).select(*ORDERS.typed()).schema
 
-    return write
 
+def load_available(raw: DataFrame, out: str, checkpoint: str, as_of: Column) -> None:
+    """Load everything that has arrived since the last run, and stop.
 
-def load_available(orders: DataFrame, out: str, checkpoint: str) -> None:
-    """Load everything that has arrived since the last run, and stop."""
+    Every row goes to `clean` or to `errors`, however late it is: what was loaded is known from
+    the published keys, not from a state that expires. A key that repeats within a batch is
+    handled as in a full load, and one that was loaded by an earlier batch is rejected.
+    """
     query = (
-        orders.writeStream.foreachBatch(_write_batch(out))
+        raw.writeStream.foreachBatch(_load_batch(out, as_of))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -58,9 +60,16 @@ def load_available(orders: DataFrame, out: str, checkpoint: str) -> None:
     query.awaitTermination()
 
 
-def stream_orders(spark: SparkSession, source: str, out: str, checkpoint: str, as_of: Column, delay: str = "1 day") -> None:
-    load_available(fit_orders(read_orders_stream(spark, source), as_of, delay), out, checkpoint)
+def stream_orders(
+    spark: SparkSession, source: str, out: str, checkpoint: str, as_of: Column, files_per_batch: int | None = None
+) -> None:
+    load_available(read_orders_stream(spark, source, files_per_batch), out, checkpoint, as_of)
 
 
 def loaded_orders(spark: SparkSession, out: str) -> DataFrame:
-    return spark.read.parquet(out).select(*ORDERS.columns)
+    clean = spark.createDataFrame([], raw_schema("orders")).select(*ORDERS.typed()).schema
+    return _read(spark, out, "clean", clean).select(*ORDERS.columns)
+
+
+def rejected_orders(spark: SparkSession, out: str) -> DataFrame:
+    return _read(spark, out, "errors", ERROR_SCHEMA).drop("batch_id")
