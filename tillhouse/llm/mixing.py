@@ -101,18 +101,17 @@ def targets(weighted: DataFrame, max_repeat: int = MAX_REPEAT) -> DataFrame:
     )
 
 
-def copies(rows: DataFrame, planned: DataFrame, seed: int = SEED) -> DataFrame:
+def copies(rows: DataFrame, cells: DataFrame, planned: DataFrame, seed: int = SEED) -> DataFrame:
     """`rows` of `sized` with source_size, target and `copies`, the times the mix takes each.
 
-    `planned` comes from `targets`. The expectation of a document is target / source size copies.
+    `cells` and `planned` come from `plan_mix`. The expectation of a document is target / source
+    size copies.
     """
     expected = F.when(F.col("source_size") > 0, F.round(F.col("target") / F.col("source_size") * ONE)).otherwise(0).cast("long")
     offset = F.pmod(_digest(F.lit(str(seed)), F.coalesce(F.col("source"), F.lit("\x00"))), F.lit(ONE))
     rates = planned.select(
         F.col("source").alias("s"), "source_size", "target", expected.alias("expected"), offset.alias("offset")
     )
-    # Cells are counted on three narrow columns; a hot source is many cells.
-    cells = rows.groupBy("source", "class", "cell").agg(F.count("*").alias("n"))
     along = Window.partitionBy("source").orderBy("class", "cell")
     placed = cells.select(
         F.col("source").alias("s"), F.col("class").alias("k"), F.col("cell").alias("c"),
@@ -134,18 +133,22 @@ def copies(rows: DataFrame, planned: DataFrame, seed: int = SEED) -> DataFrame:
     )
 
 
-def plan_mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_repeat: int = MAX_REPEAT) -> tuple[DataFrame, DataFrame]:
-    """(`sized` rows, targets per source) for `docs` under weights that the sources take in turn."""
-    rows = sized(docs)
-    sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
-    planned = keep(targets(rotating_weights(sizes, weights), max_repeat), "mix-targets")
-    return rows, planned
+def plan_mix(rows: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_repeat: int = MAX_REPEAT) -> tuple[DataFrame, DataFrame]:
+    """(cells with their rows and words, targets per source) of the `sized` rows, under weights that the sources take in turn.
+
+    One pass over the rows sums them by cell, a hot source into many; all else follows from the sums.
+    """
+    cells = keep(
+        rows.groupBy("source", "class", "cell").agg(F.count("*").alias("n"), F.sum("size").alias("words")), "mix-cells"
+    )
+    sizes = cells.groupBy("source").agg(F.sum("words").alias("source_size"))
+    return cells, keep(targets(rotating_weights(sizes, weights), max_repeat), "mix-targets")
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_repeat: int = MAX_REPEAT, seed: int = SEED) -> DataFrame:
     """The mix itself: `docs` with each row repeated as often as it is taken, numbered in `copy`."""
-    rows, planned = plan_mix(docs, weights, max_repeat)
-    taken = copies(rows, planned, seed).where("copies > 0")
+    rows = sized(docs)
+    taken = copies(rows, *plan_mix(rows, weights, max_repeat), seed).where("copies > 0")
     name = "copy"
     while name in docs.columns:
         name = f"_{name}"
@@ -156,9 +159,9 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_repeat: int =
 
 def allotment(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_repeat: int = MAX_REPEAT, seed: int = SEED) -> DataFrame:
     """doc_id, size, source_size, target and taken (words, repeats counted) of every row of `docs`."""
-    rows, planned = plan_mix(docs.select("doc_id", "source", "text"), weights, max_repeat)
-    # Texts are read for their size alone and do not travel.
-    slim = rows.withColumn(ROW, F.struct(F.xxhash64(f"{ROW}.text").alias("digest")))
-    return copies(slim, planned, seed).select(
+    rows = sized(docs.select("doc_id", "source", "text"))
+    # Texts are read once, for their size and a digest, and do not travel.
+    slim = keep(rows.withColumn(ROW, F.struct(F.xxhash64(f"{ROW}.text").alias("digest"))), "mix-sizes")
+    return copies(slim, *plan_mix(slim, weights, max_repeat), seed).select(
         "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken")
     )
