@@ -32,7 +32,7 @@ def rows_of(name):
         out = [(i, t, "en", f"src{i % 3}", len(t or "")) for i, t in enumerate(texts)]
         return [*out, out[5], out[5], (None, COPY, None, None, None), (None, None, None, None, None), (7, "another text with id seven", "en", None, 5)]
     if name == "labels":
-        return [(i, 1, i % 2) for i in range(12)] + [(None, 1, 1), (3, None, None), (3, 0, 1), (3, 0, 0)]
+        return [(i, 1, 0) for i in range(12)] + [(None, 1, 1), (3, None, None), (3, 0, 1), (3, 0, 0)]
     if name == "pages":
         html = "<html><body><nav>menu</nav><p>text {} here</p><script>var a='<p>no</p>';</script><footer>foot</footer>" + "x" * 90
         out = [(i, f"http://Host{i % 2}.example:80/a?b", html.format(i % 4)) for i in range(24)]
