@@ -5,9 +5,10 @@ expectations are added up along the order, one random offset is added, and a doc
 once for every whole number its stretch crosses. So a source gives its expected number of copies
 up to one, and since the order goes by size, its words come near the target as well.
 
-The sums along a source are taken in two steps, so that a source of any size is spread: each
-source is cut by size class and digest into cells; cells are summed and placed one after another,
-and documents are numbered inside their cell. Expectations are whole numbers of 1 / `ONE` copies:
+The sums along a source are taken in three steps, so that a source of any size is spread: each
+source is cut by size class and digest into cells, and a cell by further digest bits into parts.
+Cells are placed one after another, parts inside their cell, and documents are numbered inside
+their part, of which a size class of a source has `CELLS` * `PARTS`. Expectations are whole numbers of 1 / `ONE` copies:
 sums are exact and do not depend on the order in which they are made.
 
 Defined results: a null text has size 0. Null sources form one source, after all others. A source
@@ -32,7 +33,8 @@ SEED = 7
 # A copy in fixed point, exact for sums of up to 2**39 copies in a source.
 SHIFT = 24
 ONE = 1 << SHIFT
-CELLS = 64
+# Cells of a size class and parts of a cell.
+CELLS, PARTS = 64, 64
 # Size classes an octave: sizes within a class differ by an eighth at most.
 CLASSES = 8
 
@@ -47,19 +49,28 @@ def _digest(*values: Column) -> Column:
     return F.conv(F.substring(F.md5(F.concat_ws("|", *values)), 1, 8), 16, 10).cast("long").bitwiseAND((1 << 31) - 1)
 
 
+def _key(source: Column) -> Column:
+    """A source as text that is never null, so that joins and windows share one partitioning."""
+    return F.coalesce(F.concat(F.lit("s"), source.cast("string")), F.lit(""))
+
+
 def sized(docs: DataFrame) -> DataFrame:
-    """The rows of `docs` inside `ROW`, with doc_id, source, size and what orders them."""
+    """The rows of `docs` inside `ROW`, with doc_id, source, its never null `key`, size and what orders them."""
     row = packed(docs)
     size = word_count(F.col(f"{ROW}.text"))
+    digest = _digest(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
     return row.select(
         ROW,
         F.col(f"{ROW}.doc_id").alias("doc_id"),
         F.col(f"{ROW}.source").alias("source"),
         size.alias("size"),
     ).withColumns(
+        # None is ever null, and Spark can see that: a join on them adds no test that takes the texts apart again.
         {
-            "class": F.when(F.col("size") < 1, -1).otherwise(F.floor(F.log2(F.col("size").cast("double")) * CLASSES)).cast("int"),
-            "cell": F.pmod(_digest(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(CELLS)).cast("int"),
+            "key": _key(F.col("source")),
+            "class": F.coalesce(F.when(F.col("size") >= 1, F.floor(F.log2(F.col("size").cast("double")) * CLASSES).cast("int")), F.lit(-1)),
+            "cell": F.coalesce(F.pmod(digest, F.lit(CELLS)).cast("int"), F.lit(0)),
+            "part": F.coalesce(F.pmod(F.floor(digest / CELLS), F.lit(PARTS)).cast("int"), F.lit(0)),
         }
     )
 
@@ -110,22 +121,21 @@ def copies(rows: DataFrame, cells: DataFrame, planned: DataFrame, seed: int = SE
     expected = F.when(F.col("source_size") > 0, F.round(F.col("target") / F.col("source_size") * ONE)).otherwise(0).cast("long")
     offset = F.pmod(_digest(F.lit(str(seed)), F.coalesce(F.col("source"), F.lit("\x00"))), F.lit(ONE))
     rates = planned.select(
-        F.col("source").alias("s"), "source_size", "target", expected.alias("expected"), offset.alias("offset")
-    )
-    along = Window.partitionBy("source").orderBy("class", "cell")
-    placed = cells.select(
-        F.col("source").alias("s"), F.col("class").alias("k"), F.col("cell").alias("c"),
-        F.coalesce(F.sum("n").over(along.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"),
-    )
-    starts = placed.alias("p").join(rates.alias("r"), F.col("p.s").eqNullSafe(F.col("r.s"))).select(
-        F.col("p.s").alias("s"), "k", "c", "before", "source_size", "target", "expected", "offset"
-    )
-    inside = Window.partitionBy("source", "class", "cell").orderBy("size", "doc_id", F.xxhash64(ROW))
-    ranked = rows.withColumn("rank", F.row_number().over(inside))
-    met = ranked.join(
-        starts,
-        F.col("source").eqNullSafe(F.col("s")) & (F.col("class") == F.col("k")) & (F.col("cell") == F.col("c")),
+        _key(F.col("source")).alias("key"), "source_size", "target", expected.alias("expected"), offset.alias("offset")
     )
+
+    def before(within: list[str], order: list[str]) -> Column:
+        along = Window.partitionBy(*within).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+        return F.coalesce(F.sum("n").over(along), F.lit(0))
+
+    cell, part = ["key", "class", "cell"], ["key", "class", "cell", "part"]
+    whole = cells.groupBy(*cell).agg(F.sum("n").alias("n"))
+    whole = whole.select(*cell, before(["key"], ["class", "cell"]).alias("to_cell")).join(rates, "key")
+    placed = cells.select(*part, before(cell, ["part"]).alias("to_part"))
+    starts = splittable_join(placed, whole, cell).withColumn("before", F.col("to_cell") + F.col("to_part")).drop("to_cell", "to_part")
+    # Window and join are dealt by the same columns, so whole rows travel once.
+    inside = Window.partitionBy(*part).orderBy("size", "doc_id", F.xxhash64(ROW))
+    met = rows.withColumn("rank", F.row_number().over(inside)).join(starts, part)
     end = (F.col("before") + F.col("rank")) * F.col("expected") + F.col("offset")
     crossed = F.shiftright(end, SHIFT) - F.shiftright(end - F.col("expected"), SHIFT)
     return met.select(
@@ -139,7 +149,7 @@ def plan_mix(rows: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_repeat:
     One pass over the rows sums them by cell, a hot source into many; all else follows from the sums.
     """
     cells = keep(
-        rows.groupBy("source", "class", "cell").agg(F.count("*").alias("n"), F.sum("size").alias("words")), "mix-cells"
+        rows.groupBy("source", "key", "class", "cell", "part").agg(F.count("*").alias("n"), F.sum("size").alias("words")), "mix-cells"
     )
     sizes = cells.groupBy("source").agg(F.sum("words").alias("source_size"))
     return cells, keep(targets(rotating_weights(sizes, weights), max_repeat), "mix-targets")

@@ -25,8 +25,8 @@ WITH sized AS (
   SELECT doc_id, source, size, row_number() OVER (
       PARTITION BY source
       ORDER BY CASE WHEN size < 1 THEN -1 ELSE floor(log2(size) * 8) END,
-        (('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT & 2147483647) % 64, size, doc_id) AS place
-  FROM sized
+        digest % 64, digest // 64 % 64, size, doc_id) AS place
+  FROM (SELECT *, ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT & 2147483647 AS digest FROM sized)
 ), met AS (
   SELECT doc_id, size, source_size, target, place,
     CASE WHEN source_size > 0 THEN round(target / source_size * 16777216) ELSE 0 END::BIGINT AS expected,
