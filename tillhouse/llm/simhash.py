@@ -21,7 +21,7 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillhouse.llm.common import ROW, batch_rows, components, keep, packed
@@ -281,8 +281,8 @@ def one_of_each(docs: DataFrame, shingle_words: int = 3, max_bits: int = 2) -> D
         {"digest": F.xxhash64(ROW), "id": F.coalesce(F.col(f"{ROW}.doc_id").cast("string"), F.lit(""))}
     )
     met = rows.join(keep(stays, "component-rows"), ["digest", "id"])
-    nth = F.row_number().over(Window.partitionBy("digest", "id").orderBy("digest"))
-    return met.withColumn("nth", nth).where("nth = 1").select(f"{ROW}.*")
+    # Repeated rows meet as one of each task, however many they are.
+    return met.dropDuplicates(["digest", "id"]).select(f"{ROW}.*")
 
 
 def hex_digits(fp: Column) -> Column:

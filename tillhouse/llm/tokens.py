@@ -20,7 +20,7 @@ from collections.abc import Iterator
 from functools import cache
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillhouse.llm.common import batch_rows, keep
@@ -95,9 +95,8 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, cache_path: str) -> DataF
     wanted = rows.groupBy("digest").agg(F.min("doc_id").alias("id")).join(known, "digest", "left_anti")
     key = ["digest", "id"]
     met = digested.select("digest", _id(F.col("doc_id")).alias("id"), "text").join(wanted.select("digest", _id(F.col("id")).alias("id")), key)
-    # Rows that repeat id and text stand side by side after the join.
-    nth = F.row_number().over(Window.partitionBy(*key).orderBy(*key))
-    misses = met.withColumn("nth", nth).where("nth = 1")
+    # Rows that repeat id and text meet as one of each task, however many they are.
+    misses = met.dropDuplicates(key)
     with batch_rows(spark, 64):
         encode(misses.select("digest", "text"), tokenizer_path, tokenizer).write.mode("append").parquet(cache_path)
     counted = keep(read_cache(spark, cache_path, tokenizer), "token-counts")
