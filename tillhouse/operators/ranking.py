@@ -24,9 +24,10 @@ def rank_cuts(values: DataFrame, column: str, parts: int, accuracy: int = 20_000
     """The exact values at 0-based ranks floor(i * (n - 1) / parts), i = 1 .. parts - 1.
 
     A scalar subquery holding an array. One pass builds a mergeable quantile sketch, whose known
-    error brackets each rank. A second pass only counts the rows outside the brackets and keeps
-    the distinct values inside, about 6 / accuracy of the rows, and these are ranked exactly. A
-    column of up to 4 * accuracy rows is ranked whole. No task sees an unbounded column.
+    error brackets each rank. A second pass counts the rows outside the brackets, with the largest
+    value of each stretch, and keeps the distinct values inside, about 6 / accuracy of the rows,
+    which one task ranks. Rounding can put a cut one rank below its bracket: it is the largest
+    value of the stretch before then. A cut that lies anywhere else fails the query.
     """
     # The sketch is off by at most n / accuracy ranks.
     slack = 2.0 / accuracy
@@ -50,23 +51,27 @@ def rank_cuts(values: DataFrame, column: str, parts: int, accuracy: int = 20_000
     inside = reduce(
         Column.__or__, [as_double.between(low, high) for low, high in zip(lows, highs)]
     )
-    small = F.col("_sketch.rows") <= 4 * accuracy
     # Zones follow the order of the values, so (zone, value) sorts like the value alone.
     counted = (
         present.withColumn("_sketch", sketch)
-        .groupBy(
-            F.when(small, 0).otherwise(zone).alias("_zone"),
-            F.when(small | inside, F.col(column)).alias("_value"),
+        .groupBy(zone.alias("_zone"), F.when(inside, F.col(column)).alias("_value"))
+        .agg(
+            F.count(F.lit(1)).alias("_n"),
+            F.max(column).alias("_most"),
+            F.first("_sketch.rows").alias("_rows"),
         )
-        .agg(F.count(F.lit(1)).alias("_n"), F.first("_sketch.rows").alias("_rows"))
     )
     upto = Window.orderBy("_zone", "_value").rowsBetween(Window.unboundedPreceding, 0)
     ranked = counted.withColumn("_upto", F.sum("_n").over(upto))
-    cuts = [
-        F.min(F.when(F.col("_upto") > F.expr(f"({i} * (_rows - 1)) div {parts}"), F.col("_value")))
-        for i in range(1, parts)
-    ]
-    return ranked.agg(F.array(*cuts).alias("cuts")).scalar()
+
+    def cut(i: int) -> Column:
+        rank = F.expr(f"({i} * (_rows - 1)) div {parts}")
+        found = (F.col("_value").isNotNull() | (F.col("_upto") - 1 == rank)).alias("found")
+        first = F.min(F.when(F.col("_upto") > rank, F.struct("_upto", found, "_most")))
+        missed = F.raise_error(F.lit("the sketch missed a cut"))
+        return F.when(first["found"] | first.isNull(), first["_most"]).otherwise(missed)
+
+    return ranked.agg(F.array(*[cut(i) for i in range(1, parts)]).alias("cuts")).scalar()
 
 
 def label_segments(values: DataFrame, column: str, labels: list[str]) -> DataFrame:
