@@ -563,10 +563,10 @@ def oracle_sql() -> dict[str, str]:
     sql["scd2_null_safe"] = _with(_scd2(True), "SELECT * FROM dim_after")
     sql["scd2_history"] = _with(
         DIM_CUSTOMER,
-        f"""SELECT customer_code, city, eff_start_date, CASE WHEN city<>'Chennai' THEN {AS_OF} END AS eff_end_date, city='Chennai' AS is_current
+        f"""SELECT customer_code, city, eff_start_date, CASE WHEN city<>'Porto' THEN {AS_OF} END AS eff_end_date, city='Porto' AS is_current
   FROM dim_customer WHERE customer_code='{HISTORY_CODE}'
-  UNION ALL SELECT customer_code, 'Chennai', {AS_OF}, CAST(NULL AS TIMESTAMP), TRUE FROM dim_customer
-  WHERE customer_code='{HISTORY_CODE}' AND city<>'Chennai'""",
+  UNION ALL SELECT customer_code, 'Porto', {AS_OF}, CAST(NULL AS TIMESTAMP), TRUE FROM dim_customer
+  WHERE customer_code='{HISTORY_CODE}' AND city<>'Porto'""",
     )
     sql["q_top_customer_cities_after_refresh"] = _with(
         FACT + _scd2(False),
@@ -597,7 +597,7 @@ def oracle_sql() -> dict[str, str]:
     sql["simulated_increment"] = _with(
         orders
         + [
-            f"""arrived AS (SELECT * FROM orders_raw UNION ALL SELECT 'SIM-ORDER-001','{HISTORY_CODE}','{t.AS_OF}','COMPLETED','Mumbai','Maharashtra')"""
+            f"""arrived AS (SELECT * FROM orders_raw UNION ALL SELECT 'ARRIVAL-1','{HISTORY_CODE}','{t.AS_OF}','COMPLETED','Lisbon','Estremadura')"""
         ],
         _pulled("arrived", f"({AS_OF} - INTERVAL 10 MINUTE)"),
     )
@@ -627,6 +627,8 @@ def oracle_sql() -> dict[str, str]:
     sql["full_load_counts"] = _with(
         FACT + _staging("payments"), f"SELECT name AS table_name, n FROM ({' UNION ALL '.join(counts)})"
     )
+    sql["fact_published"] = sql["fact_sales"]
+    sql["q_monthly_revenue_published"] = sql["q_monthly_revenue"]
     sql["stream_orders"] = _with(orders, "SELECT * FROM orders_clean")
     sql["stream_order_errors"] = _with(orders, _errors("orders"))
     sql["increment_published"] = sql["incremental_orders_validated"]

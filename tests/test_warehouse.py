@@ -206,7 +206,7 @@ def test_increment_bounds(spark, as_of):
 
 
 def test_refresh_is_published(spark, layers):
-    source = layers.table(STAGING, "customers_clean").withColumn("city", F.lit("Chennai"))
+    source = layers.table(STAGING, "customers_clean").withColumn("city", F.lit("Porto"))
     n = source.count()
     after = full_load.refresh_customers(layers, source, "2001-08-01 00:00:00")
     assert after.filter("is_current").count() == n and after.count() == 2 * n

@@ -26,7 +26,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 SEED = 23
 FILTER_CATEGORY, FILTER_YEAR = "ECONOMY", 1997
 HISTORY_CODE = "C0000011"
-SIM_ORDER = "SIM-ORDER-001"
+SIM_ORDER = "ARRIVAL-1"
 
 
 class Shop:
@@ -490,7 +490,7 @@ def scd2_twice(s: Shop) -> DataFrame:
 def scd2_history(s: Shop) -> DataFrame:
     """One customer moves: the staged city is updated, and both versions are listed."""
     moved = update_where(
-        s.clean("customers"), F.col("customer_code") == HISTORY_CODE, {"city": F.lit("Chennai")}
+        s.clean("customers"), F.col("customer_code") == HISTORY_CODE, {"city": F.lit("Porto")}
     )
     return scd2.history(scd2.scd2_apply(s.dims.customer, moved, s.as_of), HISTORY_CODE)
 
@@ -540,7 +540,7 @@ def increment_delta(s: Shop) -> DataFrame:
 def _simulated(s: Shop) -> DataFrame:
     """Raw orders with one order that arrives just before the run."""
     arrival = s.spark.createDataFrame(
-        [(SIM_ORDER, HISTORY_CODE, testdata.AS_OF, "COMPLETED", "Mumbai", "Maharashtra")],
+        [(SIM_ORDER, HISTORY_CODE, testdata.AS_OF, "COMPLETED", "Lisbon", "Estremadura")],
         s.raw["orders"].schema,
     )
     return s.raw["orders"].unionByName(arrival)
@@ -614,11 +614,29 @@ def paged_export(s: Shop) -> DataFrame:
     return ranking.page(s.dims.customer, ["customer_code"], limit=350, offset=350)
 
 
+def _published(s: Shop) -> Layers:
+    layers = Layers(s.spark, shared_dir(s.spark, "warehouse"))
+    full_load.full_load(layers, s.raw, testdata.AS_OF, fact_by="year_month")
+    return layers
+
+
+@_query
+def fact_published(s: Shop) -> DataFrame:
+    """The fact as a full load publishes it, without its partition column."""
+    return full_load.open_fact(_published(s)).drop("year_month")
+
+
+@_query
+def q_monthly_revenue_published(s: Shop) -> DataFrame:
+    """The monthly report on published tables."""
+    layers = _published(s)
+    return analytics.monthly_revenue(full_load.open_fact(layers), full_load.open_dims(layers))
+
+
 @_query
 def full_load_counts(s: Shop) -> DataFrame:
     """Row counts of every table that a full load publishes."""
-    layers = Layers(s.spark, shared_dir(s.spark, "warehouse"))
-    full_load.full_load(layers, s.raw, testdata.AS_OF, fact_by="year_month")
+    layers = _published(s)
     names = [(STAGING, f"{e}_{kind}") for e in ENTITIES for kind in ("clean", "errors")]
     names += [(DW, n) for n in ("dim_customer", "dim_product", "dim_location", "dim_date", "fact_sales")]
     return profiling.layer_counts(dict(zip([name for _, name in names], layers.tables(*names))))

@@ -90,7 +90,7 @@ REFRESH: dict[str, str] = {
     "email": f"CASE WHEN {_NUMBER}%20=13 THEN 'z'||email "
     f"WHEN {_NUMBER}%20=14 THEN substr(email,1,1)||'x'||substr(email,2) ELSE email END",
     "gender": "gender",
-    "city": f"CASE WHEN {_NUMBER}%20=11 THEN 'Chennai' ELSE city END",
+    "city": f"CASE WHEN {_NUMBER}%20=11 THEN 'Porto' ELSE city END",
     "state": f"CASE WHEN {_NUMBER}%20=16 THEN 'CHANGED' ELSE state END",
     "phone": f"CASE WHEN {_NUMBER}%20=15 THEN NULL ELSE phone END",
     "is_active": "is_active",
