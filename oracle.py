@@ -104,6 +104,14 @@ TYPES = {
 }
 
 
+STRICT = {
+    "order_items": {
+        "negative_quantity": ("TRY_CAST(quantity AS DOUBLE) IS NULL", "quantity_type_mismatch"),
+        "negative_line_amount": ("TRY_CAST(line_amount AS DOUBLE) IS NULL", "amount_type_mismatch"),
+    }
+}
+
+
 def _raw(entity: str) -> str:
     base, lookups = t.INPUTS[entity]
     joins = "".join(f" JOIN {o} ON {left}={right}" for o, left, right in lookups)
@@ -111,8 +119,11 @@ def _raw(entity: str) -> str:
     return f"{entity}_raw AS (SELECT {cells} FROM {base}{joins})"
 
 
-def _flagged(entity: str, compete: bool) -> str:
-    hits = ", ".join(f"CASE WHEN {test} THEN '{why}' END" for test, why in CHECKS[entity])
+def _flagged(entity: str, compete: bool, strict: bool = False) -> str:
+    # A strict check stands behind the sign check of its column.
+    more = STRICT.get(entity, {}) if strict else {}
+    checks = [c for check in CHECKS[entity] for c in (check, more.get(check[1])) if c]
+    hits = ", ".join(f"CASE WHEN {test} THEN '{why}' END" for test, why in checks)
     rest = [c for c in RAW_COLUMNS[entity] if c not in TIES[entity] and c != KEY[entity]]
     order = [f"{c} ASC NULLS LAST" for c in TIES[entity]] + [f"{c} ASC NULLS FIRST" for c in rest]
     if not compete:
@@ -138,6 +149,16 @@ def _staging(entity: str, compete: bool | None = None) -> list[str]:
     return [_raw(entity), _flagged(entity, compete), _clean(entity)]
 
 
+def _spoiled(entity: str, strict: bool) -> list[str]:
+    cells = ", ".join(f"{t.SPOILED[entity].get(c, c)} AS {c}" for c in RAW_COLUMNS[entity])
+    first = _raw(entity).replace(f"{entity}_raw AS", f"{entity}_extract AS", 1)
+    return [
+        first,
+        f"{entity}_raw AS (SELECT {cells} FROM {entity}_extract)",
+        _flagged(entity, entity in UNFIT_ROWS_COMPETE, strict),
+    ]
+
+
 def _bucket(key: str) -> str:
     return f"substr(md5({key}),1,3)"
 
@@ -439,6 +460,12 @@ def oracle_sql() -> dict[str, str]:
         sql[f"stage_{e}_reasons"] = _with(
             _staging(e), f"SELECT {_verdict(e)} AS reason, count(*) AS n FROM {e}_flagged GROUP BY 1"
         )
+    verdicts = _per_entity("SELECT '{e}' AS entity, {verdict} AS reason, count(*) AS n FROM {e}_flagged GROUP BY ALL")
+    for name, strict in (("spoiled_reasons", False), ("spoiled_strict_reasons", True)):
+        sql[name] = _with([c for e in ENTITIES for c in _spoiled(e, strict)], verdicts)
+    sql["spoiled_order_items_clean"] = _with(
+        [*_spoiled("order_items", True), _clean("order_items")], f"SELECT {_doubles('order_items')} FROM order_items_clean"
+    )
     for e in ("products", "customers"):
         sql[f"stage_{e}_content_first"] = _with(_staging(e, compete=False), f"SELECT {_doubles(e)} FROM {e}_clean")
     sql["stage_products_content_first_errors"] = _with(_staging("products", compete=False), _errors("products"))
@@ -560,6 +587,7 @@ def oracle_sql() -> dict[str, str]:
     sql["customers_refresh"] = _with(_scd2(False), "SELECT * FROM refreshed")
     sql["scd2_apply"] = _with(_scd2(False), "SELECT * FROM dim_after")
     sql["scd2_twice"] = sql["scd2_apply"]
+    sql["scd2_published"] = sql["scd2_apply"]
     sql["scd2_null_safe"] = _with(_scd2(True), "SELECT * FROM dim_after")
     sql["scd2_history"] = _with(
         DIM_CUSTOMER,

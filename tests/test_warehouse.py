@@ -15,7 +15,7 @@ from tillhouse.plans.catalog import Shop
 from tillhouse.schema import DW, ENTITIES, SCHEMAS, STAGING, empty_table
 from tillhouse.sources import raw as sources
 from tillhouse.sources import sinks
-from tillhouse.sources.layers import ConflictError, Layers
+from tillhouse.sources.layers import ConflictError, Layers, closed_folders
 from tillhouse.sources.testdata import AS_OF, RawTables
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -213,6 +213,24 @@ def test_refresh_is_published(spark, layers):
     assert full_load.refresh_customers(layers, source, "2001-09-01 00:00:00").count() == 2 * n
 
 
+def test_refresh_keeps_closed_versions_where_they_are(spark, layers):
+    def moved(city, at):
+        source = layers.table(STAGING, "customers_clean").withColumn("city", F.lit(city))
+        after = full_load.refresh_customers(layers, source, at)
+        return after, layers.versions()[DW, "dim_customer"]
+
+    before = layers.versions()[DW, "dim_customer"]
+    n = layers.table(DW, "dim_customer").filter("is_current").count()
+    _, first = moved("Braga", "2001-10-01 00:00:00")
+    after, second = moved("Faro", "2001-11-01 00:00:00")
+    assert set(closed_folders(before)) < set(closed_folders(first)) < set(closed_folders(second))
+    assert len(second.folders) == len(closed_folders(second)) + 1
+    closed = layers.folder_frame(DW, "dim_customer", closed_folders(second))
+    assert closed.filter("is_current").count() == 0 and after.filter("is_current").count() == n
+    assert closed.filter("city = 'Braga'").count() == n
+    assert after.count() == after.select("customer_sk").distinct().count()
+
+
 # Planted defects
 
 

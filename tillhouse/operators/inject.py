@@ -105,12 +105,14 @@ def inject(
     )
 
 
-def shuffle(df: DataFrame, seed: int, partitions: int) -> DataFrame:
+def shuffle(df: DataFrame, seed: int, partitions: int | None = None) -> DataFrame:
     """A repeatable reordering: rows dealt evenly over partitions, each in seeded hash order.
 
-    Dealing (not hashing) keeps many copies of one row from landing in one task.
+    Dealing (not hashing) keeps many copies of one row from landing in one task. Without a number
+    of partitions there are as many as the size asks for.
     """
-    return df.repartition(partitions).sortWithinPartitions(F.xxhash64(*df.columns, F.lit(seed)))
+    dealt = df.repartition(partitions) if partitions else df.hint("rebalance")
+    return dealt.sortWithinPartitions(F.xxhash64(*df.columns, F.lit(seed)))
 
 
 def planted(injected: dict[str, DataFrame]) -> DataFrame:

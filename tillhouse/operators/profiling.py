@@ -36,25 +36,22 @@ def condition_counts(df: DataFrame, conditions: dict[str, Column]) -> DataFrame:
     return counts.select(F.inline(pairs))
 
 
+def _issues(as_of: Column) -> dict[str, dict[str, Column]]:
+    """The issues looked for in each raw table."""
+    return {
+        "orders": {"orphan_orders": p.is_orphan("customer_code")},
+        "order_items": {
+            "orphan_items": p.is_orphan("product_code"),
+            "negative_quantities": p.negative("quantity"),
+        },
+        "payments": {"orphan_payments": p.is_orphan("order_id")},
+        "customers": {"customers_updated_after_today": p.future("updated_at", as_of)},
+    }
+
+
 def issue_counts(raws: Mapping[str, DataFrame], as_of: Column) -> DataFrame:
     """Lost parents, negative quantities and future updates in the raw tables."""
-    return union_all(
-        [
-            condition_counts(raws["orders"], {"orphan_orders": p.is_orphan("customer_code")}),
-            condition_counts(
-                raws["order_items"],
-                {
-                    "orphan_items": p.is_orphan("product_code"),
-                    "negative_quantities": p.negative("quantity"),
-                },
-            ),
-            condition_counts(raws["payments"], {"orphan_payments": p.is_orphan("order_id")}),
-            condition_counts(
-                raws["customers"],
-                {"customers_updated_after_today": p.future("updated_at", as_of)},
-            ),
-        ]
-    )
+    return union_all([condition_counts(raws[name], tests) for name, tests in _issues(as_of).items()])
 
 
 def _repeated(df: DataFrame, key: str) -> DataFrame:
@@ -115,18 +112,22 @@ def shape(df: DataFrame) -> tuple[int, int]:
 
 
 def profile_raw(raws: Mapping[str, DataFrame], keys: Mapping[str, str], as_of: Column) -> DataFrame:
-    """(metric, n): the raw profiling report - row counts, issues, bad prices, repeated keys."""
-    counts = layer_counts(raws).select(
-        F.concat(F.lit("rows_"), F.col("table_name")).alias("metric"), "n"
-    )
-    issues = issue_counts(raws, as_of).withColumnRenamed("issue", "metric")
-    prices = condition_counts(
-        raws["products"], {"price_type_mismatches": p.type_mismatch("unit_price")}
-    ).withColumnRenamed("issue", "metric")
+    """(metric, n): the raw profiling report - row counts, issues, bad prices, repeated keys.
+
+    Rows and issues of a table are counted in one pass, and its keys in another that reads no other column.
+    """
+    issues = _issues(as_of)
+    prices = {"products": {"price_type_mismatches": p.type_mismatch("unit_price")}}
+    counted = [
+        condition_counts(
+            df, {f"rows_{name}": F.lit(True), **issues.get(name, {}), **prices.get(name, {})}
+        ).withColumnRenamed("issue", "metric")
+        for name, df in raws.items()
+    ]
     repeated = [
         _repeated(df, keys[name]).agg(F.count(F.lit(1)).alias("n")).select(
             F.lit(f"duplicate_keys_{name}").alias("metric"), "n"
         )
         for name, df in raws.items()
     ]
-    return union_all([counts, issues, prices, *repeated])
+    return union_all([*counted, *repeated])

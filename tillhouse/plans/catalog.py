@@ -247,6 +247,36 @@ def stage_customers_content_first(s: Shop) -> DataFrame:
     return s.staged("customers", CONTENT_FIRST).clean
 
 
+def _spoiled_verdicts(s: Shop, strict: bool) -> DataFrame:
+    return profiling.union_all(
+        [
+            staging.quality_counts(testdata.spoiled(s.raw[e], e), ENTITY[e], s.as_of, strict=strict).select(
+                F.lit(e).alias("entity"), "*"
+            )
+            for e in ENTITIES
+        ]
+    )
+
+
+@_query
+def spoiled_reasons(s: Shop) -> DataFrame:
+    """Verdicts where keys are missing and numbers unreadable."""
+    return _spoiled_verdicts(s, strict=False)
+
+
+@_query
+def spoiled_strict_reasons(s: Shop) -> DataFrame:
+    """The same where quantities and amounts must be numbers as well."""
+    return _spoiled_verdicts(s, strict=True)
+
+
+@_query
+def spoiled_order_items_clean(s: Shop) -> DataFrame:
+    """The order items that are kept under the strict rules."""
+    spoiled = testdata.spoiled(s.raw["order_items"], "order_items")
+    return staging.stage(spoiled, ENTITY["order_items"], s.as_of, strict=True).clean
+
+
 @_query
 def reason_counts(s: Shop) -> DataFrame:
     """Breakdowns of the three reject logs that the validation report lists."""
@@ -495,6 +525,17 @@ def scd2_history(s: Shop) -> DataFrame:
     return scd2.history(scd2.scd2_apply(s.dims.customer, moved, s.as_of), HISTORY_CODE)
 
 
+@_query
+def scd2_published(s: Shop) -> DataFrame:
+    """The published dimension after two refreshes from one source, of which the second changes nothing."""
+    layers = Layers(s.spark, shared_dir(s.spark, "customers-refresh"))
+    layers.replace(DW, "dim_customer", s.dims.customer)
+    staged = layers.replace(STAGING, "refresh", s.refresh)
+    full_load.refresh_customers(layers, staged, testdata.AS_OF)
+    full_load.refresh_customers(layers, staged, testdata.AS_OF)
+    return layers.table(DW, "dim_customer")
+
+
 def _after_refresh(s: Shop) -> dims.Dims:
     return dims.Dims(s.dims.date, s.dims.product, s.dims.location, s.customers_after(scd2.REFERENCE))
 
@@ -604,7 +645,7 @@ def csv_round_trip(s: Shop) -> DataFrame:
 def csv_by_name(s: Shop) -> DataFrame:
     """Shuffled raw order items written as CSV and read back with the raw schema."""
     path = shared_dir(s.spark, "order-items")
-    sinks.write_raw(inject.shuffle(s.raw["order_items"], SEED, 8), path)
+    sinks.write_raw(inject.shuffle(s.raw["order_items"], SEED), path)
     return sources.read_raw(s.spark, f"{path}/csv", "order_items")
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillhouse.functions import casts
+from tillhouse.operators.keys import next_sk
 from tillhouse.operators.profiling import require_unique
 from tillhouse.operators.rules import ENTITY
 from tillhouse.operators.staging import stage
@@ -24,9 +25,9 @@ from tillhouse.plans.dims import (
 )
 from tillhouse.plans.fact import build_fact_sales
 from tillhouse.plans.incremental import incremental_orders
-from tillhouse.plans.scd2 import scd2_apply
+from tillhouse.plans.scd2 import past, scd2_parts
 from tillhouse.schema import DW, ENTITIES, RAW, STAGING
-from tillhouse.sources.layers import ConflictError, Layers, Written
+from tillhouse.sources.layers import ConflictError, Layers, Written, closed_folders
 from tillhouse.sources.raw import seed_watermarks
 from tillhouse.sources.sinks import clustered
 
@@ -123,9 +124,21 @@ def full_load(
 def refresh_customers(
     layers: Layers, source: DataFrame, as_of: datetime | str, mode: str = "reference"
 ) -> DataFrame:
-    """Apply a staged customer refresh to the published dimension."""
-    dim = layers.table(DW, "dim_customer")
-    return layers.replace(DW, "dim_customer", scd2_apply(dim, source, casts.moment(as_of), mode))
+    """Apply a staged customer refresh to the published dimension.
+
+    Closed versions live in folders that stay as they are: a refresh writes the current versions
+    anew and adds a folder with those it closes.
+    """
+    name = (DW, "dim_customer")
+    known = layers.versions()
+    seen = known[name]
+    done = set(closed_folders(seen))
+    rows = layers.folder_frame(*name, tuple(f for f in seen.folders if f not in done))
+    first = next_sk(layers.folder_frame(*name, seen.folders), "customer_sk")
+    closed, open_ = scd2_parts(rows, source, casts.moment(as_of), mode, first)
+    written = layers.write_split(*name, past(rows).unionByName(closed), open_, known)
+    layers.publish([written])
+    return written.frame
 
 
 def increment(

@@ -38,34 +38,42 @@ def _met(dim: DataFrame, source: DataFrame, as_of: Column, mode: str) -> DataFra
     return old.join(new, "_code", "full").withColumn("expires", both & changed(mode))
 
 
-def scd2_apply(dim: DataFrame, source: DataFrame, as_of: Column, mode: str = REFERENCE) -> DataFrame:
-    """The dimension after a source refresh.
+def scd2_parts(
+    dim: DataFrame, source: DataFrame, as_of: Column, mode: str = REFERENCE, first_sk: Column | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """(closed, open): what a source refresh closes, and the current versions after it.
 
     A current version whose tracked fields changed is closed at `as_of`; every source customer
     left without a current version gets one that starts at the same moment. Customers missing
-    from the source stay current. `source` holds each customer once, as staging makes it.
-    Closed history is passed through without a shuffle; current rows and the source meet in one
-    full join that both branches share.
+    from the source stay current. `source` holds each customer once, as staging makes it. Versions
+    of `dim` that are closed already are in neither part. `first_sk` is the first free key, by
+    default the one after all of `dim`.
     """
     names = columns_of(DW, "dim_customer")
     dim = dim.select(*names)
     met = _met(dim, source, as_of, mode)
-    kept = met.filter(F.col("old").isNotNull()).select(
-        *[
-            (
-                F.when(F.col("expires"), as_of).otherwise(F.col("old.eff_end_date"))
-                if n == "eff_end_date"
-                else F.col("old.is_current") & ~F.col("expires")
-                if n == "is_current"
-                else F.col(f"old.{n}")
-            ).alias(n)
-            for n in names
-        ]
-    )
+    ended = {"eff_end_date": as_of, "is_current": F.lit(False)}
+    closed = met.filter("expires").select(*[ended.get(n, F.col(f"old.{n}")).alias(n) for n in names])
+    kept = met.filter(F.col("old").isNotNull() & ~F.col("expires")).select("old.*")
     opened = met.filter(F.col("new").isNotNull() & (F.col("old").isNull() | F.col("expires"))).select("new.*")
-    numbered = assign_sk(opened, ["customer_code"], "customer_sk", next_sk(dim, "customer_sk"))
-    closed = dim.filter(~F.coalesce("is_current", F.lit(False)))
-    return closed.unionByName(kept).unionByName(numbered.select(*names))
+    first = next_sk(dim, "customer_sk") if first_sk is None else first_sk
+    numbered = assign_sk(opened, ["customer_code"], "customer_sk", first)
+    return closed, kept.unionByName(numbered.select(*names))
+
+
+def scd2_apply(dim: DataFrame, source: DataFrame, as_of: Column, mode: str = REFERENCE) -> DataFrame:
+    """The whole dimension after a source refresh, as in `scd2_parts`.
+
+    Closed history is passed through without a shuffle; current rows and the source meet in one
+    full join that the branches share.
+    """
+    closed, open_ = scd2_parts(dim, source, as_of, mode)
+    return past(dim).select(*columns_of(DW, "dim_customer")).unionByName(closed).unionByName(open_)
+
+
+def past(dim: DataFrame) -> DataFrame:
+    """The versions that are closed."""
+    return dim.filter(~F.coalesce("is_current", F.lit(False)))
 
 
 def history(dim: DataFrame, customer_code: str) -> DataFrame:

@@ -30,17 +30,28 @@ class Version:
 
 Versions = dict[tuple[str, str], Version]
 
+# Folders whose rows no later load changes have names that begin so.
+CLOSED = "closed-"
+
+
+def closed_folders(version: Version) -> tuple[str, ...]:
+    return tuple(f for f in version.folders if f.startswith(CLOSED))
+
 
 @dataclass(frozen=True)
 class Written:
-    """A folder on disk that was written on top of the version `seen`, not visible yet."""
+    """Folders on disk that were written on top of the version `seen`, not visible yet.
+
+    They follow whatever the table holds (`append`), or only those of its folders that are `kept`.
+    """
 
     layer: str
     name: str
-    folder: str
+    folders: tuple[str, ...]
     seen: Version
     append: bool
     frame: DataFrame
+    kept: tuple[str, ...] = ()
 
 
 class Layers:
@@ -139,7 +150,26 @@ class Layers:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(self.path(layer, name, folder))
         folders = (*seen.folders, folder) if append else (folder,)
-        return Written(layer, name, folder, seen, append, self._read(layer, name, folders))
+        return Written(layer, name, (folder,), seen, append, self._read(layer, name, folders))
+
+    def folder_frame(self, layer: str, name: str, folders: tuple[str, ...]) -> DataFrame:
+        """The rows of some folders of a table, one at least."""
+        return self._read(layer, name, folders)
+
+    def write_split(
+        self, layer: str, name: str, closed: DataFrame, open_: DataFrame, known: Versions
+    ) -> Written:
+        """Write rows that are final and rows that are not into folders of their own.
+
+        Folders of final rows that the table has already are kept as they are; the rest is replaced.
+        """
+        seen = known.get((layer, name), Version())
+        final, other = CLOSED + uuid.uuid4().hex, uuid.uuid4().hex
+        for folder, df in ((final, closed), (other, open_)):
+            df.write.mode("errorifexists").parquet(self.path(layer, name, folder))
+        kept = closed_folders(seen)
+        frame = self._read(layer, name, (*kept, final, other))
+        return Written(layer, name, (final, other), seen, False, frame, kept)
 
     def _create(self, number: int, entry: dict) -> bool:
         """Whether this call created the entry; False where its number is taken."""
@@ -171,7 +201,8 @@ class Layers:
                 now = tables.get((w.layer, w.name), Version())
                 if not w.append and now.number != w.seen.number:
                     raise ConflictError(f"{w.layer}.{w.name} was published by another load")
-                tables[w.layer, w.name] = Version(now.number + 1, (*now.folders, w.folder) if w.append else (w.folder,))
+                before = now.folders if w.append else w.kept
+                tables[w.layer, w.name] = Version(now.number + 1, (*before, *w.folders))
             entry = {
                 "after": last,
                 "at": datetime.now(timezone.utc).isoformat(),

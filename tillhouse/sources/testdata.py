@@ -82,6 +82,19 @@ INPUTS: dict[str, tuple[str, list[tuple[str, str, str]]]] = {
     "payments": ("orders", []),
 }
 
+# Columns spoiled once more, over finished raw tables, for rules that the extracts above do not meet.
+SPOILED: dict[str, dict[str, str]] = {
+    "customers": {"customer_code": "CASE WHEN customer_code LIKE '%3' THEN NULL ELSE customer_code END"},
+    "products": {"product_code": "CASE WHEN product_code LIKE '%3' THEN NULL ELSE product_code END"},
+    "orders": {"order_id": "CASE WHEN order_id LIKE '%3' THEN NULL ELSE order_id END"},
+    "order_items": {
+        "order_item_id": "CASE WHEN order_item_id LIKE '%3' THEN NULL ELSE order_item_id END",
+        "quantity": "CASE WHEN product_code LIKE '%4' THEN 'two' ELSE quantity END",
+        "line_amount": "CASE WHEN product_code LIKE '%5' THEN 'MUCH' ELSE line_amount END",
+    },
+    "payments": {"payment_id": "CASE WHEN payment_id LIKE '%3' THEN NULL ELSE payment_id END"},
+}
+
 # A refreshed customer extract, from the clean customers as raw columns.
 _NUMBER = "CAST(substr(customer_code,2) AS INT)"
 REFRESH: dict[str, str] = {
@@ -140,6 +153,11 @@ class RawTables(Mapping):
         return len(ENTITIES)
 
 
+def spoiled(raw: DataFrame, entity: str) -> DataFrame:
+    """A raw table with some keys missing and some numbers unreadable."""
+    return raw.selectExpr(*[f"{SPOILED[entity].get(c, c)} AS {c}" for c in RAW_COLUMNS[entity]])
+
+
 def refreshed_customers(customers_clean: DataFrame) -> DataFrame:
     """Known customers with some fields changed, and a few new ones."""
     known = customers_clean.selectExpr(*[f"{text} AS {name}" for name, text in REFRESH.items()])
