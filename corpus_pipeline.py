@@ -23,8 +23,11 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the lines that are boilerplate of their source; n_chars follows the text."""
-    found = lines.drop_boilerplate(docs, F.col("source"), F.col("text"))
+    """All documents, without the lines that are boilerplate of their source; n_chars follows the text.
+
+    Copies count as one document here, so that SimHash finds them whole and keeps one.
+    """
+    found = lines.drop_boilerplate(docs, F.col("source"), F.col("text"), distinct=True)
     changed = {"text": F.col("text"), "n_chars": F.when(F.col("n_dropped") > 0, F.length("text").cast("long")).otherwise(F.col(f"{ROW}.n_chars"))}
     return found.select(*[changed.get(c, F.col(f"{ROW}.`{c}`")).alias(c) for c in docs.columns])
 

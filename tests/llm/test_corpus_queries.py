@@ -9,7 +9,7 @@ import pytest
 
 import corpus_pipeline
 from tests.compare import connect, differences
-from tests.llm.conftest import SF_DIR, TABLES, rows_of
+from tests.llm.conftest import SF_DIR, TABLES, rows_of, write_tables
 from tillhouse.llm import oracle, queries
 
 QUERIES, SQL = queries.queries(), oracle.oracle_sql()
@@ -73,6 +73,19 @@ def test_pipeline_on_empty_tables(spark, empty_dir):
     assert corpus_pipeline.run(spark, empty_dir).count() == 0
 
 
+def test_pipeline_keeps_one_of_a_document_that_is_a_third_of_its_source(spark, tmp_path):
+    """Copies do not make their lines boilerplate; a line on every distinct page still is."""
+    body = "\n".join(f"line {i} of the copied document holds words {i * 7} and {i * 13}" for i in range(6))
+    own = ["\n".join(f"{i} own line {j} {(i * 7919 + j * 104729) ** 2} with word{i * 31 + j} and other{i * 17 + j}" for j in range(4)) for i in range(40)]
+    texts = [body] * 20 + own
+    rows = [(i, f"{t}\nfooter", "en", "one source", len(t) + 7) for i, t in enumerate(texts)]
+    folder = write_tables(spark, str(tmp_path), lambda name: rows if name == "documents" else [])
+    changed = corpus_pipeline.drop_lines(spark, queries.table(spark, folder, "documents"), folder).collect()
+    assert sorted((r.doc_id, r.text, r.n_chars) for r in changed) == [(i, t, len(t)) for i, t in enumerate(texts)]
+    left = [r.text for r in corpus_pipeline.run(spark, folder).collect()]
+    assert left.count(body) == 1 and "" not in left
+
+
 def test_pipeline_decisions(spark):
     """Each stage's rows against what its operator says of the rows before it."""
     docs = queries.table(spark, SF_DIR, "documents")

@@ -12,7 +12,8 @@ execution can split, and texts are not taken apart into rows again.
 
 Defined results: lines are compared without spaces, tabs and carriage returns at their ends; lines
 that are empty then are never boilerplate. A null text has no lines and stays null. Null hosts form one
-host. Repeated rows are pages of their own. An empty table gives an empty result. Columns of the
+host. Repeated rows are pages of their own, or, with `distinct`, the equal texts of a host are one page, so
+that copies of a page do not make its lines boilerplate. An empty table gives an empty result. Columns of the
 input travel inside a struct, so no name can clash.
 """
 
@@ -51,17 +52,25 @@ def _bare(line: Column) -> Column:
     return F.btrim(line, F.lit(" \t\r"))
 
 
-def boilerplate(pages: DataFrame, ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
-    """(host, lines) for `pages` (host, text): the lines of each host that exceed the ratio."""
+def boilerplate(pages: DataFrame, ratio: float = RATIO, min_pages: int = MIN_PAGES, distinct: bool = False) -> DataFrame:
+    """(host, lines) for `pages` (host, text): the lines of each host that exceed the ratio.
+
+    With `distinct`, equal texts of a host count once, in its pages and in those that hold a line.
+    """
+    if distinct:
+        # Copies meet as one of each task, before lines are taken apart.
+        pages = pages.distinct()
     totals = pages.groupBy("host").agg(F.count("*").alias("pages"))
-    distinct = F.array_distinct(F.transform(F.split("text", "\n"), _bare))
-    held = pages.select("host", F.explode(distinct).alias("line")).where("line != ''")
+    own = F.array_distinct(F.transform(F.split("text", "\n"), _bare))
+    held = pages.select("host", F.explode(own).alias("line")).where("line != ''")
     counts = held.groupBy("host", "line").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages)
     found = counts.select(F.col("host").alias("h"), "line", "n").join(totals, F.col("h").eqNullSafe(F.col("host")))
     return found.where(F.col("n") > F.col("pages") * ratio).groupBy("host").agg(F.collect_list("line").alias("lines"))
 
 
-def drop_boilerplate(docs: DataFrame, host: Column, text: Column, ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
+def drop_boilerplate(
+    docs: DataFrame, host: Column, text: Column, ratio: float = RATIO, min_pages: int = MIN_PAGES, distinct: bool = False
+) -> DataFrame:
     """The rows of `docs` inside `ROW`, with their host, n_lines, n_dropped and the remaining `text`.
 
     `host` and `text` are expressions over `docs`.
@@ -70,7 +79,7 @@ def drop_boilerplate(docs: DataFrame, host: Column, text: Column, ratio: float =
     # A null host is a host like any other: its name is null, its key is the empty string.
     key = F.coalesce(F.concat(F.lit("h"), host), F.lit(""))
     pages = docs.select(row, key.alias("host"), text.alias("text"))
-    found = keep(boilerplate(pages.select("host", "text"), ratio, min_pages), "boilerplate")
+    found = keep(boilerplate(pages.select("host", "text"), ratio, min_pages, distinct), "boilerplate")
     split = splittable_join(pages.withColumn("all", F.split("text", "\n")), found, "host", "left")
     stay = F.when(F.col("lines").isNull(), F.col("all")).otherwise(
         F.filter("all", lambda line: ~F.array_contains(F.col("lines"), _bare(line)))
