@@ -5,6 +5,7 @@ import random
 import re
 import zlib
 from collections import Counter
+from datetime import date, timedelta
 
 import numpy as np
 import pytest
@@ -170,6 +171,25 @@ def test_neighbouring_numbers():
         assert counts["card"] == text.count("1111111111111") + text.count("0000000000004") and len(new) == len(text)
 
 
+@pytest.mark.parametrize("value, rest", [("2024-01-31", "T10:00:00Z"), ("2024/01/31", "T10:00"), ("31/12/2023", ""), ("13/01/1999", "")])
+def test_more_forms_of_dates(value, rest):
+    p = pii.Permutation("k")
+    text = f"x {value}{rest}, again {value}{rest}."
+    new, counts = pii.replace(text, p.forward)
+    a, b = re.fullmatch(rf"x (.*){rest}, again (.*){rest}\.", new).groups()
+    assert counts["date"] == 2 and a == b != value
+    assert re.sub(r"\d", "9", a) == re.sub(r"\d", "9", value) and pii.replace(new, p.backward)[0] == text
+
+
+def test_a_date_stays_linked_in_every_form_and_no_two_slashed_dates_meet():
+    p = pii.Permutation("k")
+    iso, stamp, day_first = (pii.replace(t, p.forward)[0] for t in ("2023-12-31", "2023-12-31T10", "31/12/2023"))
+    assert stamp == f"{iso}T10" and day_first == "/".join(reversed(iso.split("-")))
+    days = [date(2020, 1, 1) + timedelta(days=i) for i in range(2000)]
+    slashed = {f"{d:%d/%m/%Y}" for d in days} | {f"{d:%m/%d/%Y}" for d in days}
+    assert len({pii.replace(t, p.forward)[0] for t in slashed}) == len(slashed)
+
+
 def test_equal_values_stay_linked_across_documents(spark):
     docs = spark.createDataFrame([(1, "mail jane@example.org"), (2, "JANE@example.org? jane@example.org"), (3, None), (4, "")], "doc_id long, text string")
     rows = {r.id: r.found for r in pii.pseudonymise(docs).select(F.col(f"{ROW}.doc_id").alias("id"), "found").collect()}
