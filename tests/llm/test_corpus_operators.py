@@ -118,6 +118,22 @@ def test_licenses_against_brute_force(spark):
         assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels, r.labels, r.score) == brute_licenses(texts[r.doc_id])
 
 
+def test_every_version_of_creative_commons_has_its_own_label(spark):
+    kinds = ["by", "by-sa", "by-nd", "by-nc", "by-nc-sa", "by-nc-nd"]
+    cases = {}
+    for kind in kinds:
+        for version in ("4.0", "3.0", "2.5", "2.0", "1.0"):
+            cases[f"see https://creativecommons.org/licenses/{kind}/{version}/ for it"] = f"cc-{kind}-{version}"
+            cases[f"SPDX-License-Identifier: CC-{kind.upper()}-{version} here"] = f"cc-{kind}-{version}"
+            cases[f"under CC {kind.upper()} {version}, see"] = f"cc-{kind}-{version}"
+        cases[f"see https://creativecommons.org/licenses/{kind}/ for it"] = f"cc-{kind}"
+        cases[f"SPDX-License-Identifier: CC-{kind.upper()} here"] = f"cc-{kind}"
+    cases["see https://creativecommons.org/licenses/by/9.9/"] = "cc"
+    docs = spark.createDataFrame(list(enumerate(cases)), "doc_id long, text string")
+    found = {r.text: {d.label for d in r.detections} for r in licenses.detect(docs).select(f"{ROW}.text", "detections").collect()}
+    assert found == {text: {label} for text, label in cases.items()}
+
+
 def test_every_rule_is_gated_by_a_word_it_needs():
     found = license_rules.rules()
     assert len(found) > 300

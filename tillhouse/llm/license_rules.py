@@ -82,20 +82,44 @@ odc-by-1.0 | open data {commons} attribution licen[cs]e(?: <1.0>)? | odc by 1 0
 cc-by-nc-nd-4.0 | creative {commons} attribution (?:noncommercial|non commercial) (?:noderivatives|no derivatives|noderivs) <4.0> | cc by nc nd 4 0 | creativecommons org licenses by nc nd 4 0
 cc-by-nc-sa-4.0 | creative {commons} attribution (?:noncommercial|non commercial) (?:sharealike|share alike) <4.0> | cc by nc sa 4 0 | creativecommons org licenses by nc sa 4 0
 cc-by-nc-4.0 | creative {commons} attribution (?:noncommercial|non commercial) <4.0> | cc by nc 4 0 | creativecommons org licenses by nc 4 0
+cc-by-nc-nd-4.0 | {cc} by nc nd <4.0> | cc by nc nd 4 0 | creativecommons org licenses by nc nd 4 0 (?:deed|legalcode)
+cc-by-nc-nd-3.0 | {cc} by nc nd <3.0> | cc by nc nd 3 0 | creativecommons org licenses by nc nd 3 0
+cc-by-nc-nd-2.5 | {cc} by nc nd <2.5> | cc by nc nd 2 5 | creativecommons org licenses by nc nd 2 5
+cc-by-nc-nd-2.0 | {cc} by nc nd <2.0> | cc by nc nd 2 0 | creativecommons org licenses by nc nd 2 0
+cc-by-nc-nd-1.0 | {cc} by nc nd (?:version |v ?)?1 0 | cc by nc nd 1 0 | creativecommons org licenses by (?:nc nd|nd nc) 1 0
+cc-by-nc-sa-4.0 | {cc} by nc sa <4.0> | cc by nc sa 4 0 | creativecommons org licenses by nc sa 4 0 (?:deed|legalcode)
+cc-by-nc-sa-3.0 | {cc} by nc sa <3.0> | cc by nc sa 3 0 | creativecommons org licenses by nc sa 3 0
+cc-by-nc-sa-2.5 | {cc} by nc sa <2.5> | cc by nc sa 2 5 | creativecommons org licenses by nc sa 2 5
+cc-by-nc-sa-2.0 | {cc} by nc sa <2.0> | cc by nc sa 2 0 | creativecommons org licenses by nc sa 2 0
+cc-by-nc-sa-1.0 | {cc} by nc sa (?:version |v ?)?1 0 | cc by nc sa 1 0 | creativecommons org licenses by nc sa 1 0
+cc-by-nc-4.0 | {cc} by nc <4.0> | cc by nc 4 0 | creativecommons org licenses by nc 4 0 (?:deed|legalcode)
+cc-by-nc-3.0 | {cc} by nc <3.0> | cc by nc 3 0 | creativecommons org licenses by nc 3 0
+cc-by-nc-2.5 | {cc} by nc <2.5> | cc by nc 2 5 | creativecommons org licenses by nc 2 5
+cc-by-nc-2.0 | {cc} by nc <2.0> | cc by nc 2 0 | creativecommons org licenses by nc 2 0
+cc-by-nc-1.0 | {cc} by nc (?:version |v ?)?1 0 | cc by nc 1 0 | creativecommons org licenses by nc 1 0
 cc-by-nd-4.0 | {cc} by nd <4.0> | cc by nd 4 0 | creativecommons org licenses by nd 4 0
+cc-by-nd-3.0 | {cc} by nd <3.0> | cc by nd 3 0 | creativecommons org licenses by nd 3 0
+cc-by-nd-2.5 | {cc} by nd <2.5> | cc by nd 2 5 | creativecommons org licenses by nd 2 5
+cc-by-nd-2.0 | {cc} by nd <2.0> | cc by nd 2 0 | creativecommons org licenses by nd 2 0
+cc-by-nd-1.0 | {cc} by nd (?:version |v ?)?1 0 | cc by nd 1 0 | creativecommons org licenses by nd 1 0
 cc-by-sa-4.0 | {cc} by sa <4.0> | cc by sa 4 0 | creativecommons org licenses by sa 4 0
 cc-by-sa-3.0 | {cc} by sa <3.0> | cc by sa 3 0 | creativecommons org licenses by sa 3 0
+cc-by-sa-2.5 | {cc} by sa <2.5> | cc by sa 2 5 | creativecommons org licenses by sa 2 5
 cc-by-sa-2.0 | {cc} by sa <2.0> | cc by sa 2 0 | creativecommons org licenses by sa 2 0
-cc-by-nc-nd-4.0 | {cc} by nc nd <4.0> | cc by nc nd 3 0 | creativecommons org licenses by nc nd 3 0
-cc-by-nc-sa-4.0 | {cc} by nc sa <4.0> | cc by nc sa 3 0 | creativecommons org licenses by nc sa 3 0
-cc-by-nc-4.0 | {cc} by nc <4.0> | cc by nc 3 0 | creativecommons org licenses by nc 3 0
-cc-by-nc | {cc} by nc | cc by nc 2 0 | creativecommons org licenses by nc
+cc-by-sa-1.0 | {cc} by sa (?:version |v ?)?1 0 | cc by sa 1 0 | creativecommons org licenses by sa 1 0
 cc-by-4.0 | {cc} by <4.0> | cc by 4 0 | creativecommons org licenses by 4 0
 cc-by-3.0 | {cc} by <3.0> | cc by 3 0 | creativecommons org licenses by 3 0
+cc-by-2.5 | {cc} by <2.5> | cc by 2 5 | creativecommons org licenses by 2 5
 cc-by-2.0 | {cc} by <2.0> | cc by 2 0 | creativecommons org licenses by 2 0
-cc-by-4.0 | creative {commons} attribution <4.0>(?: international)? | cc by | creativecommons org licenses by
+cc-by-1.0 | {cc} by (?:version |v ?)?1 0 | cc by 1 0 | creativecommons org licenses by 1 0
+cc-by-4.0 | creative {commons} attribution <4.0>(?: international)? | cc by 4 0 | creativecommons org licenses by 4 0 (?:deed|legalcode)
+cc-by-nc-nd | {cc} by nc nd | cc by nc nd | creativecommons org licenses by nc nd
+cc-by-nc-sa | {cc} by nc sa | cc by nc sa | creativecommons org licenses by nc sa
+cc-by-nc | {cc} by nc | cc by nc | creativecommons org licenses by nc
+cc-by-nd | {cc} by nd | cc by nd | creativecommons org licenses by nd
 cc-by-sa | creative {commons} attribution (?:sharealike|share alike)(?: <4.0>)?(?: international)? | cc by sa | creativecommons org licenses by sa
-cc | creative {commons} licen[cs]e | cc by nd | creativecommons org licenses
+cc-by | creative {commons} attribution licen[cs]e | cc by(?! (?:nc|nd|sa|\d \d)(?= )) | creativecommons org licenses by(?! (?:nc|nd|sa|\d \d)(?= ))
+cc | creative {commons} licen[cs]e | licenseref cc | creativecommons org licenses
 ofl-1.1 | sil open {font} licen[cs]e(?: <1.1>)? | ofl 1 1(?: rfn| no rfn)? | scripts sil org ofl
 ms-pl | {microsoft} public licen[cs]e | ms pl | opensource org licen[cs]es? ms pl(?: html)?
 ms-rl | {microsoft} reciprocal licen[cs]e | ms rl | opensource org licen[cs]es? ms rl(?: html)?
