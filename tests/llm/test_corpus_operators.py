@@ -118,6 +118,27 @@ def test_licenses_against_brute_force(spark):
         assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels, r.labels, r.score) == brute_licenses(texts[r.doc_id])
 
 
+def test_overlapping_spans_are_settled_by_rank(spark):
+    """Chains of spans against brute force; of three in a chain, the outer two stay when the last beats the middle one."""
+    rng = random.Random(3)
+    chain = ("ab", "bc", "cd")
+    tables = [[chain[i] for i in order] for order in ((2, 1, 0), (0, 1, 2), (1, 0, 2))]
+    tables += [rng.sample(["abc", "bcd", "cde", "def", "efa", "ab", "cd", "de", "fa"], 7) for _ in range(4)]
+    texts = ["a b c d", "a b c d e f a b c d", "c d e f a b"] + [" ".join(rng.choices("abcdef", k=30)) for _ in range(40)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for table in tables:
+        extra = [license_rules.Rule(i, p, p[0], 1.0, rf"(?<= ){' '.join(p)}(?= )") for i, p in enumerate(table)]
+        for r in licenses.detect(docs, extra).select(f"{ROW}.text", "detections").collect():
+            plain = r.text.replace(" ", "")
+            spans = [(i, m.start(), m.start() + len(p)) for i, p in enumerate(table) for m in re.finditer(p, plain)]
+            outer = [s for s in spans if not any(o != s and o[1] <= s[1] and s[2] <= o[2] for o in spans)]
+            kept = []
+            for s in sorted(outer):
+                if not any(o[1] < s[2] and s[1] < o[2] for o in kept):
+                    kept.append(s)
+            assert sorted((d.start, d.end, d.rank) for d in r.detections) == sorted((s[1], s[2], s[0]) for s in kept)
+
+
 def test_every_version_of_creative_commons_has_its_own_label(spark):
     kinds = ["by", "by-sa", "by-nd", "by-nc", "by-nc-sa", "by-nc-nd"]
     cases = {}

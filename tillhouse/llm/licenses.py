@@ -3,7 +3,8 @@
 A text is reduced to its lower-case words with single spaces between. The set of its words is met
 with the keywords of all rules, and only the rules whose keyword it holds are matched. Every match
 is a span of words. A span inside another one is suppressed, and of equal spans the rule of lower
-rank stays; of two spans that overlap in part, the one of lower rank stays. No rows are shuffled.
+rank stays. Spans that overlap in part are taken in order of rank, and one stays if it overlaps none
+that stays already. No rows are shuffled.
 
 Defined results: null and empty texts have no words, no labels and score 0. Equal rows get equal
 results. An empty table gives an empty result. Columns of the input travel inside a struct, so no
@@ -86,13 +87,31 @@ def _resolved(spans: Column) -> Column:
         lambda state: state["out"],
     )
 
-    def stays(s: Column, i: Column, all_: Column) -> Column:
-        before, after = F.get(all_, i - 1), F.get(all_, i + 1)
-        beaten_before = F.coalesce((before["end"] > s["start"]) & (before["rank"] < s["rank"]), F.lit(False))
-        beaten_after = F.coalesce((after["start"] < s["end"]) & (after["rank"] < s["rank"]), F.lit(False))
-        return ~(beaten_before | beaten_after)
+    # No span of `outer` holds another, so spans that overlap through others follow each other: they are one chain.
+    step = lambda state, s: F.struct(
+        s["end"].alias("reach"),
+        F.when(
+            s["start"] < state["reach"],
+            F.concat(
+                F.slice(state["out"], F.lit(1), F.size(state["out"]) - 1),
+                F.array(F.concat(F.element_at(state["out"], -1), F.array(s))),
+            ),
+        ).otherwise(F.concat(state["out"], F.array(F.array(s)))).alias("out"),
+    )
+    no_chain = F.struct(F.lit(-1).alias("reach"), F.array().cast(f"array<array<{_SPAN}>>").alias("out"))
+    chains = F.aggregate(outer, no_chain, step, lambda state: state["out"])
+
+    def accepted(chain: Column) -> Column:
+        """By rank, the spans that overlap none accepted before."""
+        return F.aggregate(
+            F.array_sort(chain, lambda a, b: a["rank"] - b["rank"]), none,
+            lambda out, s: F.when(
+                F.exists(out, lambda o: (o["start"] < s["end"]) & (s["start"] < o["end"])), out
+            ).otherwise(F.concat(out, F.array(s))),
+        )
 
-    return F.transform(F.array(outer), lambda all_: F.filter(all_, lambda s, i: stays(s, i, all_)))[0]
+    kept = F.transform(chains, lambda chain: F.when(F.size(chain) == 1, chain).otherwise(accepted(chain)))
+    return F.array_sort(F.flatten(kept))
 
 
 def detect(docs: DataFrame, extra: list[Rule] | None = None) -> DataFrame:
