@@ -396,6 +396,15 @@ def test_counterfactual_penalty_frees_names_of_groups(spark):
     assert held.score("what an idiot he is") > 0.7
 
 
+def test_swapped_sentences_come_from_the_whole_text():
+    sentences = [f"number {i} says the women met" for i in range(200)]
+    found = toxicity.swaps(". ".join(sentences))
+    places = {int(words[1]) for words, _ in found}
+    assert len(found) == toxicity.MAX_SWAPS_DOC and len(places) == toxicity.MAX_SWAPS_DOC // 2 and max(places) >= 4
+    assert toxicity.swaps(". ".join(reversed(sentences))) == found
+    assert len(toxicity.swaps("The women met. Nobody else. The women met. The men left.")) == 4
+
+
 def test_labels_of_held_out_rows_are_never_used(spark, odd_dir):
     docs, labels = (queries.table(spark, "/root/testdata/sf0.01", t) for t in ("documents", "labels"))
     flipped = labels.withColumn("toxic", F.when(toxicity.held_out(F.col("doc_id")), 1 - F.col("toxic")).otherwise(F.col("toxic")))

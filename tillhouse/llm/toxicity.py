@@ -18,6 +18,8 @@ Extra columns travel inside a struct, so no name can clash.
 
 from __future__ import annotations
 
+import hashlib
+import heapq
 import math
 import re
 from collections import Counter
@@ -85,17 +87,20 @@ def features_of(words: list[str]) -> set[str]:
 def swaps(text: str, most: int = MAX_SWAPS_DOC) -> list[tuple[list[str], list[str]]]:
     """Words of the sentences of `text` that name a group, each with those after its names are swapped.
 
-    A name is swapped for the next of its kind, and once more for the neutral word.
+    A name is swapped for the next of its kind, and once more for the neutral word. Of more distinct
+    sentences than make `most` pairs, those of smallest digest are taken, wherever they stand.
     """
-    found: list[tuple[list[str], list[str]]] = []
+    named: dict[bytes, list[str]] = {}
     for sentence in _SENTENCE.split(text.lower()):
         words = _WORD.findall(sentence)
         if any(w in _KIND for w in words):
-            kinds = [_KIND.get(w) for w in words]
-            following = [k[(k.index(w) + 1) % len(k)] if k else w for w, k in zip(words, kinds)]
-            found += [(words, following), (words, [k[0] if k else w for w, k in zip(words, kinds)])]
-        if len(found) >= most:
-            break
+            named[hashlib.blake2b(" ".join(words).encode(), digest_size=16).digest()] = words
+    found: list[tuple[list[str], list[str]]] = []
+    for digest in heapq.nsmallest((most + 1) // 2, named):
+        words = named[digest]
+        kinds = [_KIND.get(w) for w in words]
+        following = [k[(k.index(w) + 1) % len(k)] if k else w for w, k in zip(words, kinds)]
+        found += [(words, following), (words, [k[0] if k else w for w, k in zip(words, kinds)])]
     return found[:most]
 
 
