@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from tillhouse.plans import catalog
 from tillhouse.schema import SCHEMAS
 from tillhouse.streaming import orders as stream
 
@@ -56,3 +57,11 @@ def test_late_rows_are_kept_and_every_row_is_accounted_for(spark, tmp_path, as_o
     assert sorted(r.order_id for r in stream.loaded_orders(spark, out).collect()) == ["O1", "O2", "O3"]
     reasons = sorted(r.reason for r in stream.rejected_orders(spark, out).collect())
     assert reasons == ["duplicate_order_id", "duplicate_order_id", "invalid_date_format", "missing_customer_code"]
+
+
+def test_registered_stream_runs_several_batches(spark):
+    shop = catalog.Shop(spark, "/root/testdata/sf0.001")
+    out = catalog._streamed(shop)
+    batches = spark.read.parquet(f"{out}/clean").select("batch_id").distinct().count()
+    assert batches == 4
+    assert stream.loaded_orders(spark, out).count() + stream.rejected_orders(spark, out).count() == shop.raw["orders"].count()

@@ -683,12 +683,18 @@ def full_load_counts(s: Shop) -> DataFrame:
     return profiling.layer_counts(dict(zip([name for _, name in names], layers.tables(*names))))
 
 
-def _streamed(s: Shop) -> str:
-    """The raw orders as arriving files, loaded; the folder of the result."""
-    path = shared_dir(s.spark, "arrivals")
-    s.raw["orders"].repartition(4).write.parquet(path)
+def _streamed(s: Shop, batches: int = 4) -> str:
+    """The raw orders as arriving files, loaded in several batches; the folder of the result.
+
+    There are as many files as the session has shuffle partitions. Rows of one key arrive in one file, since of
+    rows in different batches the first to arrive stays, and of those in one batch the first in rank.
+    """
+    path, raw = shared_dir(s.spark, "arrivals"), s.raw["orders"]
+    files = max(batches, int(s.spark.conf.get("spark.sql.shuffle.partitions")))
+    spread = F.when(F.col("order_id").isNull(), F.xxhash64(*raw.columns))
+    raw.repartition(files, "order_id", spread).write.parquet(path)
     out = shared_dir(s.spark, "stream")
-    stream.stream_orders(s.spark, path, out, f"{out}/checkpoint", s.as_of)
+    stream.stream_orders(s.spark, path, out, f"{out}/checkpoint", s.as_of, -(-files // batches))
     return out
 
 
