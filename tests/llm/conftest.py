@@ -14,11 +14,12 @@ TABLES = {
     "pages": "page_id long, url string, html string",
     "benchmark": "item_id long, text string",
     "embeddings": "vec_id long, embedding array<float>, label int",
+    "conversations": "conv_id long, turn long, role string, text string",
 }
 # Names that operators use inside: rows that carry them must come through.
 CLASH = (
-    "_row, size, class, cell, rank, copies, copy, fp, mark, root, found, score, host, lines, all, stay, key, digest, words, "
-    "line, base, detections, n, first, vec, side, n_words, _split, u, v, hi, lo, id, nth"
+    "_row, size, class, cell, rank, copy, fp, mark, root, found, score, host, lines, all, stay, key, digest, words, "
+    "line, base, detections, n, first, vec, side, n_words, _split, u, v, hi, lo, id, nth, ckey, dated, copies, audit, harm, place, ways"
 ).split(", ")
 
 
@@ -40,6 +41,11 @@ def rows_of(name):
     if name == "benchmark":
         words = COPY.split()
         return [(1, " ".join(words[:14])), (2, "two WORDS"), (3, None), (4, ""), (5, "..."), (None, "other"), (10, " ".join(words[3:13])), (10, " ".join(words[3:13]))]
+    if name == "conversations":
+        odd = [(1, None, None, None), (1, None, "user", "no turn."), (1, 0, "", "empty role."), (1, 0, "user", "a tie."), (1, 0, "user", "a tie."), (2, 0, "system", "only a system turn.")]
+        lone = [(None, 3, "user", "no id?"), (None, 4, "assistant", "still none"), (None, 4, None, "tied!"), (3, 5, "Tool", " "), (3, 9, "assistant", "\n"), (4, 0, None, None)]
+        long = [(5, i, ("user", "assistant", "user", "system")[i % 4 if i % 11 else 2], f"turn {i % 350} says{'.' if i % 5 else ''}") for i in range(1400)]
+        return [*odd, *lone, *long, (6, 0, "user", LONG), (6, 1, "assistant", LONG + "!"), *[(7, 1, "user", "same.")] * 1200]
     if name == "embeddings":
         base = [1.0, 2.0, 3.0, 4.0]
         return [

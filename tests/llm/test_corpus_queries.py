@@ -14,6 +14,8 @@ from tillhouse.llm import oracle, queries
 
 QUERIES, SQL = queries.queries(), oracle.oracle_sql()
 ID = {"op4_warc": "pages", "op10_lines": "pages", "op6_embeddings": "embeddings"}
+# Queries whose rows are not those of a table.
+OWN_ROWS = {"op12_conversations"}
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
@@ -37,7 +39,7 @@ def test_odd_tables_against_sql(spark, odd_dir, name):
     assert differences(found, folder_connection(odd_dir).execute(SQL[name]).df()) is None
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - OWN_ROWS))
 def test_odd_tables_keep_every_row(spark, odd_dir, name):
     rows = QUERIES[name](spark, odd_dir).collect()
     expected = Counter(r[0] for r in rows_of(ID.get(name, "documents")))

@@ -117,6 +117,72 @@ FROM p LEFT JOIN marked USING (row)
 GROUP BY p.row, p.page_id, p.host, len(p.line)
 """
 
+_SPACES = r"' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+CONVERSATIONS = rf"""
+WITH RECURSIVE crc AS (
+  SELECT list(list_reduce(list_prepend(i, [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+    lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END) ORDER BY i) AS t
+  FROM range(256) r(i)
+), harmed AS (
+  SELECT coalesce('c' || conv_id, '') AS ckey, conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    xor(list_reduce(list_prepend(4294967295, list_transform(
+        string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda c: ascii(c)::BIGINT)),
+      lambda x, y: xor(x >> 8, t[(xor(x, y) & 255) + 1])), 4294967295) % 20 AS harm
+  FROM conversations, crc
+), damaged AS (
+  SELECT ckey, turn, CASE WHEN harm = 4 THEN 'user' ELSE role END AS role,
+    CASE harm WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+    unnest(range(CASE harm WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy
+  FROM harmed
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY ckey ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS pos,
+    right(rtrim(text, {_SPACES}), 1) AS last
+  FROM damaged
+), judged AS (
+  SELECT *, role[1] AS initial,
+    CASE WHEN last = '' THEN 'blank'
+      WHEN row_number() OVER (PARTITION BY ckey, role, text ORDER BY pos) > 1 THEN 'duplicate'
+      WHEN last NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+    coalesce(lag(role[1]) OVER (PARTITION BY ckey ORDER BY pos) || role[1] NOT IN ('su', 'ua', 'au'), false) AS illegal
+  FROM placed
+), keeps(s, initial, t) AS (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)),
+turns(s, t, name) AS (VALUES (0, 2, 'user:'), (1, 2, 'user:'), (2, 3, 'assistant:'), (3, 2, 'user:')),
+inserts AS (
+  SELECT s, s AS t, 0 AS cost, '' AS audit, '' AS lines FROM turns
+  UNION ALL SELECT s, t, 3, 'I', name || chr(10) FROM turns
+  UNION ALL SELECT a.s, b.t, 6, 'II', a.name || chr(10) || b.name || chr(10) FROM turns a JOIN turns b ON a.t = b.s
+), walk AS (
+  SELECT DISTINCT ckey, 0::BIGINT AS nth, 0 AS state, {{'cost': 0, 'audit': '', 'lines': ''}} AS way FROM placed
+  UNION ALL
+  SELECT ckey, nth, state, min({{'cost': cost, 'audit': audit, 'lines': lines}}) FROM (
+    SELECT w.ckey, w.nth + 1 AS nth, e.t AS state, w.way.cost + i.cost + e.cost AS cost, w.way.audit || i.audit || e.edit AS audit,
+      w.way.lines || i.lines || e.line AS lines
+    FROM walk w JOIN inserts i ON i.s = w.state JOIN judged r ON r.ckey = w.ckey AND r.pos = w.nth + 1,
+      LATERAL (
+        SELECT i.t AS t, 4 AS cost, 'D' AS edit, '' AS line
+        UNION ALL SELECT k.t, 3 * (r.fault = 'truncated')::INT, 'K', r.role || ':' || r.text || chr(10)
+          FROM keeps k WHERE k.s = i.t AND k.initial = r.initial AND r.fault NOT IN ('blank', 'duplicate')
+        UNION ALL SELECT x.t, 3 + 3 * (r.fault = 'truncated')::INT, 'R', x.name || r.text || chr(10)
+          FROM turns x WHERE x.s = i.t AND r.fault NOT IN ('blank', 'duplicate')
+      ) e
+  ) GROUP BY ckey, nth, state
+), sizes AS (
+  SELECT ckey, count(*) AS n, count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+    count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (illegal) AS illegal,
+    coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps
+  FROM judged GROUP BY ckey
+), best AS (
+  SELECT w.ckey, min({{'cost': w.way.cost + i.cost, 'audit': w.way.audit || i.audit, 'lines': w.way.lines || i.lines}}) AS way
+  FROM walk w JOIN sizes z ON z.ckey = w.ckey AND z.n = w.nth JOIN inserts i ON i.s = w.state
+  WHERE i.t IN (0, 3) GROUP BY w.ckey
+)
+SELECT c.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(way.cost, 0)::BIGINT AS cost,
+  coalesce(way.audit, '') AS audit, sha256(coalesce(left(way.lines, greatest(length(way.lines) - 1, 0)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id, ckey FROM harmed) c LEFT JOIN sizes USING (ckey) LEFT JOIN best USING (ckey)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
@@ -124,4 +190,5 @@ def oracle_sql() -> dict[str, str]:
         "op4_warc": WARC,
         "op8_decontaminate": DECONTAMINATE,
         "op10_lines": LINES,
+        "op12_conversations": CONVERSATIONS,
     }
