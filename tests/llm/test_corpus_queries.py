@@ -13,9 +13,9 @@ from tests.llm.conftest import SF_DIR, TABLES, rows_of, write_tables
 from tillhouse.llm import oracle, queries
 
 QUERIES, SQL = queries.queries(), oracle.oracle_sql()
-ID = {"op4_warc": "pages", "op10_lines": "pages", "op6_embeddings": "embeddings"}
+ID = {"op4_warc": "pages", "op10_lines": "pages", "op6_embeddings": "embeddings", "op13_main_text": "pages"}
 # Queries whose rows are not those of a table.
-OWN_ROWS = {"op12_conversations"}
+OWN_ROWS = {"op11_phrases", "op12_conversations"}
 
 
 @pytest.mark.parametrize("name", sorted(SQL))

@@ -117,6 +117,44 @@ FROM p LEFT JOIN marked USING (row)
 GROUP BY p.row, p.page_id, p.host, len(p.line)
 """
 
+PHRASES = rf"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({_LOWER.format('text')}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents
+), split AS (
+  SELECT row_number() OVER () AS nr, lang, list_filter(string_split_regex(piece, '[ \x09]+'), lambda w: w <> '') AS words FROM pieces
+), words AS (
+  SELECT nr, lang, unnest(words) AS w, generate_subscripts(words, 1) AS pos FROM split
+), ahead AS (
+  SELECT lang, w AS w1, lead(w, 1) OVER p AS w2, lead(w, 2) OVER p AS w3, lead(w, 3) OVER p AS w4, lead(w, 4) OVER p AS w5
+  FROM words WINDOW p AS (PARTITION BY nr ORDER BY pos)
+), grams AS (
+  SELECT lang, 1 AS k, w1 AS phrase FROM ahead
+  UNION ALL SELECT lang, 2, w1 || ' ' || w2 FROM ahead WHERE w2 IS NOT NULL
+  UNION ALL SELECT lang, 3, w1 || ' ' || w2 || ' ' || w3 FROM ahead WHERE w3 IS NOT NULL
+  UNION ALL SELECT lang, 4, w1 || ' ' || w2 || ' ' || w3 || ' ' || w4 FROM ahead WHERE w4 IS NOT NULL
+  UNION ALL SELECT lang, 5, w1 || ' ' || w2 || ' ' || w3 || ' ' || w4 || ' ' || w5 FROM ahead WHERE w5 IS NOT NULL
+), f AS (
+  SELECT lang, k, phrase, string_split(phrase, ' ') AS words, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 100
+), totals AS (
+  SELECT lang, count(*) AS n FROM words GROUP BY lang
+), cuts AS (
+  SELECT c.lang, c.phrase, c.f AS a, i AS cut, x.f AS l, y.f AS r, n, (1000::HUGEINT * c.f * n) // (x.f::HUGEINT * y.f) AS score
+  FROM f c JOIN totals t ON t.lang = c.lang, LATERAL (SELECT unnest(range(1, k)) AS i) s
+  JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.words[1:i], ' ')
+  JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.words[i + 1:], ' ')
+  WHERE NOT EXISTS (
+    SELECT 1 FROM f b WHERE b.lang = c.lang AND b.k = c.k + 1 AND b.f = c.f
+      AND (array_to_string(b.words[1:c.k], ' ') = c.phrase OR array_to_string(b.words[2:], ' ') = c.phrase)
+  )
+), least AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+)
+SELECT lang, row_number() OVER best AS rank, phrase, a, l, r, n, score::BIGINT AS score
+FROM least WINDOW best AS (PARTITION BY lang ORDER BY score DESC, a DESC, phrase)
+QUALIFY row_number() OVER best <= 2000
+"""
+
+
 _SPACES = r"' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
 CONVERSATIONS = rf"""
@@ -190,5 +228,6 @@ def oracle_sql() -> dict[str, str]:
         "op4_warc": WARC,
         "op8_decontaminate": DECONTAMINATE,
         "op10_lines": LINES,
+        "op11_phrases": PHRASES,
         "op12_conversations": CONVERSATIONS,
     }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillhouse.llm import conversations, decontaminate, embeddings, licenses, lines, mixing, pii, simhash, tokens, toxicity, warc
+from tillhouse.llm import conversations, decontaminate, embeddings, extraction, licenses, lines, mixing, phrases, pii, simhash, tokens, toxicity, warc
 from tillhouse.llm.common import ROW, ship
 from tillhouse.session import shared_dir
 
@@ -87,17 +87,29 @@ def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col(f"{ROW}.page_id").alias("page_id"), "host", "n_lines", "n_dropped", "text")
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
     return conversations.repair(table(spark, sf_dir, "conversations"))
 
 
+def op13_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    pages = table(spark, sf_dir, "pages")
+    found = extraction.extract(pages.select("page_id", "url", "html"), extraction.train(pages))
+    return found.select(f"{ROW}.page_id", f"{ROW}.url", "text", "n_chars")
+
+
 def queries() -> dict[str, Query]:
     return {
         f.__name__: f
         for f in (
             op1_mix, op2_licenses, op3_pseudonyms, op4_warc, op5_simhash,
             op6_embeddings, op7_toxicity, op8_decontaminate, op9_tokens, op10_lines,
-            op12_conversations,
+            op11_phrases, op12_conversations, op13_main_text,
         )
     }
