@@ -11,11 +11,12 @@ import sys
 import time
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tillhouse.operators import reconcile, staging
 from tillhouse.operators.rules import ENTITY
 from tillhouse.functions import casts
-from tillhouse.plans import analytics, fact, full_load, raw_sales, scd2
+from tillhouse.plans import analytics, arrivals, fact, full_load, raw_sales, scd2
 from tillhouse.session import build_session, shared_dir
 from tillhouse.sources import testdata
 from tillhouse.sources.layers import Layers
@@ -45,7 +46,7 @@ def main() -> None:
 
     clock("load_raw", lambda: full_load.load_raw(layers, testdata.RawTables(spark, SF_DIR), int(CPUS)))
     raw = full_load.open_raw(layers)
-    clock("full_load", lambda: full_load.full_load(layers, raw, testdata.AS_OF, fact_by="year_month"))
+    clock("full_load", lambda: full_load.full_load(layers, None, testdata.AS_OF, fact_by="year_month"))
     dims, sales = full_load.open_dims(layers), full_load.open_fact(layers)
     orders, items = raw["orders"], raw["order_items"]
     customers_clean = layers.table("staging", "customers_clean")
@@ -78,6 +79,11 @@ def main() -> None:
     }
     for name, plan in plans.items():
         clock(name, lambda plan=plan: run(plan()))
+    # A hundredth of the orders arrives, and staging and the warehouse follow.
+    arrived = orders.filter(F.pmod(F.xxhash64("order_id"), F.lit(100)) == 0).withColumn("order_id", F.concat(F.lit("N"), "order_id"))
+    arrivals.land(layers, "orders", arrived)
+    clock("increment_1_percent", lambda: arrivals.increment(layers, testdata.AS_OF, ("orders",)))
+    clock("refresh_warehouse", lambda: arrivals.refresh_warehouse(layers, testdata.AS_OF))
     print(
         json.dumps(
             {

@@ -9,6 +9,7 @@ AS_OF = f"TIMESTAMP '{t.AS_OF}'"
 WATERMARK = f"TIMESTAMP '{t.WATERMARK}'"
 CATEGORY, YEAR = "ECONOMY", 1997
 HISTORY_CODE = "C0000011"
+RELOAD_CITY = "NATION_5"
 SEED = 23
 
 KEY = {
@@ -625,7 +626,7 @@ def oracle_sql() -> dict[str, str]:
     sql["simulated_increment"] = _with(
         orders
         + [
-            f"""arrived AS (SELECT * FROM orders_raw UNION ALL SELECT 'ARRIVAL-1','{HISTORY_CODE}','{t.AS_OF}','COMPLETED','Lisbon','Estremadura')"""
+            f"""arrived AS (SELECT * FROM orders_raw UNION ALL SELECT 'ARRIVAL-1','{HISTORY_CODE}','{t.AS_OF}','BOOKED','Lisbon','Estremadura')"""
         ],
         _pulled("arrived", f"({AS_OF} - INTERVAL 10 MINUTE)"),
     )
@@ -646,6 +647,27 @@ def oracle_sql() -> dict[str, str]:
     sql["csv_round_trip"] = _with([_raw("customers")], "SELECT * FROM customers_raw")
     sql["csv_by_name"] = _with([_raw("order_items")], "SELECT * FROM order_items_raw")
     sql["paged_export"] = _with(DIM_CUSTOMER, "SELECT * FROM dim_customer ORDER BY customer_code LIMIT 350 OFFSET 350")
+    sql["all_pages"] = _with(
+        DIM_CUSTOMER, "SELECT (row_number() OVER (ORDER BY customer_code)-1)//350 AS page, customer_sk, customer_code FROM dim_customer"
+    )
+    sql["dimension_csv"] = _with(DIM_CUSTOMER, "SELECT * FROM dim_customer")
+    line = "||','||".join(f"coalesce({c},'')" for c in RAW_COLUMNS["orders"])
+    turn = "coalesce(CAST(substr(order_id,2) AS INTEGER) % 50, 0)"
+    sql["csv_malformed"] = _with(
+        [_raw("orders")],
+        f"""SELECT CASE {turn} WHEN 7 THEN '{{"line":"'||{line}||',extra"}}' WHEN 9 THEN '{{"line":"'||regexp_replace({line}, ',[^,]*$', '')||'"}}'
+  ELSE {_json('orders')} END AS row_data, CASE WHEN {turn} IN (7, 9) THEN 'malformed_row' ELSE 'read' END AS reason FROM orders_raw""",
+    )
+    sql["rejected_fields"] = _with(
+        _staging("order_items"),
+        f"""SELECT {_verdict('order_items')} AS reason, order_item_id, product_code, TRY_CAST(quantity AS BIGINT) AS quantity,
+  CAST({_money('unit_price')} AS DOUBLE) AS unit_price FROM order_items_flagged WHERE reason IS NOT NULL OR place>1""",
+    )
+    sql["fact_clustered"] = _with(
+        FACT,
+        """SELECT date_sk//100 AS year_month, count(*) AS n, min(date_sk) AS first_day, max(date_sk) AS last_day, 0::BIGINT AS overlaps
+  FROM fact_sales GROUP BY 1""",
+    )
     counts = [f"SELECT '{e}_clean' AS name, count(*) AS n FROM {e}_clean" for e in ENTITIES]
     counts += [f"SELECT '{e}_errors', count(*) FROM {e}_flagged WHERE reason IS NOT NULL OR place>1" for e in ENTITIES]
     counts += [f"SELECT '{d}', count(*) FROM {d}" for d in ("dim_customer", "dim_product", "dim_location", "fact_sales")]
@@ -660,6 +682,37 @@ def oracle_sql() -> dict[str, str]:
     sql["stream_orders"] = _with(orders, "SELECT * FROM orders_clean")
     sql["stream_order_errors"] = _with(orders, _errors("orders"))
     sql["increment_published"] = sql["incremental_orders_validated"]
+    # Places get numbers when they are first seen.
+    after = [
+        f"""early AS (SELECT DISTINCT order_city AS city, order_state AS state FROM orders_clean
+  WHERE order_city IS NOT NULL AND order_date <= {WATERMARK})""",
+        f"""dim_location AS (SELECT row_number() OVER (ORDER BY {_bucket("city||'|'||state")}, city, state) AS location_sk, city, state FROM early
+  UNION ALL SELECT (SELECT count(*) FROM early) + row_number() OVER (ORDER BY {_bucket("city||'|'||state")}, city, state), city, state
+  FROM (SELECT order_city AS city, order_state AS state FROM orders_clean WHERE order_city IS NOT NULL EXCEPT SELECT * FROM early))""",
+    ]
+    sql["fact_after_increment"] = _with(
+        [c for cte in FACT for c in (after if cte in DIM_LOCATION else [cte])],
+        "SELECT * REPLACE (CAST(unit_price AS DOUBLE) AS unit_price, CAST(line_amount AS DOUBLE) AS line_amount) FROM fact_sales",
+    )
+    sql["orders_after_arrival"] = sql["stream_orders"]
+    read = [f"SELECT 'staging' AS consumer, '{e}_raw' AS table_name, {1 + (e == 'orders')} AS folders, count(*) AS n_rows FROM {e}_raw" for e in ENTITIES]
+    read += [
+        f"SELECT 'warehouse', '{e}_clean', {1 + (e == 'orders')}, count(*) FROM {e}_clean" for e in ("orders", "order_items", "products")
+    ]
+    sql["arrival_files"] = _with(
+        FACT + [_raw("payments")], f"SELECT consumer, table_name, CAST(folders AS BIGINT) AS folders, n_rows FROM ({' UNION ALL '.join(read)})"
+    )
+    sql["customers_after_reload"] = _with(
+        _scd2(False),
+        f"""SELECT customer_sk, customer_code FROM dim_customer
+  UNION ALL SELECT (SELECT max(customer_sk) FROM dim_after) + row_number() OVER (ORDER BY {_bucket('code')}, code), code
+  FROM (SELECT 'A'||substr(customer_code,2) AS code FROM customers_clean WHERE city='{RELOAD_CITY}')""",
+    )
+    sql["load_counts"] = sql["staging_counts"]
+    sql["load_reasons"] = _with(
+        [c for e in ENTITIES for c in _staging(e)],
+        _per_entity("SELECT '{e}' AS entity, {verdict} AS reason, count(*) AS n FROM {e}_flagged GROUP BY ALL"),
+    )
     # Orders dated after the run wait for a later one, whatever else is wrong with them.
     sql["increment_errors"] = _with(
         orders,

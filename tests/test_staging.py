@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tillhouse.operators import dedupe
 from tillhouse.operators.rules import CONTENT_FIRST, ENTITY, ORDER_ITEMS, ORDERS, PRODUCTS, REFERENCE
-from tillhouse.operators.staging import quality_counts, reason_counts, stage
+from tillhouse.operators.staging import quality_counts, reason_counts, rejected_fields, stage
 from tillhouse.schema import SCHEMAS, raw_schema
 from tillhouse.sources.testdata import RawTables
 
@@ -249,3 +249,47 @@ def test_many_exact_copies(spark, as_of, monkeypatch):
         ("duplicate_order_item_id", 1000)
     ]
     assert staged.errors.select("row_data").distinct().count() == 1
+
+
+def final_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def test_few_repeated_keys_shuffle_no_fit_row(spark, as_of, settings):
+    """The repeated keys are known before the plan is made: they are broadcast, and only their rows move."""
+    settings(spark__sql__adaptive__coalescePartitions__enabled="false")
+    raw = spark.range(0, 20_000, 1, 4).select(
+        F.format_string("O%d", F.when(F.col("id") < 5, 7).otherwise(F.col("id"))).alias("order_id"), F.lit("C1").alias("customer_code"),
+        F.lit("1999-01-01 00:00:00").alias("order_date"), *[F.lit("x").alias(c) for c in ("status", "order_city", "order_state")],
+    )
+    staged = stage(raw, ORDERS, as_of)
+    plan = final_plan(staged.clean)
+    once = plan.split("Union")[1].split("HashAggregate")[0].split("SortAggregate")[0]
+    assert "BroadcastHashJoin" in once and "SortMergeJoin" not in plan
+    # The only rows that are exchanged are those of the repeated keys.
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert staged.clean.count() == 19_995
+
+
+def test_landed_rows_are_read_instead_of_raw(spark, as_of):
+    raw = RawTables(spark, "/root/testdata/sf0.001")["order_items"]
+    staged, plain = stage(raw, ORDER_ITEMS, as_of), stage(raw, ORDER_ITEMS, as_of)
+    counts = staged.land()
+    assert sum(counts.values()) == raw.count()
+    for kind in ("clean", "errors"):
+        assert not any("lineitem" in f for f in getattr(staged, kind).inputFiles())
+        assert any("lineitem" in f for f in getattr(plain, kind).inputFiles())
+        assert sorted(map(str, getattr(staged, kind).collect())) == sorted(map(str, getattr(plain, kind).collect()))
+    found = {r.reason: r.n for r in quality_counts(raw, ORDER_ITEMS, as_of).collect()}
+    assert {k: v for k, v in counts.items() if k != "fit"} == {k: v for k, v in found.items() if k not in ("clean", "duplicate_order_item_id")}
+    staged.discard()
+
+
+def test_rejected_fields_come_back_typed(spark, as_of):
+    rows = [spoil("order_items", quantity="-2"), spoil("order_items", order_item_id="X", unit_price="TWENTY", quantity=None)]
+    errors = stage(frame(spark, "order_items", rows), ORDER_ITEMS, as_of).errors
+    found = rejected_fields(errors, {"order_item_id": "string", "quantity": "bigint", "unit_price": "decimal(18,2)", "other": "int"})
+    assert {tuple(r) for r in found.collect()} == {
+        ("negative_quantity", "OI1", -2, Decimal("1.50"), None), ("missing_quantity", "X", None, None, None),
+    }

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,6 +42,33 @@ def assign_sk(
     return numbered.select(number, *df.columns)
 
 
+def new_keys(df: DataFrame, keys: list[str], name: str, registry: DataFrame, start: Column | None = None) -> DataFrame:
+    """(keys, name): numbers for the keys of `df` that `registry` lacks.
+
+    They follow its largest number, or begin at `start`, in the order of `assign_sk`. NULL is a key like any other.
+    """
+    lacking = lacking_keys(df, registry, keys).select(*keys)
+    first = next_sk(registry, name) if start is None else start
+    return assign_sk(lacking, keys, name, first).select(*keys, name)
+
+
+def lacking_keys(df: DataFrame, registry: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows of `df` whose keys `registry` lacks."""
+    return df.alias("new").join(registry.alias("old"), _same(keys, "new", "old"), "left_anti")
+
+
+def numbered_by(df: DataFrame, keys: list[str], name: str, registry: DataFrame) -> DataFrame:
+    """`df` with the numbers that `registry` (keys, name) holds for all its keys."""
+    columns = [F.col(f"new.{c}") for c in df.columns]
+    met = df.alias("new").join(registry.alias("old"), _same(keys, "new", "old"))
+    return met.select(F.col(f"old.{name}").alias(name), *columns)
+
+
+def _same(keys: list[str], left: str, right: str) -> Column:
+    parts = [F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in keys]
+    return reduce(Column.__and__, parts)
+
+
 def next_sk(df: DataFrame, name: str) -> Column:
     """One more than the largest key so far, as a scalar subquery; 1 for an empty table."""
     return df.agg((F.coalesce(F.max(name), F.lit(0)) + 1).alias("n")).scalar()

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillhouse.session import stored
+
 
 def top_k(df: DataFrame, by: str, k: int, tiebreak: list[str]) -> DataFrame:
     """The k largest by `by` (NULL counts as largest); ties go by `tiebreak`."""
@@ -20,66 +22,70 @@ def page(df: DataFrame, order: list[str], limit: int, offset: int = 0) -> DataFr
     return df.orderBy(*[F.col(c).asc_nulls_last() for c in order]).offset(offset).limit(limit)
 
 
-def rank_cuts(values: DataFrame, column: str, parts: int, accuracy: int = 20_000) -> Column:
-    """The exact values at 0-based ranks floor(i * (n - 1) / parts), i = 1 .. parts - 1.
+@dataclass
+class _Cut:
+    """The value at a rank, known to lie between two values of which `below` rows lie before the lower one."""
+
+    rank: int
+    below: int
+    low: object
+    high: object
+
 
-    A scalar subquery holding an array. One pass builds a mergeable quantile sketch, whose known
-    error brackets each rank. A second pass counts the rows outside the brackets, with the largest
-    value of each stretch, and keeps the distinct values inside, about 6 / accuracy of the rows,
-    which one task ranks. Rounding can put a cut one rank below its bracket: it is the largest
-    value of the stretch before then. A cut that lies anywhere else fails the query.
+def rank_cuts(values: DataFrame, column: str, parts: int, buckets: int = 4096) -> list:
+    """The exact values at 0-based ranks floor(i * (n - 1) / parts), i = 1 .. parts - 1; none for no values.
+
+    Selection by histograms: a pass counts the rows between the bounds of each cut in equal buckets, and the
+    bucket that holds the rank gives the next bounds, until they are one value. A pass returns at most
+    `buckets` rows for each cut, and a few passes are enough, since each narrows the bounds `buckets` times.
+    `values` is read in every pass, so it should be stored.
     """
-    # The sketch is off by at most n / accuracy ranks.
-    slack = 2.0 / accuracy
-    shares = [i / parts + shift for i in range(1, parts) for shift in (-slack, slack)]
-    as_double = F.col(column).cast("double")
-    present = values.filter(F.col(column).isNotNull()).select(column)
-    sketch = present.agg(
-        F.struct(
-            F.count(F.lit(1)).alias("rows"),
-            F.percentile_approx(
-                as_double, [min(1.0, max(0.0, share)) for share in shares], accuracy
-            ).alias("ends"),
-        ).alias("sketch")
-    ).scalar()
-    lows = [F.col("_sketch.ends")[2 * i] for i in range(parts - 1)]
-    highs = [F.col("_sketch.ends")[2 * i + 1] for i in range(parts - 1)]
-    zone = reduce(
-        Column.__add__,
-        [(as_double >= e).cast("int") for e in lows] + [(as_double > e).cast("int") for e in highs],
-    )
-    inside = reduce(
-        Column.__or__, [as_double.between(low, high) for low, high in zip(lows, highs)]
-    )
-    # Zones follow the order of the values, so (zone, value) sorts like the value alone.
-    counted = (
-        present.withColumn("_sketch", sketch)
-        .groupBy(zone.alias("_zone"), F.when(inside, F.col(column)).alias("_value"))
-        .agg(
-            F.count(F.lit(1)).alias("_n"),
-            F.max(column).alias("_most"),
-            F.first("_sketch.rows").alias("_rows"),
+    value = F.col(column)
+    present = values.filter(value.isNotNull()).select(value.alias("_v"))
+    ends = present.agg(F.count("*").alias("n"), F.min("_v").alias("low"), F.max("_v").alias("high")).first()
+    cuts = [_Cut(i * (ends.n - 1) // parts, 0, ends.low, ends.high) for i in range(1, parts)] if ends.n else []
+    while open_ := [c for c in cuts if c.low != c.high]:
+        bounds = sorted({(c.low, c.high) for c in open_})
+        met = F.filter(F.array(*[_place(i, low, high, buckets) for i, (low, high) in enumerate(bounds)]), lambda p: p.isNotNull())
+        counted = present.select("_v", F.explode(met).alias("p")).groupBy("p").agg(
+            F.count("*").alias("n"), F.min("_v").alias("low"), F.max("_v").alias("high")
         )
-    )
-    upto = Window.orderBy("_zone", "_value").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = counted.withColumn("_upto", F.sum("_n").over(upto))
+        found: dict[int, list] = {}
+        for row in counted.collect():
+            found.setdefault(row.p.cut, []).append(row)
+        for cut in open_:
+            for row in sorted(found[bounds.index((cut.low, cut.high))], key=lambda r: r.low):
+                if cut.rank < cut.below + row.n:
+                    cut.low, cut.high = row.low, row.high
+                    break
+                cut.below += row.n
+    return [c.low for c in cuts]
 
-    def cut(i: int) -> Column:
-        rank = F.expr(f"({i} * (_rows - 1)) div {parts}")
-        found = (F.col("_value").isNotNull() | (F.col("_upto") - 1 == rank)).alias("found")
-        first = F.min(F.when(F.col("_upto") > rank, F.struct("_upto", found, "_most")))
-        missed = F.raise_error(F.lit("the sketch missed a cut"))
-        return F.when(first["found"] | first.isNull(), first["_most"]).otherwise(missed)
 
-    return ranked.agg(F.array(*[cut(i) for i in range(1, parts)]).alias("cuts")).scalar()
+def _place(cut: int, low, high, buckets: int) -> Column:
+    """Which bucket between two values a row falls into, NULL if it lies outside."""
+    start, width = float(low), float(high) - float(low)
+    if width > 0:
+        share = (F.col("_v").cast("double") - F.lit(start)) / F.lit(width)
+        bucket = F.least(F.floor(share * buckets), F.lit(buckets - 1)).cast("string")
+    else:
+        # Values that are one and the same as doubles are told apart as they are.
+        bucket = F.col("_v").cast("string")
+    inside = F.col("_v").between(F.lit(low), F.lit(high))
+    return F.when(inside, F.struct(F.lit(cut).alias("cut"), bucket.alias("bucket")))
 
 
 def label_segments(values: DataFrame, column: str, labels: list[str]) -> DataFrame:
-    """Add `segment`: the rows cut into len(labels) groups of equal size, ties kept together."""
+    """Add `segment`: the rows cut into len(labels) groups of equal size, ties kept together.
+
+    `values` is stored first, since the search for the cuts reads it more than once.
+    """
+    values = stored(values, "segments")
     cuts = rank_cuts(values, column, len(labels))
-    tagged = values.withColumn("_cuts", cuts)
     chain = F
-    for i, label in enumerate(labels[:-1]):
-        chain = chain.when(F.col(column) <= F.get("_cuts", F.lit(i)), F.lit(label))
+    for cut, label in zip(cuts, labels):
+        chain = chain.when(F.col(column) <= F.lit(cut), F.lit(label))
+    if not cuts:
+        return values.withColumn("segment", F.lit(None).cast("string"))
     segment = F.when(F.col(column).isNotNull(), chain.otherwise(F.lit(labels[-1])))
-    return tagged.withColumn("segment", segment).drop("_cuts")
+    return values.withColumn("segment", segment)

@@ -27,6 +27,15 @@ def staging_counts(raws: Mapping[str, DataFrame], as_of: Column, mode: str | Non
     )
 
 
+def loaded_counts(counts: DataFrame) -> DataFrame:
+    """(entity, clean, errors) from the counts that a load published."""
+    is_clean = F.col("reason") == "clean"
+    return counts.groupBy("entity").agg(
+        F.coalesce(F.sum(F.when(is_clean, F.col("n"))), F.lit(0)).alias("clean"),
+        F.coalesce(F.sum(F.when(~is_clean, F.col("n"))), F.lit(0)).alias("errors"),
+    )
+
+
 def reconcile(profile: DataFrame, detected: DataFrame) -> DataFrame:
     """Join (entity, clean, bad, total) with (entity, clean, errors) and say whether they agree.
 

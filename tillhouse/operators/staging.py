@@ -2,18 +2,17 @@
 
 from __future__ import annotations
 
-from contextlib import contextmanager
 from functools import cached_property
 
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tillhouse.operators import dedupe
 from tillhouse.operators.joins import splittable_join
 from tillhouse.operators.rules import CONTENT_FIRST, REFERENCE, Entity
+from tillhouse.session import discard, stored
 
-REASON = "reason"
+REASON, UNFIT = "reason", "unfit"
 
 
 def pack_row(columns: list[str]) -> Column:
@@ -22,7 +21,9 @@ def pack_row(columns: list[str]) -> Column:
 
 
 def flag(raw: DataFrame, entity: Entity, as_of: Column, strict: bool = False) -> DataFrame:
-    return raw.select(*entity.columns).withColumn(REASON, entity.reason(as_of, strict))
+    """The raw rows with the reason of the first rule they break, and whether there is one."""
+    reasoned = raw.select(*entity.columns).withColumn(REASON, entity.reason(as_of, strict))
+    return reasoned.withColumn(UNFIT, F.col(REASON).isNotNull())
 
 
 def _mode(entity: Entity, mode: str | None) -> str:
@@ -41,54 +42,76 @@ def _rivals(flagged: DataFrame, entity: Entity, mode: str) -> tuple[DataFrame, l
     mode a fit row always beats an unfit one, so unfit rows stay out as well.
     """
     if mode == CONTENT_FIRST:
-        return flagged.filter(F.col(REASON).isNull()), entity.total_order()
+        return flagged.filter(~F.col(UNFIT)), entity.total_order()
     return flagged.filter(F.col(entity.key).isNotNull()), entity.total_order() + [REASON]
 
 
 class Staged:
-    """The two outputs of `stage`; each is a plan that is put together when it is asked for.
+    """The two outputs of `stage`.
 
     Keys that occur once need no ranking: their rows pass through, past a join with the repeated
-    keys, which Spark broadcasts when they are few. Only rows of repeated keys are ranked.
+    keys. Those are stored first, in a stage of its own that shuffles keys alone, so the planner knows
+    their size: when they are few Spark broadcasts them, and no fit row is shuffled; when they are many,
+    the join is a plain one whose hot keys can be split. The rows of repeated keys are stored too, and
+    only they are ranked.
+
+    `land` writes all rows once, apart by verdict, and everything else then reads those files: raw is
+    scanned and its rules are asked once. Without it the plans read raw.
     """
 
     def __init__(self, raw: DataFrame, entity: Entity, as_of: Column, mode: str, strict: bool):
         self.entity, self.as_of, self.mode = entity, as_of, mode
         self._flagged = flag(raw, entity, as_of, strict)
-        self._rivals, self._order = _rivals(self._flagged, entity, mode)
         self._nulls_last = entity.ranked_columns()
+        self._scratch: list[DataFrame] = []
+
+    def _stored(self, df: DataFrame, purpose: str, partition_by: list[str] | None = None) -> DataFrame:
+        self._scratch.append(stored(df, f"{self.entity.name}-{purpose}", partition_by))
+        return self._scratch[-1]
+
+    def land(self) -> dict[str, int]:
+        """Write the rows apart by verdict; the number of rows by reason, counted on the way.
+
+        The rows that are fit are those of no reason, under the name "fit".
+        """
+        seen = Observation()
+        reasons = {rule.reason: F.count_if(F.col(REASON) == rule.reason) for rule in self.entity.rules}
+        counts = [n.alias(name) for name, n in {**reasons, "fit": F.count_if(~F.col(UNFIT))}.items()]
+        self._flagged = self._stored(self._flagged.observe(seen, *counts), "verdicts", [UNFIT])
+        return {name: n for name, n in seen.get.items() if n}
+
+    def discard(self) -> None:
+        """Remove what was stored on the way; neither output can be read afterwards."""
+        discard(*self._scratch)
+        self._scratch.clear()
+
+    @cached_property
+    def _competing(self) -> tuple[DataFrame, list[str]]:
+        return _rivals(self._flagged, self.entity, self.mode)
 
     @cached_property
     def _repeated(self) -> DataFrame:
-        """Keys of more than one rival; counting them shuffles keys alone."""
-        counts = self._rivals.groupBy(self.entity.key).agg(F.count(F.lit(1)).alias("_n"))
-        return counts.filter("_n > 1").select(self.entity.key)
+        """Keys of more than one rival."""
+        counts = self._competing[0].groupBy(self.entity.key).agg(F.count(F.lit(1)).alias("_n"))
+        return self._stored(counts.filter("_n > 1").select(self.entity.key), "repeated-keys")
 
     @cached_property
-    def _ranked(self) -> DataFrame:
+    def _contested(self) -> DataFrame:
         """The rivals of repeated keys."""
-        return splittable_join(self._rivals, self._repeated, self.entity.key, "left_semi")
+        met = splittable_join(self._competing[0], self._repeated, self.entity.key, "left_semi")
+        return self._stored(met, "contested")
 
     @cached_property
     def _first(self) -> DataFrame:
-        return dedupe.first_rows(self._ranked, self.entity.key, self._order, self._nulls_last)
-
-    @contextmanager
-    def shared(self):
-        """Keep the repeated keys while both outputs are written."""
-        self._repeated.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            yield self
-        finally:
-            self._repeated.unpersist()
+        return dedupe.first_rows(self._contested, self.entity.key, self._competing[1], self._nulls_last)
 
     @cached_property
     def clean(self) -> DataFrame:
         """Typed rows, one per key."""
-        key = self.entity.key
-        columns = [key, *self._order]
-        once = splittable_join(self._rivals, self._repeated, key, "left_anti").select(*columns)
-        kept = once.unionByName(dedupe.unpack(self._first, key, self._order))
+        key, (rivals, order) = self.entity.key, self._competing
+        columns = [key, *order]
+        once = splittable_join(rivals, self._repeated, key, "left_anti").select(*columns)
+        kept = once.unionByName(dedupe.unpack(self._first, key, order))
         if self.mode == REFERENCE:
             kept = kept.filter(F.col(REASON).isNull())
         return kept.select(*self.entity.typed())
@@ -97,9 +120,9 @@ class Staged:
     def errors(self) -> DataFrame:
         """Rejected rows as (JSON, reason, time); a rule's reason wins over duplication."""
         entity = self.entity
-        fit = self._ranked.filter(F.col(REASON).isNull())
-        lost = dedupe.other_rows(fit, self._first, entity.key, self._order, self._nulls_last)
-        unfit = self._flagged.filter(F.col(REASON).isNotNull())
+        fit = self._contested.filter(F.col(REASON).isNull())
+        lost = dedupe.other_rows(fit, self._first, entity.key, self._competing[1], self._nulls_last)
+        unfit = self._flagged.filter(F.col(UNFIT))
         rejected = unfit.select(*entity.columns, REASON).unionByName(
             lost.select(*entity.columns, F.lit(entity.duplicate_reason).alias(REASON))
         )
@@ -111,7 +134,7 @@ class Staged:
 def stage(
     raw: DataFrame, entity: Entity, as_of: Column, mode: str | None = None, strict: bool = False
 ) -> Staged:
-    """Clean rows and rejected rows of a raw table.
+    """Clean rows and rejected rows of a raw table; asking for either stores the repeated keys and their rows.
 
     `reference` mode ranks unfit rows too, so an unfit row that sorts first takes its key away;
     `content_first` keeps a fit row whenever the key has one.
@@ -158,6 +181,16 @@ def quality_counts(
     return unfit.unionByName(fit.select(F.inline(rows))).filter("n > 0")
 
 
+def rejected_fields(errors: DataFrame, fields: dict[str, str]) -> DataFrame:
+    """The reason of each rejected row and the typed `fields` (column to SQL type) of the row.
+
+    The JSON is parsed once, into a VARIANT without the fields that were NULL. A field that is not there or
+    does not have the type is NULL.
+    """
+    row = errors.select(REASON, F.parse_json("row_data").alias("_row"))
+    return row.select(REASON, *[F.try_variant_get("_row", f"$.{name}", kind).alias(name) for name, kind in fields.items()])
+
+
 def reason_counts(errors: DataFrame) -> DataFrame:
     """Rejected rows per reason, most frequent first."""
     return (

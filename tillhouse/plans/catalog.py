@@ -10,11 +10,11 @@ from pyspark.sql import functions as F
 
 from tillhouse.functions import casts, masking, text
 from tillhouse.functions import predicates as p
-from tillhouse.operators import inject, profiling, ranking, reconcile, staging
+from tillhouse.operators import inject, paging, profiling, reconcile, staging
 from tillhouse.operators.mutate import delete_where, update_where
 from tillhouse.operators.rules import CONTENT_FIRST, ENTITY, REFERENCE
-from tillhouse.plans import analytics, dims, fact, full_load, incremental, raw_sales, scd2
-from tillhouse.schema import DW, ENTITIES, STAGING
+from tillhouse.plans import analytics, arrivals, dims, fact, full_load, incremental, raw_sales, scd2
+from tillhouse.schema import DW, ENTITIES, SCHEMAS, STAGING
 from tillhouse.session import shared_dir
 from tillhouse.sources import raw as sources
 from tillhouse.sources import sinks, testdata
@@ -27,6 +27,7 @@ SEED = 23
 FILTER_CATEGORY, FILTER_YEAR = "ECONOMY", 1997
 HISTORY_CODE = "C0000011"
 SIM_ORDER = "ARRIVAL-1"
+RELOAD_CITY = "NATION_5"
 
 
 class Shop:
@@ -581,7 +582,7 @@ def increment_delta(s: Shop) -> DataFrame:
 def _simulated(s: Shop) -> DataFrame:
     """Raw orders with one order that arrives just before the run."""
     arrival = s.spark.createDataFrame(
-        [(SIM_ORDER, HISTORY_CODE, testdata.AS_OF, "COMPLETED", "Lisbon", "Estremadura")],
+        [(SIM_ORDER, HISTORY_CODE, testdata.AS_OF, "BOOKED", "Lisbon", "Estremadura")],
         s.raw["orders"].schema,
     )
     return s.raw["orders"].unionByName(arrival)
@@ -649,10 +650,63 @@ def csv_by_name(s: Shop) -> DataFrame:
     return sources.read_raw(s.spark, f"{path}/csv", "order_items")
 
 
+def _customer_pages(s: Shop) -> paging.Pages:
+    return paging.build_pages(s.dims.customer, ["customer_code"], shared_dir(s.spark, "pages"))
+
+
 @_query
 def paged_export(s: Shop) -> DataFrame:
     """The second page of the customer dimension."""
-    return ranking.page(s.dims.customer, ["customer_code"], limit=350, offset=350)
+    return _customer_pages(s).page(limit=350, offset=350)
+
+
+@_query
+def all_pages(s: Shop) -> DataFrame:
+    """Every customer with the page it is exported on."""
+    return _customer_pages(s).numbered(350).select("page", "customer_sk", "customer_code")
+
+
+@_query
+def dimension_csv(s: Shop) -> DataFrame:
+    """The customer dimension exported as CSV and read back with its types."""
+    path = shared_dir(s.spark, "dimension")
+    sinks.export_csv(s.dims.customer, path)
+    return s.spark.read.schema(SCHEMAS[DW]["dim_customer"]).csv(path, header=True, quote='"', escape='"')
+
+
+def _torn(s: Shop) -> str:
+    """Raw orders as lines of text, some with a field too many and some with one too few."""
+    path = shared_dir(s.spark, "torn")
+    line = F.concat_ws(",", *[F.coalesce(c, F.lit("")) for c in s.raw["orders"].columns])
+    turn = F.substring("order_id", 2, 99).cast("int") % 50
+    torn = F.when(turn == 7, F.concat(line, F.lit(",extra"))).when(turn == 9, F.regexp_replace(line, ",[^,]*$", "")).otherwise(line)
+    lines = s.raw["orders"].select(torn.alias("value"))
+    lines.write.text(path)
+    return path
+
+
+@_query
+def csv_malformed(s: Shop) -> DataFrame:
+    """Lines with too many or too few fields go to the reject log as they are; the others are read."""
+    rows, malformed = sources.read_checked(s.spark, _torn(s), "orders", header=False)
+    rejects = sources.malformed_rejects(malformed, s.as_of)
+    read = rows.select(F.to_json(F.struct(*rows.columns)).alias("row_data"), F.lit("read").alias("reason"))
+    return read.unionByName(rejects.select("row_data", "reason"))
+
+
+@_query
+def rejected_fields(s: Shop) -> DataFrame:
+    """Typed fields of the rejected order items, out of the reject log."""
+    fields = {"order_item_id": "string", "product_code": "string", "quantity": "bigint", "unit_price": "decimal(18,2)"}
+    return staging.rejected_fields(s.staged("order_items").errors, fields)
+
+
+@_query
+def fact_clustered(s: Shop) -> DataFrame:
+    """The days of each month's files where the fact is clustered by ranges; files that overlap are counted."""
+    layers = Layers(s.spark, shared_dir(s.spark, "clustered"))
+    full_load.full_load(layers, s.raw, testdata.AS_OF, fact_by=sinks.RANGE)
+    return sinks.month_spans(sinks.file_spans(full_load.open_fact(layers))).drop("files")
 
 
 def _published(s: Shop) -> Layers:
@@ -683,6 +737,69 @@ def full_load_counts(s: Shop) -> DataFrame:
     return profiling.layer_counts(dict(zip([name for _, name in names], layers.tables(*names))))
 
 
+def _after_arrival(s: Shop) -> Layers:
+    """A warehouse over the orders up to the watermark, and what it becomes when the others arrive."""
+    layers = Layers(s.spark, shared_dir(s.spark, "arrivals"))
+    at = casts.to_timestamp(F.col("order_date"))
+    early = F.coalesce(at <= casts.moment(testdata.WATERMARK), F.lit(False))
+    for entity, rows in s.raw.items():
+        arrivals.land(layers, entity, rows.filter(early) if entity == "orders" else rows)
+    full_load.full_load(layers, None, testdata.WATERMARK, fact_by="year_month")
+    arrivals.land(layers, "orders", s.raw["orders"].filter(~early))
+    arrivals.increment(layers, testdata.AS_OF)
+    arrivals.refresh_warehouse(layers, testdata.AS_OF)
+    return layers
+
+
+@_query
+def orders_after_arrival(s: Shop) -> DataFrame:
+    """The published clean orders after two arrivals, of which the second is read alone."""
+    return _after_arrival(s).table(STAGING, "orders_clean")
+
+
+@_query
+def fact_after_increment(s: Shop) -> DataFrame:
+    """The fact after an increment: only the months of new sales are written anew."""
+    return full_load.open_fact(_after_arrival(s)).drop("year_month")
+
+
+@_query
+def arrival_files(s: Shop) -> DataFrame:
+    """What the log of consumed files says was read, by consumer and table."""
+    log = _after_arrival(s).table(STAGING, "load_arrivals")
+    return log.groupBy("consumer", "table_name").agg(
+        F.count_distinct("folder").alias("folders"), F.sum("n_rows").alias("n_rows")
+    )
+
+
+@_query
+def customers_after_reload(s: Shop) -> DataFrame:
+    """Customers loaded, refreshed, and loaded again with some new: a code keeps the number it had first."""
+    layers = Layers(s.spark, shared_dir(s.spark, "reload"))
+    staged = {e: s.clean(e) for e in ("orders", "order_items", "products")}
+    for name, rows in staged.items():
+        layers.replace(STAGING, f"{name}_clean", rows)
+    layers.replace(STAGING, "customers_clean", s.clean("customers"))
+    full_load.load_warehouse(layers, fact_by="year_month")
+    full_load.refresh_customers(layers, s.refresh, testdata.AS_OF)
+    added = s.clean("customers").withColumn("customer_code", F.concat(F.lit("A"), F.substring("customer_code", 2, 99)))
+    layers.replace(STAGING, "customers_clean", s.clean("customers").unionByName(added.filter(F.col("city") == RELOAD_CITY)))
+    full_load.load_warehouse(layers, fact_by="year_month")
+    return layers.table(DW, "dim_customer").select("customer_sk", "customer_code")
+
+
+@_query
+def load_counts(s: Shop) -> DataFrame:
+    """Clean rows and rejects by entity, as a full load counted them while it wrote."""
+    return reconcile.loaded_counts(_published(s).table(STAGING, "load_counts"))
+
+
+@_query
+def load_reasons(s: Shop) -> DataFrame:
+    """Rows by verdict, as a full load counted them while it wrote."""
+    return _published(s).table(STAGING, "load_counts")
+
+
 def _streamed(s: Shop, batches: int = 4) -> str:
     """The raw orders as arriving files, loaded in several batches; the folder of the result.
 

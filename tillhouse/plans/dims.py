@@ -32,6 +32,10 @@ def date_spine(spark: SparkSession, start: date | str, n_days: int) -> DataFrame
     )
 
 
+def date_spine_between(spark: SparkSession, first: date, last: date) -> DataFrame:
+    return date_spine(spark, first, (last - first).days + 1)
+
+
 def date_spine_of(df: DataFrame, column: str) -> DataFrame:
     """Every day from the first to the last one found in `column`."""
     day = F.col(column).cast("date")
@@ -66,14 +70,17 @@ def build_dim_product(products_clean: DataFrame) -> DataFrame:
     )
 
 
-def build_dim_location(orders_clean: DataFrame) -> DataFrame:
+def places(orders_clean: DataFrame) -> DataFrame:
     """The distinct city and state pairs of the orders."""
-    pairs = (
+    return (
         orders_clean.filter(F.col("order_city").isNotNull())
         .select(F.col("order_city").alias("city"), F.col("order_state").alias("state"))
         .distinct()
     )
-    return assign_sk(pairs, ["city", "state"], "location_sk")
+
+
+def build_dim_location(orders_clean: DataFrame) -> DataFrame:
+    return assign_sk(places(orders_clean), ["city", "state"], "location_sk")
 
 
 def customer_versions(customers: DataFrame, start: Column) -> DataFrame:
@@ -95,8 +102,12 @@ def customer_versions(customers: DataFrame, start: Column) -> DataFrame:
 
 def build_dim_customer(customers_clean: DataFrame) -> DataFrame:
     """First load: every customer is current since its creation."""
-    versions = customer_versions(customers_clean, F.col("created_at"))
-    return assign_sk(versions, ["customer_code"], "customer_sk")
+    return assign_sk(first_versions(customers_clean), ["customer_code"], "customer_sk")
+
+
+def first_versions(customers_clean: DataFrame) -> DataFrame:
+    """Every customer as current since its creation, without surrogate keys."""
+    return customer_versions(customers_clean, F.col("created_at"))
 
 
 def current(dim_customer: DataFrame) -> DataFrame:

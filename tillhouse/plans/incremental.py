@@ -12,7 +12,7 @@ from tillhouse.functions import predicates as p
 from tillhouse.operators.joins import splittable_join
 from tillhouse.operators.mutate import update_where
 from tillhouse.operators.profiling import row_count, union_all
-from tillhouse.operators.rules import ORDERS
+from tillhouse.operators.rules import CONTENT_FIRST, ORDERS, Entity
 from tillhouse.operators.staging import pack_row, stage
 
 ORDERS_TABLE = "ORDERS"
@@ -36,30 +36,45 @@ class Admitted:
     errors: DataFrame
 
 
-def admit_orders(raw: DataFrame, loaded: DataFrame, as_of: Column) -> Admitted:
-    """Arrived orders, each either clean or rejected with a reason.
+def admit(
+    raw: DataFrame, loaded: DataFrame, as_of: Column, entity: Entity, also: tuple[Column, str] | None = None
+) -> Admitted:
+    """Arrived rows, each either clean or rejected with a reason.
 
-    They pass the order rules and are deduplicated; those whose key is in `loaded` are rejected as
-    duplicates, and those without a customer as well. Loaded keys are cut down to the arriving
-    ones first, so a small arrival is what travels, not the table.
+    They pass the rules of the entity and are deduplicated, a fit row before an unfit one; those whose key
+    is in `loaded` are rejected as duplicates, and where `also` (a test and its reason) holds as well.
+    Loaded keys are cut down to the arriving ones first, so a small arrival is what travels, not the table.
     """
-    key = ORDERS.key
+    key = entity.key
     arriving = raw.select(key).filter(F.col(key).isNotNull())
     old = loaded.select(key).join(arriving, key, "left_semi").distinct().withColumn("_old", F.lit(True))
-    met = splittable_join(raw.select(*ORDERS.columns), old, key, "left")
-    candidate = F.col("_old").isNull() & F.col("customer_code").isNotNull()
-    staged = stage(met.filter(candidate).drop("_old"), ORDERS, as_of)
-    reason = F.coalesce(
-        ORDERS.reason(as_of),
-        F.when(F.col("customer_code").isNull(), F.lit(MISSING_CUSTOMER)),
-        F.lit(ORDERS.duplicate_reason),
-    )
+    met = splittable_join(raw.select(*entity.columns), old, key, "left")
+    return admit_marked(met, F.col("_old").isNotNull(), as_of, entity, also)
+
+
+def admit_marked(
+    met: DataFrame, old: Column, as_of: Column, entity: Entity, also: tuple[Column, str] | None = None
+) -> Admitted:
+    """As `admit`, where `old` says which rows have a key that is loaded."""
+    test, name = also or (F.lit(False), "")
+    candidate = ~old & ~test
+    staged = stage(met.filter(candidate).select(*entity.columns), entity, as_of, CONTENT_FIRST)
+    reason = F.coalesce(entity.reason(as_of), F.when(test, F.lit(name)), F.lit(entity.duplicate_reason))
     others = met.filter(~candidate).select(
-        pack_row(ORDERS.columns).alias("row_data"), reason.alias("reason"), as_of.alias("logged_at")
+        pack_row(entity.columns).alias("row_data"), reason.alias("reason"), as_of.alias("logged_at")
     )
     return Admitted(staged.clean, staged.errors.unionByName(others))
 
 
+def no_customer() -> tuple[Column, str]:
+    return F.col("customer_code").isNull(), MISSING_CUSTOMER
+
+
+def admit_orders(raw: DataFrame, loaded: DataFrame, as_of: Column) -> Admitted:
+    """Arrived orders as in `admit`; those without a customer are rejected."""
+    return admit(raw, loaded, as_of, ORDERS, no_customer())
+
+
 def watermark(watermarks: DataFrame, table: str = ORDERS_TABLE) -> Column:
     """The last loaded moment of a table as a scalar subquery; NULL selects no rows."""
     return (

@@ -55,8 +55,16 @@ SCHEMAS: dict[str, dict[str, str]] = {
             for e in ENTITIES
         },
         "load_watermarks": "table_name STRING, last_loaded_at TIMESTAMP_NTZ",
+        "load_arrivals": (
+            "consumer STRING, table_name STRING, folder STRING, file STRING, bytes BIGINT, n_rows BIGINT, "
+            "landed_at TIMESTAMP_NTZ, loaded_at TIMESTAMP_NTZ"
+        ),
+        "load_counts": "entity STRING, reason STRING, n BIGINT",
     },
     DW: {
+        "key_customer": "customer_code STRING, customer_sk BIGINT",
+        "key_product": "product_code STRING, product_sk BIGINT",
+        "key_location": "city STRING, state STRING, location_sk BIGINT",
         "dim_customer": (
             "customer_sk BIGINT, customer_code STRING, full_name STRING, email_masked STRING, "
             "phone_masked STRING, gender STRING, city STRING, state STRING, is_active BOOLEAN, "
@@ -76,6 +84,7 @@ SCHEMAS: dict[str, dict[str, str]] = {
             "location_sk BIGINT, date_sk INT, quantity BIGINT, unit_price DECIMAL(18,2), "
             "line_amount DECIMAL(18,2), order_status STRING"
         ),
+        "fact_pending": _clean_schema("order_items"),
     },
 }
 

@@ -118,7 +118,7 @@ class Layers:
         schema = SCHEMAS.get(layer, {}).get(name)
         reader = self.spark.read.schema(schema) if schema else self.spark.read
         paths = [self.path(layer, name, f) for f in folders]
-        if len(paths) == 1:
+        if len(paths) == 1 and "/" not in folders[0]:
             return reader.parquet(paths[0])
         return reader.option("basePath", f"{self.root}/{layer}/{name}").parquet(*paths).drop("version")
 
@@ -141,16 +141,29 @@ class Layers:
         known: Versions,
         append: bool = False,
         partition_by: list[str] | None = None,
+        kept: tuple[str, ...] = (),
     ) -> Written:
-        """Write the rows that follow the version in `known`, or take its place."""
+        """Write the rows that follow the version in `known`, or take its place but for the folders `kept`."""
         seen = known.get((layer, name), Version())
         folder = uuid.uuid4().hex
         writer = df.write.mode("errorifexists")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(self.path(layer, name, folder))
-        folders = (*seen.folders, folder) if append else (folder,)
-        return Written(layer, name, (folder,), seen, append, self._read(layer, name, folders))
+        folders = (*seen.folders, folder) if append else (*kept, folder)
+        return Written(layer, name, (folder,), seen, append, self._read(layer, name, folders), kept)
+
+    def partitions(self, layer: str, name: str, folders: tuple[str, ...]) -> list[str]:
+        """The partitions of a table's folders, as folders of their own that a later write may keep."""
+        found = []
+        for folder in folders:
+            if "/" in folder:
+                found.append(folder)
+                continue
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(layer, name, folder))
+            names = [status.getPath().getName() for status in self._fs().listStatus(path) if status.isDirectory()]
+            found += [f"{folder}/{n}" for n in sorted(names) if "=" in n]
+        return found
 
     def folder_frame(self, layer: str, name: str, folders: tuple[str, ...]) -> DataFrame:
         """The rows of some folders of a table, one at least."""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillhouse.schema import ENTITIES, RAW_COLUMNS, SCHEMAS, STAGING, raw_schema
@@ -13,6 +13,33 @@ def read_raw(spark: SparkSession, path: str, entity: str) -> DataFrame:
     return spark.read.schema(raw_schema(entity)).csv(path, header=True, quote='"', escape='"')
 
 
+MALFORMED = "malformed_row"
+
+
+def read_checked(spark: SparkSession, path: str, entity: str, multi_line: bool = False, header: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(rows, malformed): delimited text as in `read_raw`, apart by whether a line has as many fields as it should.
+
+    A malformed line is kept as it is in `line`. With `multi_line` a quoted field may hold line ends, and a
+    file is then read by one task.
+    """
+    # A reader that skips columns does not count the fields.
+    reader = spark.read.schema(f"{raw_schema(entity)}, _line STRING").option("columnPruning", "false")
+    read = reader.csv(
+        path, header=header, quote='"', escape='"', mode="PERMISSIVE", columnNameOfCorruptRecord="_line", multiLine=multi_line
+    )
+    # A reader that is asked for the bad lines alone does not look at the fields: the key keeps it from that.
+    malformed = read.filter(F.col("_line").isNotNull() & F.coalesce(F.col(RAW_COLUMNS[entity][0]) != "\0", F.lit(True)))
+    malformed = malformed.select(F.col("_line").alias("line"))
+    return read.filter(F.col("_line").isNull()).drop("_line"), malformed
+
+
+def malformed_rejects(malformed: DataFrame, as_of: Column) -> DataFrame:
+    """Malformed lines as rows of a reject log."""
+    return malformed.select(
+        F.to_json(F.struct("line")).alias("row_data"), F.lit(MALFORMED).alias("reason"), as_of.alias("logged_at")
+    )
+
+
 def read_positional(spark: SparkSession, path: str) -> DataFrame:
     """Columns named c1 .. cn whatever the header says, all text."""
     df = spark.read.csv(path, header=True, quote='"', escape='"', inferSchema=False)

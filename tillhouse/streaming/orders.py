@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillhouse.operators.joins import splittable_join
 from tillhouse.operators.rules import ORDERS
-from tillhouse.plans.incremental import admit_orders
+from tillhouse.plans.incremental import admit_marked, no_customer
 from tillhouse.schema import raw_schema
 
 ERROR_SCHEMA = "row_data STRING, reason STRING, logged_at TIMESTAMP_NTZ"
@@ -29,30 +31,44 @@ def _read(spark: SparkSession, out: str, kind: str, schema) -> DataFrame:
     return spark.read.schema(with_batch).parquet(f"{out}/{kind}")
 
 
+def with_first_keys(rows: DataFrame, fit: Column) -> DataFrame:
+    """`rows`, and one more row, `is_first`, for each order of which no batch before had a fit row.
+
+    The keys are state that never expires, so late rows are known however late they are, and a batch looks
+    at the keys that arrive in it and no others. Both parts read the same files in the same batch.
+    """
+    others = [F.lit(None).cast("string").alias(c) for c in ORDERS.columns if c != ORDERS.key]
+    firsts = rows.filter(fit).select(ORDERS.key).dropDuplicates([ORDERS.key])
+    marks = firsts.select(ORDERS.key, *others, F.lit(True).alias("is_first"))
+    return rows.withColumn("is_first", F.lit(False)).unionByName(marks)
+
+
 def _load_batch(out: str, as_of: Column):
     def load(batch: DataFrame, batch_id: int) -> None:
-        # A batch that is run again after a failure sees the batches before it only, and overwrites its own folders.
-        earlier = _read(batch.sparkSession, out, "clean", _clean_schema(batch)).filter(F.col("batch_id") < batch_id)
-        admitted = admit_orders(batch, earlier, as_of)
+        # A batch that is run again after a failure starts from the state of the batch before, and overwrites its own folders.
+        batch.persist(StorageLevel.MEMORY_AND_DISK)
+        firsts = batch.filter("is_first").select(ORDERS.key, "is_first")
+        met = splittable_join(batch.filter("NOT is_first").drop("is_first"), firsts, ORDERS.key, "left")
+        admitted = admit_marked(met, F.col("is_first").isNull(), as_of, ORDERS, no_customer())
         admitted.errors.write.mode("overwrite").parquet(f"{out}/errors/batch_id={batch_id}")
         admitted.clean.write.mode("overwrite").parquet(f"{out}/clean/batch_id={batch_id}")
+        batch.unpersist()
 
     return load
 
 
-def _clean_schema(raw: DataFrame):
-    return raw.sparkSession.createDataFrame([], raw_schema("orders")).select(*ORDERS.typed()).schema
-
-
 def load_available(raw: DataFrame, out: str, checkpoint: str, as_of: Column) -> None:
     """Load everything that has arrived since the last run, and stop.
 
-    Every row goes to `clean` or to `errors`, however late it is: what was loaded is known from
-    the published keys, not from a state that expires. A key that repeats within a batch is
-    handled as in a full load, and one that was loaded by an earlier batch is rejected.
+    Every row goes to `clean` or to `errors`, however late it is: what was loaded is known from keyed
+    state that does not expire (kept on disk by the session's state store). A key that repeats within a
+    batch is handled as in a full load, and one that was loaded by an earlier batch is rejected. Rows that
+    break a rule do not touch the state.
     """
+    fit = ORDERS.reason(as_of).isNull() & F.col("customer_code").isNotNull()
+    rows = raw.select(*ORDERS.columns)
     query = (
-        raw.writeStream.foreachBatch(_load_batch(out, as_of))
+        with_first_keys(rows, fit).writeStream.foreachBatch(_load_batch(out, as_of))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
