@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillhouse.operators.joins import splittable_join
-from tillhouse.session import shared_dir
+from tillhouse.session import discard, stored
 
 # Every input column travels inside this struct, so no name of an operator can clash with it.
 ROW = "_row"
@@ -40,9 +40,24 @@ def keep(df: DataFrame, purpose: str) -> DataFrame:
 
     Work behind it is not repeated when an executor is lost, and later plans start from files.
     """
-    path = shared_dir(df.sparkSession, f"llm-{purpose}")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    kept = stored(df, f"llm-{purpose}")
+    for made in _MADE:
+        made.append(kept)
+    return kept
+
+
+# The kept tables of the blocks that are open.
+_MADE: list[list[DataFrame]] = []
+
+
+@contextmanager
+def scratch() -> Iterator[list[DataFrame]]:
+    """The list of tables that are kept inside the block, so that they can be discarded once they are not needed."""
+    _MADE.append([])
+    try:
+        yield _MADE[-1]
+    finally:
+        _MADE.pop()
 
 
 @contextmanager
@@ -67,7 +82,8 @@ def components(edges: DataFrame) -> DataFrame:
 
     Large star and small star in turn (Kiveris et al. 2014) until nothing changes. Each turn
     aggregates neighbours to a minimum before they are shuffled, and is written to the shared
-    folder. A hub is a hot join key, which adaptive execution can split.
+    folder, which then loses the turn before. A hub is a hot join key, which adaptive execution can split.
+    The number of turns grows with the logarithm of the longest path.
     """
     lo, hi = F.least("a", "b"), F.greatest("a", "b")
     now = keep(edges.select(hi.alias("hi"), lo.alias("lo")).where("hi != lo").distinct(), "edges")
@@ -85,6 +101,8 @@ def components(edges: DataFrame) -> DataFrame:
         )
         least = large.groupBy("hi").agg(F.min("lo").alias("m"))
         moved = splittable_join(large, least, "hi").where("lo != m").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
-        now = keep(least.select("hi", F.col("m").alias("lo")).union(moved).distinct(), "small-star")
+        after = keep(least.select("hi", F.col("m").alias("lo")).union(moved).distinct(), "small-star")
+        discard(now, large)
+        now = after
     nodes = now.select(F.col("hi").alias("node"), F.col("lo").alias("root"))
     return nodes.union(now.select("lo", "lo").distinct())
