@@ -1,12 +1,14 @@
 """Benchmark decontamination by Wu-Manber multi-pattern search over words.
 
-Patterns are windows of ten consecutive words of an item (an item of fewer words is one pattern).
+Patterns are windows of ten consecutive words of an item (an item of fewer words is one pattern). Words are
+numbered, an item is a stretch of one array of numbers, and a pattern is a place in it.
 For patterns of one length, a shift table tells from the two words that end at a position how far
 the search may jump: blocks that stand in no pattern let it skip all but one word of a pattern's
 length. Where a block ends some pattern, the bucket of that suffix names the patterns, and the
 words are compared one by one. Nothing is decided by a digest.
 
-Items reach the workers as a broadcast table of at most `SHARD_BYTES` of text. A larger benchmark
+Items reach the workers as a broadcast table of at most `SHARD_BYTES` of text, and each worker builds its
+tables once. A larger benchmark
 is cut into shards by item digest, and the documents are searched once per shard.
 
 Defined results: a null or empty text has no words, so nothing hits it and an item without words
@@ -17,8 +19,10 @@ digest of the empty string. Columns of the input travel inside a struct, so no n
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,58 +46,118 @@ def words(text: bytes) -> Words:
 
 
 class Patterns:
-    """Search tables for patterns of one length of at least one word."""
+    """Search tables for the patterns of one length, over the numbered words of all items.
 
-    def __init__(self, length: int):
-        self.length = length
+    A pattern is a place in the items' words. Two sorted arrays stand for the tables: the blocks that occur
+    in patterns with their shifts, and the patterns by the block they end in, which is their bucket.
+    """
+
+    def __init__(self, length: int, text: np.ndarray, places: np.ndarray, within: np.ndarray, left: np.ndarray, size: int):
+        """`places` are those of the items of this length, `within` and `left` say how many words of the item
+        come before each and from it on; numbers of words are below `size`."""
+        self.length, self.text, self.size = length, text, size
         self.block = min(2, length)
         self.furthest = length - self.block + 1
-        self.shift: dict[tuple[bytes, ...], int] = {}
-        self.suffix: dict[tuple[bytes, ...], dict[tuple[bytes, ...], set[str | None]]] = {}
-
-    def add(self, pattern: tuple[bytes, ...], item: str | None) -> None:
-        size = self.length
-        for end in range(self.block, size + 1):
-            block = pattern[end - self.block:end]
-            self.shift[block] = min(self.shift.get(block, self.furthest), size - end)
-        self.suffix.setdefault(pattern[-self.block:], {}).setdefault(pattern, set()).add(item)
-
-    def search(self, text: Words) -> Iterator[tuple[int, set[str | None]]]:
-        """(start, items) of every occurrence of a pattern."""
-        shift, block, size, furthest = self.shift, self.block, self.length, self.furthest
-        end = size
-        while end <= len(text):
-            tail = tuple(text[end - block:end])
-            jump = shift.get(tail, furthest)
-            if jump == 0:
-                for pattern, items in self.suffix[tail].items():
-                    if all(a == b for a, b in zip(pattern, text[end - size:end])):
-                        yield end - size, items
-                jump = 1
-            end += jump
-
-
-def build(items: Iterable[tuple[str | None, bytes]], window: int) -> list[Patterns]:
+        # A block is as near to the end of a pattern as the first pattern of its item allows.
+        ending = within >= self.block - 1
+        ends, away = places[ending], np.maximum(0, length - 1 - within[ending]).astype(np.int8)
+        blocks = self._blocks(text, ends)
+        order = np.lexsort((away, blocks))
+        blocks, away = blocks[order], away[order]
+        first = np.ones(len(order), bool)
+        first[1:] = blocks[1:] != blocks[:-1]
+        self.blocks, self.shift = blocks[first], away[first]
+        starts = places[left >= length]
+        tails = self._blocks(text, starts + length - 1)
+        order = np.argsort(tails, kind="stable")
+        self.tails, self.starts = tails[order], starts[order]
+
+    def _blocks(self, words: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """The block that ends at each place, as a number."""
+        last = words[ends].astype(np.int64)
+        return last if self.block == 1 else words[ends - 1].astype(np.int64) * self.size + last
+
+    def search(self, words: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        """(start, the places of the patterns) of every occurrence in numbered words; unknown words are -1."""
+        n, length = len(words), self.length
+        if n < length or not len(self.blocks):
+            return
+        ends = np.arange(length - 1, n)
+        known = words[ends] >= 0
+        if self.block == 2:
+            known &= words[ends - 1] >= 0
+        jumps = np.full(len(ends), self.furthest, np.int8)
+        asked = np.flatnonzero(known)
+        keys = self._blocks(words, ends[asked])
+        at = np.minimum(np.searchsorted(self.blocks, keys), len(self.blocks) - 1)
+        met = self.blocks[at] == keys
+        jumps[asked[met]] = self.shift[at[met]]
+        if jumps.all():
+            return
+        jumps = jumps.tolist()
+        end = 0
+        while end < len(jumps):
+            if jumps[end]:
+                end += jumps[end]
+                continue
+            start = end
+            tail = words[end:end + length]
+            key = self._blocks(words, np.array([end + length - 1]))[0]
+            low, high = np.searchsorted(self.tails, [key, key + 1])
+            found = self.starts[low:high]
+            for j in range(length - self.block):
+                if len(found):
+                    found = found[self.text[found + j] == tail[j]]
+            if len(found):
+                yield start, found
+            end += 1
+
+
+class Tables:
+    """The words of all items as numbers, once, and the patterns of each length over them."""
+
+    def __init__(self, items: Iterable[tuple[str | None, bytes]], window: int):
+        number: dict[bytes, int] = {}
+        self.ids: list[str | None] = []
+        parts: list[np.ndarray] = []
+        for item, text in items:
+            found = words(text)
+            if found:
+                self.ids.append(item)
+                parts.append(np.fromiter((number.setdefault(w, len(number)) for w in found), np.int32, len(found)))
+        self.number = number
+        lengths = np.array([len(p) for p in parts], np.int64)
+        self.text = np.concatenate(parts) if parts else np.zeros(0, np.int32)
+        self.offsets = np.cumsum(lengths) - lengths
+        places = np.arange(len(self.text), dtype=np.int32)
+        within = places - np.repeat(self.offsets, lengths).astype(np.int32)
+        left = np.repeat(lengths, lengths).astype(np.int32) - within
+        sizes = np.minimum(lengths, window)
+        self.patterns: list[Patterns] = []
+        for size in np.unique(sizes).tolist():
+            mine = np.repeat(sizes == size, lengths)
+            self.patterns.append(Patterns(size, self.text, places[mine], within[mine], left[mine], len(number)))
+
+    def items_at(self, places: np.ndarray) -> set[str]:
+        found = np.unique(np.searchsorted(self.offsets, places, side="right") - 1)
+        return {self.ids[i] for i in found.tolist() if self.ids[i] is not None}
+
+
+def build(items: Iterable[tuple[str | None, bytes]], window: int) -> Tables:
     """Tables for all lengths that occur among the items' windows."""
-    tables: dict[int, Patterns] = {}
-    for item, text in items:
-        found = words(text)
-        size = min(window, len(found))
-        if size:
-            table = tables.setdefault(size, Patterns(size))
-            for at in range(len(found) - size + 1):
-                table.add(tuple(found[at:at + size]), item)
-    return list(tables.values())
-
-
-def find(text: Words, tables: list[Patterns]) -> tuple[list[tuple[int, int]], set[str]]:
+    return Tables(items, window)
+
+
+def find(text: Words, tables: Tables) -> tuple[list[tuple[int, int]], set[str]]:
     """Stretches of hit words as (start, end), sorted and apart, and the items found."""
     marks: list[tuple[int, int]] = []
     items: set[str] = set()
-    for table in tables:
-        for start, found in table.search(text):
-            marks.append((start, start + table.length))
-            items.update(i for i in found if i is not None)
+    get = tables.number.get
+    numbered = np.fromiter((get(w, -1) for w in text), np.int64, len(text))
+    for patterns in tables.patterns:
+        for start, places in patterns.search(numbered):
+            marks.append((start, start + patterns.length))
+            items |= tables.items_at(places)
     return merge(marks), items
 
 
@@ -134,18 +198,30 @@ def search(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shard_by
     for k, items in enumerate(shards(benchmark, shard_bytes)):
         if k:  # the shard before is searched and out of memory before the next is sent
             state = keep(state, "decontaminate")
-        sent = spark.sparkContext.broadcast(items)
+        sent = spark.sparkContext.broadcast((uuid.uuid4().hex, items))
         text = F.col(f"{ROW}.text").cast("string")
         state = state.select(ROW, _searcher(sent, window)(text, "found").alias("found"))
     return state
 
 
+# The tables of the last shard that this worker searched for, by the shard's name.
+_BUILT: dict[tuple[str, int], Tables] = {}
+
+
+def _tables(name: str, items: list[tuple[str | None, bytes]], window: int) -> Tables:
+    """Built once in a worker, however many tasks it runs."""
+    if (name, window) not in _BUILT:
+        _BUILT.clear()
+        _BUILT[name, window] = build(items, window)
+    return _BUILT[name, window]
+
+
 def _searcher(sent, window: int):
     """The search for the broadcast items as a function of a text and what earlier shards found."""
     stretch = pa.struct([("start", pa.int32()), ("end", pa.int32())])
     kind = pa.struct([("n_words", pa.int64()), ("spans", pa.list_(stretch)), ("items", pa.list_(pa.string()))])
 
-    def one(text: bytes | None, before: dict, tables: list[Patterns]) -> dict:
+    def one(text: bytes | None, before: dict, tables: Tables) -> dict:
         found = words(text or b"")
         marks, ids = find(found, tables)
         if before["spans"]:
@@ -157,7 +233,7 @@ def _searcher(sent, window: int):
         }
 
     def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        tables = build(sent.value, window)
+        tables = _tables(*sent.value, window)
         for texts, before in batches:
             pairs = zip(texts.cast(pa.binary()).to_pylist(), before.to_pylist())
             yield pa.array([one(text, old, tables) for text, old in pairs], kind)
