@@ -42,27 +42,47 @@ LEVELS = (1, 2, 4)
 HELD = 500_000
 # Significance of a feature: twice the log-likelihood ratio, above 24 less than one in a million by chance.
 MIN_RATIO = 24.0
-# Labelled sentences that are swapped at most, of one document and in all.
+# Labelled sentences that are swapped at most, of one document and in all; these and the bounds above are arguments of `train`.
 MAX_SWAPS_DOC, MAX_SWAPS = 8, 20_000
 PENALTY, SHRINK = 5.0, 0.05
 THRESHOLD = 0.7
 
-# Names of groups of people, by kind; the first word of each kind is the neutral one.
+# Names of groups of people, by language and kind. The first of a kind is the neutral one; where it
+# is empty, the neutral sentence goes without the word.
 IDENTITY = (
-    ("people", "women", "men", "girls", "boys", "transgender", "nonbinary"),
+    ("people", "women", "men", "girls", "boys", "gays", "lesbians", "transgenders"),
     ("person", "woman", "man", "girl", "boy", "lesbian"),
-    ("plain", "gay", "straight", "bisexual", "queer", "heterosexual", "homosexual"),
-    ("believers", "muslims", "christians", "jews", "hindus", "buddhists", "atheists", "sikhs"),
-    ("believer", "muslim", "christian", "jew", "hindu", "buddhist", "atheist", "sikh"),
-    ("religious", "islamic", "jewish", "catholic", "protestant", "orthodox"),
-    ("local", "black", "white", "asian", "african", "european", "latino", "arab", "american", "mexican", "chinese"),
-    ("neighbours", "immigrants", "refugees", "foreigners", "migrants"),
-    ("common", "deaf", "blind", "disabled", "autistic", "elderly", "young", "old"),
-    ("leute", "frauen", "männer", "muslime", "christen", "juden", "ausländer", "flüchtlinge"),
-    ("gens", "femmes", "hommes", "musulmans", "chrétiens", "juifs", "étrangers", "réfugiés"),
-    ("gente", "mujeres", "hombres", "musulmanes", "cristianos", "judíos", "extranjeros", "refugiados"),
+    ("", "gay", "straight", "bisexual", "queer", "heterosexual", "homosexual", "transgender", "nonbinary", "trans"),
+    ("believers", "muslims", "christians", "jews", "hindus", "buddhists", "atheists", "sikhs", "catholics", "protestants", "mormons"),
+    ("believer", "muslim", "christian", "jew", "hindu", "buddhist", "atheist", "sikh", "catholic", "protestant", "mormon"),
+    ("", "islamic", "jewish", "buddhistic", "evangelical"),
+    ("", "black", "white", "asian", "african", "european", "latino", "latina", "hispanic", "arab", "american", "mexican", "chinese",
+     "indian", "japanese", "korean", "russian", "polish", "turkish", "jewish", "indigenous"),
+    ("neighbours", "immigrants", "refugees", "foreigners", "migrants", "gypsies", "natives"),
+    ("neighbour", "immigrant", "refugee", "foreigner", "migrant", "native"),
+    ("", "deaf", "blind", "disabled", "autistic", "paralyzed", "elderly", "young", "old"),
+    ("leute", "frauen", "männer", "mädchen", "jungen", "schwule", "lesben"),
+    ("mensch", "frau", "mann", "lesbe", "junge"),
+    ("gläubige", "muslime", "christen", "juden", "hindus", "buddhisten", "atheisten", "katholiken", "protestanten"),
+    ("", "muslimische", "christliche", "jüdische", "katholische", "evangelische", "buddhistische"),
+    ("nachbarn", "ausländer", "flüchtlinge", "einwanderer", "migranten", "zuwanderer"),
+    ("", "schwarze", "weiße", "asiatische", "afrikanische", "türkische", "arabische", "polnische", "russische", "deutsche"),
+    ("", "behinderte", "taube", "blinde", "autistische", "alte", "schwul", "lesbisch", "homosexuell", "bisexuell"),
+    ("gens", "femmes", "hommes", "filles", "garçons", "gays", "lesbiennes"),
+    ("personne", "femme", "homme", "fille", "garçon", "lesbienne"),
+    ("croyants", "musulmans", "chrétiens", "juifs", "hindous", "bouddhistes", "athées", "catholiques", "protestants"),
+    ("croyant", "musulman", "chrétien", "juif", "hindou", "bouddhiste", "athée", "catholique", "protestant"),
+    ("voisins", "étrangers", "réfugiés", "immigrés", "migrants"),
+    ("", "noirs", "blancs", "asiatiques", "africains", "arabes", "maghrébins", "roms", "turcs", "français"),
+    ("", "sourds", "aveugles", "handicapés", "autistes", "vieux", "homosexuels", "bisexuels"),
+    ("gente", "mujeres", "hombres", "chicas", "chicos", "lesbianas"),
+    ("persona", "mujer", "hombre", "chica", "chico", "lesbiana"),
+    ("creyentes", "musulmanes", "cristianos", "judíos", "hindúes", "budistas", "ateos", "católicos", "protestantes"),
+    ("creyente", "musulmán", "cristiano", "judío", "hindú", "budista", "ateo", "católico", "protestante"),
+    ("vecinos", "extranjeros", "refugiados", "inmigrantes", "migrantes"),
+    ("", "negros", "blancos", "asiáticos", "africanos", "árabes", "gitanos", "latinos", "turcos", "españoles"),
+    ("", "sordos", "ciegos", "discapacitados", "autistas", "viejos", "homosexuales", "bisexuales"),
 )
-_KIND = {word: kind for kind in IDENTITY for word in kind}
 _WORD = re.compile(r"[^\W_]+")
 _SENTENCE = re.compile(r"[.!?\n]+")
 
@@ -84,31 +104,49 @@ def features_of(words: list[str]) -> set[str]:
     return found
 
 
-def swaps(text: str, most: int = MAX_SWAPS_DOC) -> list[tuple[list[str], list[str]]]:
+Kinds = tuple[tuple[str, ...], ...]
+
+
+def _kind_of(identity: Kinds) -> dict[str, tuple[str, ...]]:
+    """The kind of each word; of several kinds the first."""
+    found: dict[str, tuple[str, ...]] = {}
+    for kind in identity:
+        for word in kind:
+            if word:
+                found.setdefault(word, kind)
+    return found
+
+
+def swaps(text: str, most: int = MAX_SWAPS_DOC, identity: Kinds = IDENTITY) -> list[tuple[list[str], list[str]]]:
     """Words of the sentences of `text` that name a group, each with those after its names are swapped.
 
     A name is swapped for the next of its kind, and once more for the neutral word. Of more distinct
     sentences than make `most` pairs, those of smallest digest are taken, wherever they stand.
     """
+    kind_of = _kind_of(identity)
     named: dict[bytes, list[str]] = {}
     for sentence in _SENTENCE.split(text.lower()):
         words = _WORD.findall(sentence)
-        if any(w in _KIND for w in words):
+        if any(w in kind_of for w in words):
             named[hashlib.blake2b(" ".join(words).encode(), digest_size=16).digest()] = words
     found: list[tuple[list[str], list[str]]] = []
     for digest in heapq.nsmallest((most + 1) // 2, named):
         words = named[digest]
-        kinds = [_KIND.get(w) for w in words]
-        following = [k[(k.index(w) + 1) % len(k)] if k else w for w, k in zip(words, kinds)]
-        found += [(words, following), (words, [k[0] if k else w for w, k in zip(words, kinds)])]
+        kinds = [kind_of.get(w) for w in words]
+        following = []
+        for word, kind in zip(words, kinds):
+            names = [n for n in kind or () if n]
+            following.append(names[(names.index(word) + 1) % len(names)] if names else word)
+        neutral = [k[0] if k else w for w, k in zip(words, kinds)]
+        found += [(words, following), (words, [w for w in neutral if w])]
     return found[:most]
 
 
 class Model:
-    """Weights by feature. Features that are not in it weigh nothing."""
+    """Weights by feature. Features that are not in it weigh nothing. `pairs` were the swapped sentences it was fitted with."""
 
-    def __init__(self, weights: dict[str, float], bias: float):
-        self.weights, self.bias = weights, bias
+    def __init__(self, weights: dict[str, float], bias: float, pairs: int = 0):
+        self.weights, self.bias, self.pairs = weights, bias, pairs
         self.words = {f[1:]: w for f, w in weights.items() if f[0] == "="}
         self.stems: dict[str, list[tuple[int, float]]] = {}
         for feature, w in sorted(weights.items()):
@@ -152,7 +190,7 @@ def sample(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Data
     )
 
 
-def vocabulary(rows: DataFrame, n: int, toxic: int, most: int = MAX_FEATURES) -> list[str]:
+def vocabulary(rows: DataFrame, n: int, toxic: int, most: int = MAX_FEATURES, identity: Kinds = IDENTITY) -> list[str]:
     """The features most significantly tied to the label, and all names of groups."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -190,10 +228,10 @@ def vocabulary(rows: DataFrame, n: int, toxic: int, most: int = MAX_FEATURES) ->
     )
     best = counts.select("feature", ratio.alias("ratio")).where(F.col("ratio") >= MIN_RATIO)
     found = [r.feature for r in best.orderBy(F.desc("ratio"), "feature").limit(most).collect()]
-    return sorted({*found, *(f"={w}" for w in _KIND)})
+    return sorted({*found, *(f"={w}" for w in _kind_of(identity))})
 
 
-def featurised(rows: DataFrame, vocab: list[str]) -> DataFrame:
+def featurised(rows: DataFrame, vocab: list[str], most: int = MAX_SWAPS_DOC, identity: Kinds = IDENTITY) -> DataFrame:
     """(toxic, words, swapped) as feature numbers: a labelled document, or with null toxic a swapped sentence."""
     number = {f: i for i, f in enumerate(vocab)}
 
@@ -205,7 +243,7 @@ def featurised(rows: DataFrame, vocab: list[str]) -> DataFrame:
             out: list[tuple] = []
             for text, toxic in zip(frame["text"], frame["toxic"]):
                 out.append((toxic, numbers(words_of(text)), []))
-                out += [(None, numbers(a), numbers(b)) for a, b in swaps(text)]
+                out += [(None, numbers(a), numbers(b)) for a, b in swaps(text, most, identity)]
             yield pd.DataFrame(out, columns=["toxic", "words", "swapped"]).astype({"toxic": "Int32"})
 
     return rows.mapInPandas(run, "toxic int, words array<int>, swapped array<int>")
@@ -265,24 +303,31 @@ def fit_weights(
     return w, float(bias)
 
 
-def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, penalty: float = PENALTY) -> Model:
-    """A model of the `toxic` column of `labels` (doc_id, toxic), from rows that are not held out."""
+def train(
+    docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, penalty: float = PENALTY, max_features: int = MAX_FEATURES,
+    max_swaps: int = MAX_SWAPS, max_swaps_doc: int = MAX_SWAPS_DOC, identity: Kinds = IDENTITY,
+) -> Model:
+    """A model of the `toxic` column of `labels` (doc_id, toxic), from rows that are not held out.
+
+    It is fitted on at most `max_rows` documents, `max_features` features besides the names of `identity`, and
+    `max_swaps` swapped sentences, `max_swaps_doc` of one document.
+    """
     with batch_rows(docs.sparkSession, 256):
         rows = keep(sample(docs, labels, max_rows), "toxicity-sample")
         n, toxic = rows.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
         if not 0 < toxic < n:
             return Model({}, float(np.log((toxic + 0.5) / (n - toxic + 0.5))))
-        vocab = vocabulary(rows, n, toxic)
-        # At most max_rows documents and MAX_SWAPS sentences, as word numbers.
-        found = featurised(rows, vocab)
+        vocab = vocabulary(rows, n, toxic, max_features, identity)
+        # At most max_rows documents and max_swaps sentences, as word numbers.
+        found = featurised(rows, vocab, max_swaps_doc, identity)
         labelled = found.where("toxic is not null").select("toxic", "words").collect()
         named = found.where("toxic is null").select("words", "swapped")
-        pairs = named.orderBy(F.xxhash64("words", "swapped"), "words", "swapped").limit(MAX_SWAPS).collect()
+        pairs = named.orderBy(F.xxhash64("words", "swapped"), "words", "swapped").limit(max_swaps).collect()
     weights, bias = fit_weights(
         [(r.toxic, list(r.words)) for r in labelled], [(list(r.words), list(r.swapped)) for r in pairs], len(vocab), penalty
     )
     # Rounded, so that the order of sums on another machine can not show in a score.
-    return Model({w: round(float(v), 6) for w, v in zip(vocab, weights) if abs(v) >= 1e-6}, round(bias, 6))
+    return Model({w: round(float(v), 6) for w, v in zip(vocab, weights) if abs(v) >= 1e-6}, round(bias, 6), len(pairs))
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
