@@ -25,6 +25,14 @@ def tokenizer_path(name: str = "piece_bpe_32k.model") -> str:
     return public_tokenizers.path(name)
 
 
+def pseudonym_key(spark: SparkSession) -> str:
+    """The secret in the session's setting `spark.tillhouse.pseudonym.key`; only local sessions do without."""
+    key = spark.conf.get("spark.tillhouse.pseudonym.key", None)
+    if key is None and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.tillhouse.pseudonym.key")
+    return key or "not secret: for tests in a local session"
+
+
 def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.allotment(table(spark, sf_dir, "documents"))
 
@@ -35,7 +43,7 @@ def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
-    found = pii.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = pii.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), pseudonym_key(spark))
     return found.select(F.col(f"{ROW}.doc_id").alias("doc_id"), "found.*")
 
 
