@@ -58,7 +58,8 @@ def sized(docs: DataFrame) -> DataFrame:
     """The rows of `docs` inside `ROW`, with doc_id, source, its never null `key`, size and what orders them."""
     row = packed(docs)
     size = word_count(F.col(f"{ROW}.text"))
-    digest = _digest(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    # Of id and text, so that rows without an id, or with one and the same, are spread too.
+    digest = _digest(F.coalesce(F.col(f"{ROW}.doc_id").cast("string"), F.lit("")), F.coalesce(F.col(f"{ROW}.text"), F.lit("")))
     return row.select(
         ROW,
         F.col(f"{ROW}.doc_id").alias("doc_id"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 MIX = r"""
 WITH sized AS (
-  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size
+  SELECT doc_id, source, text, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size
   FROM documents
 ), sources AS (
   SELECT source, sum(size)::BIGINT AS source_size,
@@ -26,7 +26,7 @@ WITH sized AS (
       PARTITION BY source
       ORDER BY CASE WHEN size < 1 THEN -1 ELSE floor(log2(size) * 8) END,
         digest % 64, digest // 64 % 64, size, doc_id) AS place
-  FROM (SELECT *, ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT & 2147483647 AS digest FROM sized)
+  FROM (SELECT *, ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || '|' || coalesce(text, '')), 1, 8))::BIGINT & 2147483647 AS digest FROM sized)
 ), met AS (
   SELECT doc_id, size, source_size, target, place,
     CASE WHEN source_size > 0 THEN round(target / source_size * 16777216) ELSE 0 END::BIGINT AS expected,
@@ -53,18 +53,28 @@ FROM first
 _LOWER = "translate(coalesce({0}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = r"regexp_extract_all(" + _LOWER + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
+# The ten words from a place on; whole texts are never carried beside a word.
+_AHEAD = "[w, " + ", ".join(f"lead(w, {i}) OVER next" for i in range(1, 10)) + "]"
+
 DECONTAMINATE = f"""
 WITH docs AS (
   SELECT row_number() OVER () AS row, doc_id, {_WORDS.format('text')} AS words FROM documents
 ), items AS (
-  SELECT item_id::VARCHAR AS item_id, {_WORDS.format('text')} AS words FROM benchmark
+  SELECT row_number() OVER () AS row, item_id::VARCHAR AS item_id, {_WORDS.format('text')} AS words FROM benchmark
+), doc_words AS (
+  SELECT row, len(words) AS n, unnest(words) AS w, generate_subscripts(words, 1) AS pos FROM docs
+), item_words AS (
+  SELECT row, item_id, len(words) AS n, unnest(words) AS w, generate_subscripts(words, 1) AS pos FROM items
+), item_places AS (
+  SELECT item_id, n, pos, {_AHEAD} AS ahead FROM item_words WINDOW next AS (PARTITION BY row ORDER BY pos)
 ), windows AS (
-  SELECT DISTINCT item_id, least(len(words), 10) AS size, array_to_string(words[pos:pos + least(len(words), 10) - 1], ' ') AS phrase
-  FROM (SELECT *, unnest(range(1, len(words) - least(len(words), 10) + 2)) AS pos FROM items WHERE len(words) > 0)
+  SELECT DISTINCT item_id, least(n, 10) AS size, array_to_string(ahead[1:least(n, 10)], ' ') AS phrase
+  FROM item_places WHERE pos + least(n, 10) - 1 <= n
 ), sizes AS (SELECT DISTINCT size FROM windows),
-places AS (
-  SELECT row, size, pos, array_to_string(words[pos:pos + size - 1], ' ') AS phrase
-  FROM (SELECT row, words, size, unnest(range(1, len(words) - size + 2)) AS pos FROM docs, sizes)
+doc_places AS (
+  SELECT row, n, pos, {_AHEAD} AS ahead FROM doc_words WINDOW next AS (PARTITION BY row ORDER BY pos)
+), places AS (
+  SELECT row, size, pos, array_to_string(ahead[1:size], ' ') AS phrase FROM doc_places, sizes WHERE pos + size - 1 <= n
 ), found AS (
   SELECT row, pos, size, item_id FROM places JOIN windows USING (size, phrase)
 ), hits AS (
