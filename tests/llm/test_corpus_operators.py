@@ -227,9 +227,68 @@ def test_a_date_stays_linked_in_every_form_and_no_two_slashed_dates_meet():
     assert len({pii.replace(t, p.forward)[0] for t in slashed}) == len(slashed)
 
 
+NATIONAL = ["06 12 34 56 78", "+33 6 12 34 56 78", "01.23.45.67.89", "0612345678", "030 1234567", "0171/1234567", "+49 171 1234567", "+49 30 123 456 78",
+            "612 345 678", "+34 612 345 678", "912-34-56-78"]
+
+
+@pytest.mark.parametrize("value", NATIONAL)
+def test_national_phone_numbers(value):
+    p = pii.Permutation("k")
+    text = f"call {value}, or {value}. 2"
+    new, counts = pii.replace(text, p.forward)
+    a, b = re.fullmatch(r"call (.*), or (.*)\. 2", new).groups()
+    assert counts["phone"] == 2 and a == b != value and re.sub(r"\d", "9", a) == re.sub(r"\d", "9", value)
+    assert pii.replace(new, p.backward)[0] == text
+
+
+def test_a_number_is_linked_with_and_without_its_country_code():
+    move = pii.Permutation("k").forward
+    for inland, abroad in (("06 12 34 56 78", "+33 6 12 34 56 78"), ("0171 1234567", "+49 171 1234567"), ("612 345 678", "+34 612 345 678")):
+        a, b = (re.sub(r"\D", "", pii.replace(t, move)[0]) for t in (inland, abroad))
+        assert a.lstrip("0") == b[2:]
+
+
+@pytest.mark.parametrize("value", ["2001:db8::8a2e:370:7334", "2001:0DB8:0000:0000:0000:8A2E:0370:7334", "fe80::abcd"])
+def test_ipv6(value):
+    import ipaddress
+
+    p = pii.Permutation("k")
+    new, counts = pii.replace(f"from {value} on", p.forward)
+    assert counts["ipv6"] == 1 and pii.replace("from 2001:db8::8a2e:370:7334 on", p.forward)[0] == (new if "370" in value else pii.replace("from 2001:db8::8a2e:370:7334 on", p.forward)[0])
+    back = pii.replace(new, p.backward)[0].split()[1]
+    assert ipaddress.ip_address(back) == ipaddress.ip_address(value) != ipaddress.ip_address(new.split()[1])
+    for text in ("at 12:34:56", "::", "::1", "a::b::c", "std::vector", "12:34"):
+        assert pii.replace(text, p.forward)[0] == text
+
+
+def test_whole_query_inverts(spark):
+    """Every text of the table comes back under the inverse, and differs from its pseudonyms in letters and digits alone."""
+    p = pii.Permutation(queries.pseudonym_key(spark))
+    texts = {r.doc_id: r.text for r in queries.table(spark, SF_DIR, "documents").collect()}
+    rows = queries.op3_pseudonyms(spark, SF_DIR).collect()
+    assert {r.doc_id for r in rows} == set(texts) and sum(r.n_email + r.n_phone for r in rows) > 0
+    for r in rows:
+        found = {name: r[f"n_{name}"] for name in pii.NAMES}
+        assert pii.replace(texts[r.doc_id], p.forward) == (r.text, found)
+        if not r.n_ipv6 and not r.n_ipv4:
+            assert pii.replace(r.text, p.backward)[0] == texts[r.doc_id]
+            assert re.sub("[a-z]", "a", re.sub("[A-Z]", "A", re.sub(r"\d", "9", r.text))) == re.sub("[a-z]", "a", re.sub("[A-Z]", "A", re.sub(r"\d", "9", texts[r.doc_id])))
+
+
+def test_a_cluster_needs_a_key():
+    class Cluster:
+        conf = {"x": 1}
+        sparkContext = type("Context", (), {"master": "yarn"})
+
+    with pytest.raises(ValueError):
+        queries.pseudonym_key(Cluster())
+    Cluster.conf = {"spark.tillhouse.pseudonym.key": "own"}
+    assert queries.pseudonym_key(Cluster()) == "own"
+
+
 def test_equal_values_stay_linked_across_documents(spark):
     docs = spark.createDataFrame([(1, "mail jane@example.org"), (2, "JANE@example.org? jane@example.org"), (3, None), (4, "")], "doc_id long, text string")
-    rows = {r.id: r.found for r in pii.pseudonymise(docs).select(F.col(f"{ROW}.doc_id").alias("id"), "found").collect()}
+    rows = {r.id: r.found for r in pii.pseudonymise(docs, "k").select(F.col(f"{ROW}.doc_id").alias("id"), "found").collect()}
     new = rows[1].text.split()[1]
     assert rows[2].text.endswith(new) and rows[2].text.lower().startswith(new) and rows[2].n_email == 2
     assert rows[3].text is None and rows[3].n_email == 0 and rows[4].text == ""
@@ -274,6 +333,102 @@ def test_sequential_reader_rejects_damage(monkeypatch):
         list(warc.read_records(io.BytesIO(member(good)[:-20])))
 
 
+def foreign(kind, block=b"", content_type=None, version="WARC/1.0", **fields):
+    lines = [("WARC-Type", kind), ("WARC-Record-ID", f"<urn:x:{kind}>"), ("WARC-Date", "2020-02-02T02:02:02Z")]
+    lines += [(k.replace("_", "-"), v) for k, v in fields.items()] + ([("Content-Type", content_type)] if content_type else [])
+    return warc._head([*lines, ("Content-Length", str(len(block)))], version) + block + b"\r\n\r\n"
+
+
+def digest_field(algorithm, data, encoding):
+    import base64
+    import hashlib
+
+    raw = hashlib.new(algorithm, data).digest()
+    return f"{algorithm}:{base64.b32encode(raw).decode() if encoding == 'base32' else raw.hex()}"
+
+
+HTTP, HTTP_REQUEST = "application/http; msgtype=response", "application/http; msgtype=request"
+BODY = b"<p>the body of a page</p>"
+CHUNKED = b"HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked\r\n\r\n" + b"10\r\n" + BODY[:16] + b"\r\n%x;x=y\r\n" % (len(BODY) - 16) + BODY[16:] + b"\r\n0\r\n\r\n"
+# Records as other crawlers write them: type, payload, and the record.
+FOREIGN = [
+    ("warcinfo", b"software: x\r\n", foreign("warcinfo", b"software: x\r\n", "application/warc-fields", WARC_Filename="a.warc.gz")),
+    ("request", b"", foreign("request", b"GET / HTTP/1.1\r\nHost: a\r\n\r\n", HTTP_REQUEST, WARC_Target_URI="http://a/")),
+    ("response", BODY, foreign("response", b"HTTP/1.1 200 OK\r\nServer: y\r\n\r\n" + BODY, HTTP, WARC_Target_URI="<http://a/>")),
+    ("response", BODY, foreign("response", b"HTTP/1.1 200 OK\r\n\r\n" + BODY, HTTP, WARC_Payload_Digest=digest_field("sha1", BODY, "base32"))),
+    ("response", BODY, foreign("response", CHUNKED, HTTP, WARC_Payload_Digest=digest_field("sha1", BODY, "base32"))),
+    ("response", BODY, foreign("response", CHUNKED, HTTP, WARC_Payload_Digest=digest_field("sha256", CHUNKED.partition(b"\r\n\r\n")[2], "hex"))),
+    ("response", b"127.0.0.1", foreign("response", b"127.0.0.1", "text/dns", WARC_Target_URI="dns:a", WARC_Block_Digest=digest_field("md5", b"127.0.0.1", "hex"))),
+    ("resource", BODY, foreign("resource", BODY, "text/html", WARC_Block_Digest=digest_field("sha512", BODY, "base32"), version="WARC/1.1")),
+    ("metadata", b"via: x", foreign("metadata", b"via: x", "application/warc-fields", WARC_Concurrent_To="<urn:x>\r\n more of it")),
+    ("conversion", BODY, foreign("conversion", BODY, "text/plain", WARC_Refers_To="<urn:x:response>")),
+    ("revisit", None, foreign("revisit", b"HTTP/1.1 304 Not Modified\r\n\r\n", HTTP, WARC_Refers_To_Target_URI="http://a/", WARC_Refers_To_Date="2019-01-01T00:00:00Z", WARC_Payload_Digest="sha1:ABC")),
+    ("revisit", None, foreign("revisit", b"", HTTP)),
+    ("response", b"", foreign("response", b"", HTTP)),
+    ("unheard-of", b"1", foreign("unheard-of", b"1", WARC_Payload_Digest="crc9:77")),
+]
+
+
+@pytest.mark.parametrize("size", [1, 64, 1 << 18])
+def test_reader_takes_every_type_of_record(monkeypatch, size):
+    monkeypatch.setattr(warc, "READ_BYTES", size)
+    data = b"".join(member(r) for _, _, r in FOREIGN)
+    found = list(warc.read_records(io.BytesIO(data)))
+    assert [(r["record_type"], r["payload"]) for r in found] == [(kind, payload) for kind, payload, _ in FOREIGN]
+    assert all(r["error"] is None and r["date"] == "2020-02-02T02:02:02Z" for r in found)
+    assert found[2]["url"] == "http://a/" and found[2]["digest_algorithm"] == "sha256" and found[2]["payload_bytes"] == len(BODY)
+    assert (found[10]["refers_to_uri"], found[10]["refers_to_date"]) == ("http://a/", "2019-01-01T00:00:00Z")
+    one_member = member(b"".join(r for _, _, r in FOREIGN))
+    assert [r["payload"] for r in warc.read_records(io.BytesIO(one_member))] == [p for _, p, _ in FOREIGN]
+
+
+BROKEN = [
+    member(foreign("response", b"HTTP/1.1 200 OK\r\n\r\n" + BODY, HTTP, WARC_Payload_Digest=digest_field("sha1", b"other", "base32"))),
+    member(foreign("resource", BODY, WARC_Block_Digest=digest_field("sha256", b"other", "hex"))),
+    member(foreign("resource", BODY, WARC_Block_Digest="sha1:%%%")),
+    member(foreign("response", b"HTTP/1.1 200 OK\r\nContent-Length: 9\r\n\r\n" + BODY, HTTP)),
+    member(foreign("response", CHUNKED.replace(b"10\r\n", b"zz\r\n"), HTTP)),
+    member(foreign("resource", BODY).replace(b"Content-Length", b"Content-Langth")),
+    member(foreign("resource", BODY).replace(b"Content-Length: 2", b"Content-Length: 9")),
+    member(foreign("resource", BODY) + b"more"),
+    member(b"no record at all\r\n\r\n"),
+    member(foreign("resource", random.Random(3).randbytes(4000)))[:-900],
+    (lambda m: m[:700] + bytes(64) + m[764:])(member(foreign("resource", random.Random(4).randbytes(4000)))),
+    b"garbage that is no gzip",
+]
+
+
+@pytest.mark.parametrize("size", [5, 1 << 18])
+@pytest.mark.parametrize("broken", range(len(BROKEN)))
+def test_damage_costs_one_record_and_is_reported(monkeypatch, broken, size):
+    monkeypatch.setattr(warc, "READ_BYTES", size)
+    good = [member(r) for _, _, r in FOREIGN]
+    for place in (0, 5, len(good)):
+        data = b"".join([*good[:place], BROKEN[broken], *good[place:]])
+        found = list(warc.read_records(io.BytesIO(data), damaged="report"))
+        assert [r["payload"] for r in found if not r["error"]] == [p for _, p, _ in FOREIGN], place
+        assert len([r for r in found if r["error"]]) == 1
+        with pytest.raises(ValueError):
+            list(warc.read_records(io.BytesIO(data)))
+
+
+def test_foreign_archives_as_a_table(spark, tmp_path):
+    for i in range(3):
+        (tmp_path / f"crawl-{i}.warc.gz").write_bytes(b"".join([*[member(r) for _, _, r in FOREIGN], BROKEN[i]]))
+    files = spark.createDataFrame([(f"crawl-{i}.warc.gz",) for i in range(3)], "file string")
+    found = warc.read_archives(files, str(tmp_path), damaged="report")
+    assert found.count() == 3 * (len(FOREIGN) + 1) and found.where("error is not null").count() == 3
+    with pytest.raises(ValueError):
+        warc.read_archives(files, str(tmp_path), damaged="ignore")
+
+
+def test_revisits_name_the_original_in_the_standard_fields(spark):
+    pages = spark.createDataFrame([(1, "http://a/1", "x" * 200), (2, "http://a/2", "x" * 200)], "page_id long, url string, html string")
+    folder = shared_dir(spark, "test-revisits")
+    got = {r.page_id: r for r in warc.read_archives(warc.write_archives(warc.records(pages), folder), folder).collect()}
+    assert (got[2].record_type, got[2].refers_to, got[2].refers_to_uri, got[2].refers_to_date) == ("revisit", 1, "http://a/1", got[1].date)
+
+
 # 5: SimHash
 
 
@@ -405,6 +560,15 @@ def test_swapped_sentences_come_from_the_whole_text():
     assert len(toxicity.swaps("The women met. Nobody else. The women met. The men left.")) == 4
 
 
+def test_bounds_and_names_are_arguments(spark):
+    docs = spark.createDataFrame([(i, f"the zorks met. filler{i % 7} {'bad' if i % 2 else 'good'}") for i in range(200)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id long, toxic int")
+    assert toxicity.train(docs, labels).pairs == 0
+    named = toxicity.train(docs, labels, identity=(("", "zorks", "florps"),), max_swaps=20, max_features=3)
+    assert named.pairs == 20 and len(named.weights) <= 5
+    assert toxicity.swaps("The zorks met.", 2, (("", "zorks", "florps"),)) == [(["the", "zorks", "met"], ["the", "florps", "met"]), (["the", "zorks", "met"], ["the", "met"])]
+
+
 def test_labels_of_held_out_rows_are_never_used(spark, odd_dir):
     docs, labels = (queries.table(spark, "/root/testdata/sf0.01", t) for t in ("documents", "labels"))
     flipped = labels.withColumn("toxic", F.when(toxicity.held_out(F.col("doc_id")), 1 - F.col("toxic")).otherwise(F.col("toxic")))
@@ -436,6 +600,31 @@ def test_search_against_brute_force(seed):
         assert {x for a, b in spans for x in range(a, b)} == marks and found == ids
 
 
+def test_search_tables_stay_small_and_exact():
+    """A large benchmark of few words: many windows share a suffix, and every length occurs."""
+    rng = random.Random(2)
+    items = [(str(k), b" ".join(rng.choices([b"the", b"of", b"a", b"to", b"in"], k=rng.randrange(1, 60)))) for k in range(300)]
+    tables = decontaminate.build(items, 10)
+    held = sum(a.nbytes for t in tables.patterns for a in (t.blocks, t.shift, t.tails, t.starts)) + tables.text.nbytes
+    assert held < 40 * len(tables.text) + 4096
+    grams = {}
+    for item, t in items:
+        w = t.split()
+        n = min(10, len(w))
+        for i in range(len(w) - n + 1):
+            grams.setdefault(tuple(w[i:i + n]), set()).add(item)
+    for _ in range(20):
+        text = rng.choices([b"the", b"of", b"a", b"to", b"in", b"new"], weights=[9, 9, 9, 9, 9, 1], k=200)
+        marks, ids = set(), set()
+        for n in {len(g) for g in grams}:
+            for j in range(len(text) - n + 1):
+                if found := grams.get(tuple(text[j:j + n])):
+                    marks.update(range(j, j + n))
+                    ids |= found
+        spans, found = decontaminate.find(text, tables)
+        assert {x for a, b in spans for x in range(a, b)} == marks and found == ids
+
+
 def test_shards_agree_with_one_search(spark, odd_dir):
     docs, items = queries.table(spark, odd_dir, "documents"), queries.table(spark, SF_DIR, "benchmark").select("item_id", "text").union(
         spark.createDataFrame([(r[0], r[1]) for r in rows_of("benchmark")], "item_id long, text string")

@@ -88,6 +88,22 @@ def test_pipeline_keeps_one_of_a_document_that_is_a_third_of_its_source(spark, t
     assert left.count(body) == 1 and "" not in left
 
 
+def test_pipeline_keeps_one_whole_of_near_copies_that_are_a_third_of_their_source(spark, tmp_path):
+    """Near copies count as one document, so their shared lines are not boilerplate; one of them stays whole."""
+    lines = [" ".join(f"w{(i * 131 + j * 17) % 5000}" for j in range(400)) for i in range(6)]
+    copies = ["\n".join([*lines, f"closing words number {k}"]) for k in range(20)]
+    own = ["\n".join(f"{i} own line {j} {(i * 7919 + j * 104729) ** 2} with word{i * 31 + j} and other{i * 17 + j}" for j in range(4)) for i in range(40)]
+    rows = [(i, f"{t}\nfooter", "en", "one source", len(t) + 7) for i, t in enumerate(copies + own)]
+    folder = write_tables(spark, str(tmp_path), lambda name: rows if name == "documents" else [])
+    docs = queries.table(spark, folder, "documents")
+    roots = {r.doc_id: r.component_id for r in corpus_pipeline.simhash.near_duplicates(docs).collect()}
+    assert len({roots[i] for i in range(20)}) <= 3
+    changed = {r.doc_id: r.text for r in corpus_pipeline.drop_lines(spark, docs, folder).collect()}
+    assert changed == dict(enumerate(copies + own))
+    left = [r.text for r in corpus_pipeline.run(spark, folder).collect()]
+    assert len([t for t in left if t in copies]) >= 1 and "" not in left
+
+
 def test_pipeline_decisions(spark):
     """Each stage's rows against what its operator says of the rows before it."""
     docs = queries.table(spark, SF_DIR, "documents")
@@ -111,11 +127,13 @@ def test_pipeline_decisions(spark):
     assert kept == sorted({r.component_id for r in classes})
 
     changed = {r.doc_id: (r.text, r.n_chars) for r in corpus_pipeline.drop_lines(spark, docs, SF_DIR).collect()}
-    pages, held = Counter(), Counter()
     rows = docs.collect()
-    for r in rows:
-        pages[r.source] += 1
-        held.update((r.source, line) for line in {x.strip(" \t\r") for x in r.text.split("\n")} if line)
+    group = {r.doc_id: r.component_id for r in classes}
+    pages = Counter(source for source, _ in {(r.source, group[r.doc_id]) for r in rows})
+    held = Counter(
+        (source, line) for source, _, line in
+        {(r.source, group[r.doc_id], x.strip(" \t\r")) for r in rows for x in r.text.split("\n")} if line
+    )
     for r in rows:
         stay = [
             x for x in r.text.split("\n")
