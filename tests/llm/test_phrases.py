@@ -74,9 +74,9 @@ def test_words_of_a_batch_are_counted_exactly():
             for k in range(1, 6):
                 expected.update((k, " ".join(words[i:i + k])) for i in range(len(words) - k + 1))
     found = Counter()
-    for k, names, n in phrases.count_batch("en", [t.encode() for t in texts], None, [], range(1, 6)):
+    for k, names, n in phrases.count_batch("en", [t.encode() for t in texts], None, range(1, 6)):
         if k:
-            found.update({(k, p.decode()): int(c) for p, c in zip(names, n)})
+            found.update({(k, p.decode()): int(c) for p, c in zip(names.to_pylist(), n)})
     assert found == expected
 
 
@@ -87,5 +87,6 @@ def test_many_words_are_kept_apart():
     rng = np.random.default_rng(2)
     columns = [rng.integers(0, 1 << 40, 500) for _ in range(5)]
     columns = [np.concatenate([c, c[:200]]) for c in columns]
-    place, n = phrases._distinct(columns, 1 << 40)
-    assert len(place) == 500 and sorted(n) == [1] * 300 + [2] * 200
+    found, n = phrases._distinct(columns, [1 << 40] * 5)
+    assert sorted(n) == [1] * 300 + [2] * 200
+    assert {tuple(r): int(c) for r, c in zip(zip(*found), n)} == Counter(zip(*columns))

@@ -3,9 +3,8 @@
 A sample of the documents proposes phrases that may be frequent: those above a lowered threshold. One
 full pass counts the proposed phrases and their negative border exactly. A phrase is counted if its
 first and its last words but one are both proposed, which is the proposal and its border in one rule.
-If a phrase of the border turns out frequent, the frequent phrases so far become the next proposal,
-and a further pass counts what that adds. It is closed when a pass finds no frequent phrase outside
-its proposal; then every frequent phrase is known, whatever the sample was.
+If a phrase of the border turns out frequent, a further pass counts what that adds at every length
+(`Expansion`). Then it is closed: every frequent phrase is known, whatever the sample was.
 
 The proposal goes to the tasks as a bit map of fixed size (`FILTER_BITS` at most). Where it takes a
 phrase for proposed that is not, that phrase is counted as well: more work, the same result. Phrases
@@ -26,7 +25,9 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -36,8 +37,8 @@ LONGEST = 5
 SUPPORT = 100
 TOP = 2000
 # One document in so many is sampled; a phrase is proposed at this share of its expected sample count.
-SAMPLE, LOWERED = 16, 0.5
-BATCH_BYTES = 8 << 20
+SAMPLE, LOWERED = 8, 0.75
+BATCH_BYTES = 12 << 20
 # Bits of the map for each proposed phrase, and of the whole map at most (8 MB).
 BITS_EACH, FILTER_BITS = 16, 1 << 26
 
@@ -81,27 +82,71 @@ def _extend(phrase: np.ndarray, word: np.ndarray) -> np.ndarray:
     return _mix(phrase * np.uint64(0xD6E8FEB86659FD93) + word)
 
 
-class Proposal:
-    """A bit map of phrases of up to `level` words."""
+class Phrases:
+    """A bit map of phrases. It may take a phrase for one it holds, never the other way round."""
 
-    def __init__(self, bits: np.ndarray, level: int):
-        self.bits, self.level, self.mask = bits, level, np.uint64(len(bits) * 64 - 1)
+    def __init__(self, bits: np.ndarray):
+        self.bits, self.mask = bits, np.uint64(len(bits) * 64 - 1)
 
     def holds(self, hashes: np.ndarray) -> np.ndarray:
-        found = np.ones(len(hashes), bool)
-        for place in _places(hashes, self.mask):
-            found &= (self.bits[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1) == 1
+        first, second = _places(hashes, self.mask)
+        found = self._set(first)
+        at = np.flatnonzero(found)
+        found[at] = self._set(second[at])
         return found
 
+    def _set(self, place: np.ndarray) -> np.ndarray:
+        return (self.bits[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1) == 1
+
+
+class Proposal:
+    """Phrases of up to `level` words that a pass counts, with their border."""
+
+    def __init__(self, bits: np.ndarray, level: int):
+        self.phrases, self.level = Phrases(bits), level
+
     def counted(self, hashes: list[np.ndarray], valid: list[np.ndarray]) -> list[np.ndarray]:
         """For each length from 2 on, the places whose phrase this proposal or its border holds."""
         out: list[np.ndarray] = []
+        within = valid[0]
         for k in range(2, LONGEST + 1):
             if k <= self.level + 1:
-                within = self.holds(hashes[k - 2]) & valid[k - 2]
-            else:
-                within = out[-1]
-            out.append(within[:-1] & within[1:] & valid[k - 1] if len(within) else within)
+                within = self.phrases.holds(hashes[k - 2]) & valid[k - 2]
+            # Beyond the level a phrase is counted where all its parts of that length are proposed.
+            within = within[:-1] & within[1:] & valid[k - 1]
+            out.append(within)
+        return out
+
+
+class Expansion:
+    """What a pass adds to a proposal that some frequent phrases, the `news`, were no part of.
+
+    A part of a phrase is alive if it is known to be frequent, or if it was not counted and its own parts are
+    alive. A phrase that was not counted is, if its parts are alive, at every length in one pass: a frequent
+    phrase has no other parts, so none is left for another pass.
+    """
+
+    def __init__(self, known: np.ndarray, news: np.ndarray, first: Proposal):
+        self.known, self.news, self.first = Phrases(known), Phrases(news), first
+
+    def near_news(self, hashes: list[np.ndarray], valid: list[np.ndarray]) -> np.ndarray:
+        """The places that phrases with news in them can reach."""
+        edge = np.zeros(len(valid[0]) + 1, np.int32)
+        for k in range(1, LONGEST):
+            at = np.flatnonzero(self.news.holds(hashes[k - 1]) & valid[k - 1])
+            np.add.at(edge, np.maximum(0, at - (LONGEST - k)), 1)
+            np.add.at(edge, np.minimum(len(edge) - 1, at + LONGEST), -1)
+        return np.cumsum(edge[:-1]) > 0
+
+    def counted(self, hashes: list[np.ndarray], valid: list[np.ndarray]) -> list[np.ndarray]:
+        out: list[np.ndarray] = []
+        before = self.first.counted(hashes, valid)
+        alive = self.known.holds(hashes[0]) & valid[0]
+        for k in range(2, LONGEST + 1):
+            fresh = alive[:-1] & alive[1:] & valid[k - 1] & ~before[k - 2]
+            out.append(fresh)
+            if k < LONGEST:
+                alive = fresh | self.known.holds(hashes[k - 1]) & valid[k - 1]
         return out
 
 
@@ -109,75 +154,105 @@ def _places(hashes: np.ndarray, mask: np.uint64) -> tuple[np.ndarray, np.ndarray
     return hashes & mask, (hashes >> np.uint64(32)) & mask
 
 
-def _distinct(columns: list[np.ndarray], size: int) -> tuple[np.ndarray, np.ndarray]:
-    """(a place, count) of every distinct row of `columns`, whose numbers are below `size`."""
-    key, bound = columns[0], size
-    for column in columns[1:]:
-        if bound * size >= 1 << 63:
-            values, key = np.unique(key, return_inverse=True)
-            bound = len(values)
-        key, bound = key * size + column, bound * size
-    _, place, n = np.unique(key, return_index=True, return_counts=True)
-    return place, n
+def _distinct(columns: list[np.ndarray], sizes: list[int]) -> tuple[list[np.ndarray], np.ndarray]:
+    """(the distinct rows of `columns`, their counts); the numbers of a column are below its size.
+
+    As many columns as fit are packed into one number and sorted; where not all fit, those are ranked first.
+    """
+    bound, j = 1, 0
+    while j < len(columns) and bound * sizes[j] < 1 << 63:
+        bound, j = bound * sizes[j], j + 1
+    key = columns[0].astype(np.int64)
+    for column, size in zip(columns[1:j], sizes[1:j]):
+        key *= size
+        key += column
+
+    def unpacked(packed: np.ndarray) -> list[np.ndarray]:
+        out = []
+        for size in reversed(sizes[1:j]):
+            packed, part = np.divmod(packed, size)
+            out.append(part)
+        return [packed, *reversed(out)]
+
+    ordered = np.sort(key)
+    starts = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])) if len(ordered) else np.zeros(0, np.int64)
+    heads = ordered[starts]
+    if j == len(columns):
+        return unpacked(heads), np.diff(np.append(starts, len(ordered)))
+    found, n = _distinct([np.searchsorted(heads, key), *columns[j:]], [len(heads), *sizes[j:]])
+    return [*unpacked(heads[found[0]]), *found[1:]], n
+
+
+def _valid(word: np.ndarray) -> list[np.ndarray]:
+    """For each length, the places from which so many words of one piece follow."""
+    valid = [word > 0]
+    for k in range(2, LONGEST + 1):
+        valid.append(valid[-1][:-1] & valid[0][k - 1:] if len(valid[-1]) else valid[-1])
+    return valid
+
+
+def _hashes(word: np.ndarray, of_word: np.ndarray) -> list[np.ndarray]:
+    hashes = [of_word[word]]
+    for k in range(2, LONGEST):
+        hashes.append(_extend(hashes[-1][:-1], hashes[0][k - 1:]) if len(hashes[-1]) else hashes[-1])
+    return hashes
 
 
 def count_batch(
-    lang: str, texts: list[bytes], proposal: Proposal | None, before: list[Proposal], lengths: range
-) -> Iterator[tuple[int, list[bytes], np.ndarray]]:
+    lang: str, texts: list[bytes], what: Proposal | Expansion | None, lengths: range
+) -> Iterator[tuple[int, pa.Array, np.ndarray]]:
     """(length, phrases, counts) over `texts`.
 
-    Without a proposal all phrases are counted, otherwise those it counts and none of `before` did;
-    single words only where `lengths` has them. Length 0 counts all words.
+    Without a proposal all phrases are counted, otherwise those it counts; single words only where `lengths`
+    has them. Length 0 counts all words.
     """
     numbers = _Numbers()
     found = tokens(texts)
-    word = np.fromiter(map(numbers.__getitem__, found), np.int64, len(found))
+    word = np.fromiter(map(numbers.__getitem__, found), np.int32, len(found))
     del found
-    words = list(numbers)
-    valid = [word > 0]
-    for k in range(2, LONGEST + 1):
-        valid.append(valid[-1][:-1] & valid[0][k - 1:] if len(valid[-1]) else valid[-1])
+    names = list(numbers)
+    words = pa.array(names, pa.binary())
+    valid = _valid(word)
     if 1 in lengths:
         n = np.bincount(word, minlength=len(words))
         n[0] = 0
         at = np.flatnonzero(n)
-        yield 0, [b""], n.sum(keepdims=True)
-        yield 1, [words[i] for i in at], n[at]
+        yield 0, pa.array([b""], pa.binary()), n.sum(keepdims=True)
+        yield 1, words.take(pa.array(at)), n[at]
     wanted = valid[1:]
-    if proposal is not None:
-        hashes = [_word_hashes(lang, words)[word]]
-        for k in range(2, LONGEST):
-            hashes.append(_extend(hashes[-1][:-1], hashes[0][k - 1:]) if len(hashes[-1]) else hashes[-1])
-        wanted = proposal.counted(hashes, valid)
-        for done in before:
-            wanted = [w & ~d for w, d in zip(wanted, done.counted(hashes, valid))]
+    if what is not None:
+        of_word = _word_hashes(lang, names)
+        hashes = _hashes(word, of_word)
+        if isinstance(what, Expansion):
+            # Mostly little is near news; the rest is cut away before it is looked at closely.
+            near = what.near_news(hashes, valid)
+            word = np.where(near, word, 0)[near | np.concatenate([[False], near[:-1]])]
+            valid, hashes = _valid(word), _hashes(word, of_word)
+        wanted = what.counted(hashes, valid)
+        del hashes
     for k in lengths:
         if k > 1:
             at = np.flatnonzero(wanted[k - 2])
-            place, n = _distinct([word[at + j] for j in range(k)], len(words))
-            first = at[place]
-            columns = [[words[i] for i in word[first + j].tolist()] for j in range(k)]
-            yield k, [b" ".join(row) for row in zip(*columns)], n
+            columns, n = _distinct([word[at + j] for j in range(k)], [len(words)] * k)
+            phrases = pc.binary_join_element_wise(*[words.take(pa.array(c)) for c in columns], pa.scalar(b" ", pa.binary()))
+            yield k, phrases, n
 
 
-def _counter(proposal, before: list, lengths: range):
-    """The function of `mapInArrow` that counts (lang, text) rows; proposals come as broadcasts."""
+def _counter(sent, lengths: range):
+    """The function of `mapInArrow` that counts (lang, text) rows; a proposal or an expansion comes as a broadcast."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now = Proposal(*proposal.value) if proposal is not None else None
-        past = [Proposal(*p.value) for p in before]
+        what = None if sent is None else sent.value
         waiting: dict[str, list[bytes]] = {}
         size = 0
 
         def flush() -> Iterator[pa.RecordBatch]:
             for lang, texts in waiting.items():
-                for k, phrases, n in count_batch(lang, texts, now, past, lengths):
+                for k, phrases, n in count_batch(lang, texts, what, lengths):
                     if len(phrases):
-                        column = pa.array(phrases, pa.binary()).cast(pa.string())
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array([lang] * len(phrases)), pa.array([k] * len(phrases), pa.int32()), column, pa.array(n, pa.int64())],
-                            schema=COUNTS,
-                        )
+                        head = [pa.repeat(pa.scalar(v, t), len(phrases)) for v, t in ((lang, pa.string()), (k, pa.int32()))]
+                        columns = [*head, phrases.cast(pa.string()), pa.array(n, pa.int64())]
+                        yield pa.RecordBatch.from_arrays(columns, schema=COUNTS)
 
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -191,10 +266,10 @@ def _counter(proposal, before: list, lengths: range):
     return run
 
 
-def _count(texts: DataFrame, proposal, before: list, lengths: range, least: float, purpose: str) -> DataFrame:
+def _count(texts: DataFrame, sent, lengths: range, least: float, purpose: str) -> DataFrame:
     """(lang, k, phrase, n) of the phrases that are counted and occur `least` times; k = 0 sums all words."""
     with batch_rows(texts.sparkSession, 512):
-        parts = texts.mapInArrow(_counter(proposal, before, lengths), COUNTS_DDL)
+        parts = texts.mapInArrow(_counter(sent, lengths), COUNTS_DDL)
         sums = parts.groupBy("lang", "k", "phrase").agg(F.sum("n").alias("n"))
         return keep(sums.where((F.col("k") == 0) | (F.col("n") >= least)), purpose)
 
@@ -221,8 +296,14 @@ def _set_bits(mask: int):
     return run
 
 
-def propose(spark: SparkSession, phrases: DataFrame, level: int):
-    """A broadcast of the bit map of `phrases` (lang, phrase); at most `FILTER_BITS` bits reach the driver."""
+def propose(spark: SparkSession, phrases: DataFrame, level: int) -> tuple[Proposal, Broadcast]:
+    """The proposal of `phrases` (lang, phrase), and a broadcast of it."""
+    proposal = Proposal(_bit_map(phrases), level)
+    return proposal, spark.sparkContext.broadcast(proposal)
+
+
+def _bit_map(phrases: DataFrame) -> np.ndarray:
+    """At most `FILTER_BITS` bits, which are all that reaches the driver."""
     count = phrases.count()
     size = 1 << 12
     while size < min(count * BITS_EACH, FILTER_BITS):
@@ -234,7 +315,7 @@ def propose(spark: SparkSession, phrases: DataFrame, level: int):
     bits = np.zeros(size // 64, np.int64)
     found = words.toArrow()
     bits[found.column("at").to_numpy()] = found.column("bits").to_numpy()
-    return spark.sparkContext.broadcast((bits.view(np.uint64), level))
+    return bits.view(np.uint64)
 
 
 def _parts(phrases: DataFrame) -> DataFrame:
@@ -254,20 +335,18 @@ def frequent(docs: DataFrame, doc_id: Column, support: int = SUPPORT, sample: in
     some = keep(docs.where(F.pmod(F.xxhash64(doc_id), F.lit(sample)) == 0).select(lang, text), "phrase-sample")
     least = max(2.0, support * lowered / sample)
     # In the sample, pairs first: a longer phrase is looked at where all its pairs are proposed.
-    pairs = _count(some, None, [], range(1, 3), least, "phrase-pairs").where("k > 0")
-    longer = _count(some, propose(spark, pairs, 2), [], range(3, LONGEST + 1), least, "phrase-proposal")
+    pairs = _count(some, None, range(1, 3), least, "phrase-pairs").where("k > 0")
+    longer = _count(some, propose(spark, pairs, 2)[1], range(3, LONGEST + 1), least, "phrase-proposal")
     proposed = pairs.unionByName(longer)
-    proposal = propose(spark, _parts(proposed), LONGEST - 1)
-    known = _count(texts, proposal, [], range(1, LONGEST + 1), support, "phrases")
-    news = known.where("k > 0").join(proposed, ["lang", "k", "phrase"], "left_anti")
-    past = [proposal]
+    proposal, sent = propose(spark, _parts(proposed), LONGEST - 1)
+    known = _count(texts, sent, range(1, LONGEST + 1), support, "phrases")
     # Only what can be part of a longer phrase asks for a further pass.
-    while news.where(F.col("k") < LONGEST).limit(1).count():
-        proposal = propose(spark, _parts(known), LONGEST - 1)
-        news = _count(texts, proposal, past, range(2, LONGEST + 1), support, "phrases-more")
-        known = known.unionByName(news)
-        past.append(proposal)
-    return known
+    news = keep(_parts(known).join(proposed, ["lang", "k", "phrase"], "left_anti"), "phrase-news")
+    if not news.limit(1).count():
+        return known
+    expansion = Expansion(_bit_map(_parts(known)), _bit_map(news), proposal)
+    more = _count(texts, spark.sparkContext.broadcast(expansion), range(2, LONGEST + 1), support, "phrases-more")
+    return known.unionByName(more)
 
 
 def collocations(docs: DataFrame, doc_id: Column | None = None, support: int = SUPPORT, top: int = TOP, **how) -> DataFrame:
@@ -299,7 +378,7 @@ def collocations(docs: DataFrame, doc_id: Column | None = None, support: int = S
     rows = least.select("lang", "phrase", "a", "cut.l", "cut.r", "cut.n", "cut.score")
     order = [F.col("score").desc(), F.col("a").desc(), F.col("phrase")]
     # The best of each share of a language, and then the best of those.
-    share = Window.partitionBy("lang", F.pmod(F.xxhash64("phrase"), F.lit(256))).orderBy(*order)
+    share = Window.partitionBy("lang", F.pmod(F.xxhash64("phrase"), F.lit(32))).orderBy(*order)
     best = rows.withColumn("_place", F.row_number().over(share)).where(F.col("_place") <= top).drop("_place")
     ranked = best.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("long"))
     return ranked.where(F.col("rank") <= top).select("lang", "rank", "phrase", "a", "l", "r", "n", F.col("score").cast("long").alias("score"))
