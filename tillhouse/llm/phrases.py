@@ -47,8 +47,9 @@ _FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ" + _PIECES, b"abcdefghijklm
 # Stands for the end of a piece; no UTF-8 text holds this byte.
 _END = b"\xff"
 
-COUNTS = pa.schema([("lang", pa.string()), ("k", pa.int32()), ("phrase", pa.string()), ("n", pa.int64())])
-COUNTS_DDL = "lang string, k int, phrase string, n long"
+# What is shuffled: language, a tab, and the phrase, which has no tab in it (none for the sum of all words).
+COUNTS = pa.schema([("key", pa.string()), ("n", pa.int64())])
+COUNTS_DDL = "key string, n long"
 
 
 class _Numbers(dict):
@@ -248,11 +249,10 @@ def _counter(sent, lengths: range):
 
         def flush() -> Iterator[pa.RecordBatch]:
             for lang, texts in waiting.items():
-                for k, phrases, n in count_batch(lang, texts, what, lengths):
+                for _, phrases, n in count_batch(lang, texts, what, lengths):
                     if len(phrases):
-                        head = [pa.repeat(pa.scalar(v, t), len(phrases)) for v, t in ((lang, pa.string()), (k, pa.int32()))]
-                        columns = [*head, phrases.cast(pa.string()), pa.array(n, pa.int64())]
-                        yield pa.RecordBatch.from_arrays(columns, schema=COUNTS)
+                        keys = pc.binary_join_element_wise(pa.scalar(lang.encode(), pa.binary()), phrases, pa.scalar(b"\t", pa.binary()))
+                        yield pa.RecordBatch.from_arrays([keys.cast(pa.string()), pa.array(n, pa.int64())], schema=COUNTS)
 
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -270,8 +270,11 @@ def _count(texts: DataFrame, sent, lengths: range, least: float, purpose: str) -
     """(lang, k, phrase, n) of the phrases that are counted and occur `least` times; k = 0 sums all words."""
     with batch_rows(texts.sparkSession, 512):
         parts = texts.mapInArrow(_counter(sent, lengths), COUNTS_DDL)
-        sums = parts.groupBy("lang", "k", "phrase").agg(F.sum("n").alias("n"))
-        return keep(sums.where((F.col("k") == 0) | (F.col("n") >= least)), purpose)
+        phrase = F.substring_index("key", "\t", -1)
+        sums = parts.groupBy("key").agg(F.sum("n").alias("n")).where((F.col("n") >= least) | (phrase == "")).withColumn("phrase", phrase)
+        lang = F.left("key", F.length("key") - F.length("phrase") - 1)
+        k = F.when(F.col("phrase") == "", 0).otherwise(F.regexp_count("phrase", F.lit(" ")) + 1)
+        return keep(sums.select(lang.alias("lang"), k.alias("k"), "phrase", "n"), purpose)
 
 
 _SET = "place long"
