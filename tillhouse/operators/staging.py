@@ -55,8 +55,10 @@ class Staged:
     the join is a plain one whose hot keys can be split. The rows of repeated keys are stored too, and
     only they are ranked.
 
-    `land` writes all rows once, apart by verdict, and everything else then reads those files: raw is
-    scanned and its rules are asked once. Without it the plans read raw.
+    `land` writes all rows once with their verdicts, and everything else then reads those files: raw is
+    scanned and its rules are asked once. The verdict is a column, not a folder, since rows going to several
+    folders would be sorted by each task that writes them. Without `land` the plans read raw, and ask the rules in
+    each of them.
     """
 
     def __init__(self, raw: DataFrame, entity: Entity, as_of: Column, mode: str, strict: bool):
@@ -65,19 +67,19 @@ class Staged:
         self._nulls_last = entity.ranked_columns()
         self._scratch: list[DataFrame] = []
 
-    def _stored(self, df: DataFrame, purpose: str, partition_by: list[str] | None = None) -> DataFrame:
-        self._scratch.append(stored(df, f"{self.entity.name}-{purpose}", partition_by))
+    def _stored(self, df: DataFrame, purpose: str) -> DataFrame:
+        self._scratch.append(stored(df, f"{self.entity.name}-{purpose}"))
         return self._scratch[-1]
 
     def land(self) -> dict[str, int]:
-        """Write the rows apart by verdict; the number of rows by reason, counted on the way.
+        """Write the rows with their verdicts; the number of rows by reason, counted on the way.
 
         The rows that are fit are those of no reason, under the name "fit".
         """
         seen = Observation()
         reasons = {rule.reason: F.count_if(F.col(REASON) == rule.reason) for rule in self.entity.rules}
         counts = [n.alias(name) for name, n in {**reasons, "fit": F.count_if(~F.col(UNFIT))}.items()]
-        self._flagged = self._stored(self._flagged.observe(seen, *counts), "verdicts", [UNFIT])
+        self._flagged = self._stored(self._flagged.observe(seen, *counts), "verdicts")
         return {name: n for name, n in seen.get.items() if n}
 
     def discard(self) -> None:
@@ -142,6 +144,15 @@ def stage(
     return Staged(raw, entity, as_of, _mode(entity, mode), strict)
 
 
+def landed(
+    raw: DataFrame, entity: Entity, as_of: Column, mode: str | None = None, strict: bool = False
+) -> Staged:
+    """As `stage`, with the rows written at once: raw is scanned and its rules are asked one single time."""
+    staged = stage(raw, entity, as_of, mode, strict)
+    staged.land()
+    return staged
+
+
 def quality_counts(
     raw: DataFrame, entity: Entity, as_of: Column, mode: str | None = None, strict: bool = False
 ) -> DataFrame:
@@ -152,33 +163,37 @@ def quality_counts(
     """
     mode = _mode(entity, mode)
     flagged = flag(raw, entity, as_of, strict)
+    # No filter tells fit rows from unfit ones: it would be moved below everything and ask all rules anew.
+    is_fit = F.col(REASON).isNull()
     if mode == CONTENT_FIRST:
-        per_key = flagged.groupBy(
-            REASON, F.when(F.col(REASON).isNull(), F.col(entity.key)).alias("_key")
-        ).agg(F.count(F.lit(1)).alias("_n"))
+        per_key = flagged.groupBy(REASON, F.when(is_fit, F.col(entity.key)).alias("_key")).agg(
+            F.count(F.lit(1)).alias("_n")
+        )
         totals = per_key.groupBy(REASON).agg(
             F.sum("_n").alias("_n"), F.count(F.lit(1)).alias("_keys")
         )
-        unfit = totals.filter(F.col(REASON).isNotNull()).select(REASON, F.col("_n").alias("n"))
-        fit = totals.filter(F.col(REASON).isNull())
-    else:
-        rivals, order = _rivals(flagged, entity, mode)
-        per_key = rivals.groupBy(entity.key).agg(
-            F.min(dedupe.ordering(order, entity.ranked_columns()))[REASON].isNull().alias("_kept"),
-            F.count_if(F.col(REASON).isNull()).alias("_n"),
-        )
-        unfit = flagged.filter(F.col(REASON).isNotNull()).groupBy(REASON).agg(
-            F.count(F.lit(1)).alias("n")
-        )
-        fit = per_key.agg(F.sum("_n").alias("_n"), F.count_if("_kept").alias("_keys"))
-    rows = F.array(
+        unfit = F.array(F.struct(REASON, F.col("_n").alias("n")))
+        return totals.select(F.inline(F.when(is_fit, _kept_and_lost(entity)).otherwise(unfit))).filter("n > 0")
+    rivals, order = _rivals(flagged, entity, mode)
+    per_key = rivals.groupBy(entity.key).agg(
+        F.min(dedupe.ordering(order, entity.ranked_columns()))[REASON].isNull().alias("_kept"),
+        F.count_if(is_fit).alias("_n"),
+    )
+    fit = per_key.agg(F.sum("_n").alias("_n"), F.count_if("_kept").alias("_keys"))
+    names = [rule.reason for rule in entity.rules]
+    seen = flagged.agg(*[F.count_if(F.col(REASON) == name).alias(name) for name in names])
+    unfit = seen.select(
+        F.inline(F.array(*[F.struct(F.lit(name).alias(REASON), F.col(name).alias("n")) for name in names]))
+    )
+    return unfit.unionByName(fit.select(F.inline(_kept_and_lost(entity)))).filter("n > 0")
+
+
+def _kept_and_lost(entity: Entity) -> Column:
+    """Rows for `quality_counts` from the number of fit rows, `_n`, and of keys that are kept, `_keys`."""
+    return F.array(
         F.struct(F.lit("clean").alias(REASON), F.col("_keys").alias("n")),
-        F.struct(
-            F.lit(entity.duplicate_reason).alias(REASON),
-            (F.col("_n") - F.col("_keys")).alias("n"),
-        ),
+        F.struct(F.lit(entity.duplicate_reason).alias(REASON), (F.col("_n") - F.col("_keys")).alias("n")),
     )
-    return unfit.unionByName(fit.select(F.inline(rows))).filter("n > 0")
 
 
 def rejected_fields(errors: DataFrame, fields: dict[str, str]) -> DataFrame:

@@ -13,7 +13,7 @@ from tillhouse.operators.joins import splittable_join
 from tillhouse.operators.mutate import update_where
 from tillhouse.operators.profiling import row_count, union_all
 from tillhouse.operators.rules import CONTENT_FIRST, ORDERS, Entity
-from tillhouse.operators.staging import pack_row, stage
+from tillhouse.operators.staging import landed, pack_row, stage
 
 ORDERS_TABLE = "ORDERS"
 
@@ -58,7 +58,7 @@ def admit_marked(
     """As `admit`, where `old` says which rows have a key that is loaded."""
     test, name = also or (F.lit(False), "")
     candidate = ~old & ~test
-    staged = stage(met.filter(candidate).select(*entity.columns), entity, as_of, CONTENT_FIRST)
+    staged = landed(met.filter(candidate).select(*entity.columns), entity, as_of, CONTENT_FIRST)
     reason = F.coalesce(entity.reason(as_of), F.when(test, F.lit(name)), F.lit(entity.duplicate_reason))
     others = met.filter(~candidate).select(
         pack_row(entity.columns).alias("row_data"), reason.alias("reason"), as_of.alias("logged_at")
