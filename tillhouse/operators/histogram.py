@@ -6,17 +6,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillhouse.functions.text import bin_label
+from tillhouse.session import stored
 
 
 def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
     """(bin, bin_start, bin_end, n, bin_label), empty bins included.
 
     Bins are half open but for the last, NULLs are dropped, one repeated value gets a range of
-    width 1 around it, and an empty input counts zero over 0 to 1.
+    width 1 around it, and an empty input counts zero over 0 to 1. The values are stored, since they are read
+    twice: for the limits and for the counts.
     """
     spark = df.sparkSession
     value = F.col(column).cast("double")
-    present = df.filter(F.col(column).isNotNull()).select(value.alias("v"))
+    present = stored(df.filter(F.col(column).isNotNull()).select(value.alias("v")), "histogram")
     found = present.agg(
         F.coalesce(F.min("v"), F.lit(0.0)).alias("lo"), F.coalesce(F.max("v"), F.lit(1.0)).alias("hi")
     )

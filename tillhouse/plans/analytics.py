@@ -14,6 +14,7 @@ from tillhouse.functions.text import inr_label, month_label
 from tillhouse.operators import histogram as hist
 from tillhouse.operators.ranking import label_segments, top_k
 from tillhouse.plans.dims import Dims, current
+from tillhouse.session import stored
 
 SEGMENTS = ["Low", "Medium", "High"]
 
@@ -127,15 +128,18 @@ def line_amount_histogram(fact: DataFrame, bins: int = 30) -> DataFrame:
 def kpis(fact: DataFrame, dims: Dims, current_only: bool = True) -> DataFrame:
     """One row: revenue, orders, average order value, customers, and their money texts.
 
-    Orders and customers are counted from distinct keys, each with its own map-side distinct.
+    One pass sums the fact per order and customer; orders and customers are counted from those sums, each with
+    its own map-side distinct.
     """
+    sums = fact.groupBy("order_id", "customer_sk").agg(F.sum("line_amount").alias("_amount"))
+    sums = stored(sums, "order-sums")
     buyers = (
-        fact.select("customer_sk").distinct().join(
+        sums.select("customer_sk").distinct().join(
             _customers(dims, current_only).select("customer_sk", "customer_code"), "customer_sk"
         )
     ).agg(F.count_distinct("customer_code").alias("n"))
-    totals = fact.agg(
-        F.coalesce(F.sum("line_amount"), F.lit(0)).cast("double").alias("total_revenue"),
+    totals = sums.agg(
+        F.coalesce(F.sum("_amount"), F.lit(0)).cast("double").alias("total_revenue"),
         F.count_distinct("order_id").alias("total_orders"),
     )
     average = F.when(
@@ -153,13 +157,21 @@ def kpis(fact: DataFrame, dims: Dims, current_only: bool = True) -> DataFrame:
 
 
 def filter_choices(fact: DataFrame, dims: Dims) -> DataFrame:
-    """(filter, choice): the categories and years that sales have, sorted."""
+    """(filter, choice): the categories and years that sales have, sorted.
+
+    One pass finds the distinct keys of both kinds.
+    """
+    kinds = F.array(
+        F.struct(F.lit("category").alias("filter"), F.col("product_sk").cast("bigint").alias("sk")),
+        F.struct(F.lit("year").alias("filter"), F.col("date_sk").cast("bigint").alias("sk")),
+    )
+    sold = stored(fact.select(F.inline(kinds)).distinct(), "sold-keys")
     categories = (
-        fact.select("product_sk").distinct().join(dims.product, "product_sk")
-        .select(F.lit("category").alias("filter"), F.col("category").alias("choice"))
+        sold.filter("filter = 'category'").join(dims.product, F.col("sk") == F.col("product_sk"))
+        .select("filter", F.col("category").alias("choice"))
     )
     years = (
-        fact.select("date_sk").distinct().join(dims.date, "date_sk")
-        .select(F.lit("year").alias("filter"), F.col("year").cast("string").alias("choice"))
+        sold.filter("filter = 'year'").join(dims.date, F.col("sk") == F.col("date_sk"))
+        .select("filter", F.col("year").cast("string").alias("choice"))
     )
     return categories.unionByName(years).na.drop(subset=["choice"]).distinct().orderBy("filter", "choice")
