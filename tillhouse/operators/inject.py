@@ -86,12 +86,14 @@ def inject(
     kind = F.element_at(
         F.array(*[F.lit(n) for n in names]), (draw(key, seed, "kind", len(names)) + 1).cast("int")
     )
-    extra = clean.filter(draw(key, seed, "pick", 1000) < per_mille).withColumn("defect", kind)
+    # Each row is read once: it comes out as it is, and where it is picked a second time with its defect.
+    picked = draw(key, seed, "pick", 1000) < per_mille
+    twice = F.when(picked, F.array(F.lit(None).cast("string"), kind)).otherwise(F.array(F.lit(None).cast("string")))
     cells = []
     for column in clean.columns:
         value = F.col(column)
         if column == key:
-            value = F.when(F.col("defect") == DUPLICATE_KEY, value).otherwise(
+            value = F.when(F.col("defect").isNull() | (F.col("defect") == DUPLICATE_KEY), value).otherwise(
                 F.concat(value, F.lit("-B"))
             )
         for defect, spoils in defects.items():
@@ -100,9 +102,7 @@ def inject(
                     F.col("defect") == defect, _spoiled(column, spoils[column], key, seed, as_of)
                 ).otherwise(value)
         cells.append(value.alias(column))
-    return clean.withColumn("defect", F.lit(None).cast("string")).unionByName(
-        extra.select(*cells, "defect")
-    )
+    return clean.withColumn("defect", F.explode(twice)).select(*cells, "defect")
 
 
 def shuffle(df: DataFrame, seed: int, partitions: int | None = None) -> DataFrame:

@@ -15,7 +15,7 @@ from tillhouse.operators.mutate import delete_where, update_where
 from tillhouse.operators.rules import CONTENT_FIRST, ENTITY, REFERENCE
 from tillhouse.plans import analytics, arrivals, dims, fact, full_load, incremental, raw_sales, scd2
 from tillhouse.schema import DW, ENTITIES, SCHEMAS, STAGING
-from tillhouse.session import shared_dir
+from tillhouse.session import shared_dir, stored
 from tillhouse.sources import raw as sources
 from tillhouse.sources import sinks, testdata
 from tillhouse.sources.layers import Layers
@@ -43,7 +43,7 @@ class Shop:
 
     @cache
     def staged(self, entity: str, mode: str | None = None) -> staging.Staged:
-        return staging.stage(self.raw[entity], ENTITY[entity], self.as_of, mode)
+        return staging.landed(self.raw[entity], ENTITY[entity], self.as_of, mode)
 
     def clean(self, entity: str) -> DataFrame:
         return self.staged(entity).clean
@@ -95,9 +95,12 @@ class Shop:
     @cached_property
     def injected(self) -> dict[str, DataFrame]:
         return {
-            name: inject.inject(
-                inject.as_text(self.staged(name, CONTENT_FIRST).clean), name, ENTITY[name].key,
-                self.as_of, SEED,
+            name: stored(
+                inject.inject(
+                    inject.as_text(self.staged(name, CONTENT_FIRST).clean), name, ENTITY[name].key,
+                    self.as_of, SEED,
+                ),
+                f"{name}-injected",
             )
             for name in ENTITIES
         }
@@ -275,7 +278,7 @@ def spoiled_strict_reasons(s: Shop) -> DataFrame:
 def spoiled_order_items_clean(s: Shop) -> DataFrame:
     """The order items that are kept under the strict rules."""
     spoiled = testdata.spoiled(s.raw["order_items"], "order_items")
-    return staging.stage(spoiled, ENTITY["order_items"], s.as_of, strict=True).clean
+    return staging.landed(spoiled, ENTITY["order_items"], s.as_of, strict=True).clean
 
 
 @_query
