@@ -1,16 +1,20 @@
 """Steps that read their input once, whatever they do with it afterwards."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
-from tillhouse.operators import inject
+from tillhouse.operators import inject, staging
 from tillhouse.operators.histogram import histogram
 from tillhouse.operators.rules import ENTITY, ORDER_ITEMS
 from tillhouse.operators.staging import landed, quality_counts
-from tillhouse.plans import analytics
+from tillhouse.plans import analytics, arrivals, full_load
 from tillhouse.plans.catalog import Shop
 from tillhouse.plans.dims import Dims
 from tillhouse.schema import ENTITIES
+from tillhouse.sources.layers import Layers
+from tillhouse.sources.testdata import AS_OF
 
 GOOD = ("OI1", "O1", "P1", "2", "1.50", "3.00")
 
@@ -38,6 +42,48 @@ def test_staged_tables_read_landed_rows(items, as_of):
         assert not any("unfit=" in f for f in out.inputFiles())
 
 
+def test_repeated_keys_are_ranked_once(items, as_of):
+    """Clean rows and rejects both need the first row of a key, which is ranked for one of them only."""
+    staged = landed(items, ORDER_ITEMS, as_of)
+    for kind in ("clean", "errors"):
+        assert any("order_items-first" in f for f in getattr(staged, kind).inputFiles())
+
+
+def test_many_repeated_keys_move_few_other_rows(spark, as_of, settings, monkeypatch):
+    """Too many repeated keys to broadcast: the rows of other keys stay where they are, whatever their bits."""
+    settings(spark__sql__autoBroadcastJoinThreshold="-1")
+    raw = spark.range(0, 6000, 1, 4).select(
+        F.format_string("OI%d", F.when(F.col("id") < 600, F.col("id") % 300).otherwise(F.col("id"))).alias("order_item_id"),
+        *[F.lit(v).alias(c) for c, v in zip(ORDER_ITEMS.columns[1:], GOOD[1:])],
+    )
+    staged = landed(raw, ORDER_ITEMS, as_of)
+    assert (staged.clean.count(), staged.errors.count()) == (5700, 300)
+    clear, met = staged._sorted_out
+    assert met.filter("_again").count() == 600 and met.count() < 700 and clear.count() + met.count() == 6000
+    # A map that is full tells nothing, and the result is the same.
+    monkeypatch.setattr(staging, "_BITS", 64)
+    full = landed(raw, ORDER_ITEMS, as_of)
+    assert full._sorted_out[1].count() > 5000
+    assert sorted(full.clean.collect()) == sorted(staged.clean.collect())
+    assert sorted(full.errors.collect()) == sorted(staged.errors.collect())
+
+
+def test_what_waits_for_its_order_is_found_once(spark, tmp_path, monkeypatch):
+    """A refresh stores the candidates that it reads three times, and removes them."""
+    stored, kept = arrivals.stored, {}
+
+    def watched(df, purpose):
+        kept[purpose] = stored(df, purpose)
+        return kept[purpose]
+
+    monkeypatch.setattr(arrivals, "stored", watched)
+    layers, raw = Layers(spark, str(tmp_path)), Shop(spark, "/root/testdata/sf0.001").raw
+    full_load.full_load(layers, raw, AS_OF, fact_by="year_month")
+    arrivals.refresh_warehouse(layers, AS_OF)
+    assert set(kept) == {"fact-candidates", "fact-arrived"}
+    assert not any(os.path.exists(df.stored_at) for df in kept.values())
+
+
 def test_queries_stage_landed_rows(spark):
     clean = Shop(spark, "/root/testdata/sf0.001").clean("order_items")
     assert not any("lineitem" in f for f in clean.inputFiles())

@@ -14,6 +14,9 @@ from tillhouse.session import discard, stored
 
 REASON, UNFIT = "reason", "unfit"
 
+# Bits of the map of repeated keys; it is broadcast as words of 64, at most 2^20 of them.
+_BITS = 1 << 26
+
 
 def pack_row(columns: list[str]) -> Column:
     """The row as a JSON object; NULL fields are left out."""
@@ -53,7 +56,8 @@ class Staged:
     keys. Those are stored first, in a stage of its own that shuffles keys alone, so the planner knows
     their size: when they are few Spark broadcasts them, and no fit row is shuffled; when they are many,
     the join is a plain one whose hot keys can be split. The rows of repeated keys are stored too, and
-    only they are ranked.
+    only they are ranked; landed rows have the first of each key stored as well, for both outputs, and
+    meet the repeated keys once, and only where a map of their hashes says so.
 
     `land` writes all rows once with their verdicts, and everything else then reads those files: raw is
     scanned and its rules are asked once. The verdict is a column, not a folder, since rows going to several
@@ -66,6 +70,7 @@ class Staged:
         self._flagged = flag(raw, entity, as_of, strict)
         self._nulls_last = entity.ranked_columns()
         self._scratch: list[DataFrame] = []
+        self._landed = False
 
     def _stored(self, df: DataFrame, purpose: str) -> DataFrame:
         self._scratch.append(stored(df, f"{self.entity.name}-{purpose}"))
@@ -80,6 +85,7 @@ class Staged:
         reasons = {rule.reason: F.count_if(F.col(REASON) == rule.reason) for rule in self.entity.rules}
         counts = [n.alias(name) for name, n in {**reasons, "fit": F.count_if(~F.col(UNFIT))}.items()]
         self._flagged = self._stored(self._flagged.observe(seen, *counts), "verdicts")
+        self._landed = True
         return {name: n for name, n in seen.get.items() if n}
 
     def discard(self) -> None:
@@ -97,23 +103,53 @@ class Staged:
         counts = self._competing[0].groupBy(self.entity.key).agg(F.count(F.lit(1)).alias("_n"))
         return self._stored(counts.filter("_n > 1").select(self.entity.key), "repeated-keys")
 
+    @cached_property
+    def _sorted_out(self) -> tuple[DataFrame, DataFrame]:
+        """The landed rivals whose key is clearly not repeated, and the others: (key, rank columns, `_again`).
+
+        The hashes of the repeated keys set bits in a map of bounded size, which is broadcast. Rows whose bit is
+        not set stay where they are. The others, those of repeated keys and a few more, meet the keys in one join.
+        """
+        key, (rivals, order) = self.entity.key, self._competing
+        spot = F.pmod(F.xxhash64(key), F.lit(_BITS))
+        bits = self._repeated.select(spot.alias("_spot")).groupBy(F.expr("_spot div 64").alias("_word")).agg(
+            F.bit_or(F.expr("shiftleft(1L, CAST(_spot % 64 AS INT))")).alias("_bits")
+        )
+        rows = rivals.select(key, *order).withColumn("_spot", spot).withColumn("_word", F.expr("_spot div 64"))
+        is_near = F.expr("coalesce(getbit(_bits, CAST(_spot % 64 AS INT)) = 1, false)")
+        told = rows.join(F.broadcast(bits), "_word", "left").withColumn("_near", is_near)
+        near = told.filter("_near").select(key, *order)
+        met = splittable_join(near, self._repeated.withColumn("_again", F.lit(True)), key, "left")
+        return told.filter("NOT _near").select(key, *order), self._stored(met, "near-repeated")
+
     @cached_property
     def _contested(self) -> DataFrame:
         """The rivals of repeated keys."""
+        if self._landed:
+            return self._sorted_out[1].filter("_again").drop("_again")
         met = splittable_join(self._competing[0], self._repeated, self.entity.key, "left_semi")
         return self._stored(met, "contested")
 
+    @cached_property
+    def _single(self) -> DataFrame:
+        """The rivals whose key occurs once."""
+        key, (rivals, order) = self.entity.key, self._competing
+        if self._landed:
+            clear, met = self._sorted_out
+            return clear.unionByName(met.filter("_again IS NULL").drop("_again"))
+        return splittable_join(rivals, self._repeated, key, "left_anti").select(key, *order)
+
     @cached_property
     def _first(self) -> DataFrame:
-        return dedupe.first_rows(self._contested, self.entity.key, self._competing[1], self._nulls_last)
+        """The first row of each repeated key."""
+        first = dedupe.first_rows(self._contested, self.entity.key, self._competing[1], self._nulls_last)
+        return self._stored(first, "first") if self._landed else first
 
     @cached_property
     def clean(self) -> DataFrame:
         """Typed rows, one per key."""
-        key, (rivals, order) = self.entity.key, self._competing
-        columns = [key, *order]
-        once = splittable_join(rivals, self._repeated, key, "left_anti").select(*columns)
-        kept = once.unionByName(dedupe.unpack(self._first, key, order))
+        key, order = self.entity.key, self._competing[1]
+        kept = self._single.unionByName(dedupe.unpack(self._first, key, order))
         if self.mode == REFERENCE:
             kept = kept.filter(F.col(REASON).isNull())
         return kept.select(*self.entity.typed())
@@ -122,7 +158,9 @@ class Staged:
     def errors(self) -> DataFrame:
         """Rejected rows as (JSON, reason, time); a rule's reason wins over duplication."""
         entity = self.entity
-        fit = self._contested.filter(F.col(REASON).isNull())
+        fit = self._contested
+        if self.mode == REFERENCE:
+            fit = fit.filter(F.col(REASON).isNull())
         lost = dedupe.other_rows(fit, self._first, entity.key, self._competing[1], self._nulls_last)
         unfit = self._flagged.filter(F.col(UNFIT))
         rejected = unfit.select(*entity.columns, REASON).unionByName(

@@ -167,7 +167,8 @@ def refresh_warehouse(layers: Layers, as_of: datetime | str) -> list[int]:
         old = tuple(f for f in known[STAGING, "order_items_clean"].folders if f in done)
         loaded = layers.folder_frame(STAGING, "order_items_clean", old) if old else whole(STAGING, "order_items_clean").limit(0)
         waiting = loaded.join(fact.select("order_item_id"), "order_item_id", "left_anti")
-    candidates = waiting if items.rows is None else waiting.unionByName(items.rows)
+    # Read three times below: for the orders it names, for the fact, and for what goes on waiting.
+    candidates = stored(waiting if items.rows is None else waiting.unionByName(items.rows), "fact-candidates")
 
     written: list[Written] = []
     location, product = whole(DW, "dim_location"), whole(DW, "dim_product")
@@ -198,7 +199,7 @@ def refresh_warehouse(layers: Layers, as_of: datetime | str) -> list[int]:
         )
     written.append(mark_consumed(layers, known, WAREHOUSE, [items, orders_new, products_new], at))
     layers.publish(written)
-    discard(arrived)
+    discard(arrived, candidates)
     return months
 
 
