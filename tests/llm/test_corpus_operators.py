@@ -294,6 +294,39 @@ def test_equal_values_stay_linked_across_documents(spark):
     assert rows[3].text is None and rows[3].n_email == 0 and rows[4].text == ""
 
 
+def test_bytes_that_are_no_utf8_come_through(spark):
+    """Also where they touch a find, and where they are half of a character."""
+    p = pii.Permutation("k")
+    mail = pii.replace("jane@example.org", p.forward)[0].encode()
+    texts = [b"mail jane@example.org\xff \xc3", b"\xe2\x82 jane@example.org", b"\xed\xa0\x80 1", b"\xff none", "caf\u00e9 \U0001f600 jane@example.org".encode()]
+    docs = spark.createDataFrame([(i, bytearray(t)) for i, t in enumerate(texts)], "doc_id long, text binary").withColumn("text", F.col("text").cast("string"))
+    rows = pii.pseudonymise(docs, "k").select(f"{ROW}.doc_id", F.col("found.text").cast("binary").alias("new"), "found.n_email").collect()
+    assert {r.doc_id: bytes(r.new) for r in rows} == {i: t.replace(b"jane@example.org", mail) for i, t in enumerate(texts)}
+    assert {r.doc_id: r.n_email for r in rows} == {i: t.count(b"@") for i, t in enumerate(texts)}
+
+
+def test_answers_in_several_arrays_meet_their_rows(spark):
+    """12 MB of long texts with nulls and empty ones in one partition, which Spark hands to Python at once."""
+    move = pii.Permutation("k").forward
+    texts = {i: (None, "", f"text {i} of jane{i}@example.org " + "word " * 200_000)[min(i % 4, 2)] for i in range(24)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").coalesce(1)
+    rows = pii.pseudonymise(docs, "k").select(f"{ROW}.doc_id", "found.text", "found.n_email").collect()
+    assert [(r.doc_id, r.text, r.n_email) for r in rows] == [(i, t and pii.replace(t, move)[0], int(bool(t))) for i, t in texts.items()]
+
+
+def test_answers_come_in_arrays_bounded_by_their_bytes():
+    import pyarrow as pa
+
+    move = pii.Permutation("k").forward
+    texts = [None, "", "x" * 70, "mail jane@example.org", None, "y" * 300, "4111 1111 1111 1111", "", None]
+    for kind in (pa.string(), pa.large_string()):
+        parts = list(pii._answers(pa.array(texts, kind), move, 100))
+        assert max(len("".join(r["text"] or "" for r in p.to_pylist()[:-1])) for p in parts) < 100
+        assert len(parts) > 1 and [r["text"] for p in parts for r in p.to_pylist()] == [t and pii.replace(t, move)[0] for t in texts]
+        assert sum(r["n_card"] + r["n_email"] for p in parts for r in p.to_pylist()) == 2
+    assert list(pii._answers(pa.array([], pa.string()), move)) == []
+
+
 # 4: WARC
 
 
